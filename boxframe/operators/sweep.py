@@ -59,7 +59,7 @@ def threshold_ladder(spark: SparkSession, thresholds: Sequence[float]) -> DataFr
     return spark.createDataFrame(rows, "step int, threshold double")
 
 
-def _steps_reached(confidence: Column, thresholds: Sequence[float]) -> Column:
+def steps_reached(confidence: Column, thresholds: Sequence[float]) -> Column:
     """How many ladder values a confidence reaches. Compares, never divides."""
     total = F.lit(0)
     for value in sorted(set(thresholds)):
@@ -81,71 +81,104 @@ def sweep(
     """The 19 metric columns, one row per threshold.
 
     One matching at the lowest threshold serves all of them. Everything is then counted per ladder
-    step before any row meets the ladder, so the last joins see one row per step.
+    step, so the last join sees one row per step.
     """
-    spark = gt.sparkSession
     lowest = min(thresholds)
     if matches is None:
         matches = match_detections(gt, pred, iou_threshold, lowest, crowded_pairs, hot_rows)
-    reach = _steps_reached(F.col("confidence"), thresholds).alias("reach")
-    zero = F.lit(0).cast("bigint")
-    one = F.lit(1).cast("bigint")
-    small = F.when(is_small(F.col("gt_area"), small_area), one).otherwise(zero)
-    # The area and confidence travel with a match, so nothing is joined back.
-    found = matches.select(reach, small.alias("small"))
-    made = pred.filter(F.col("confidence") >= F.lit(float(lowest))).select(reach)
-    per_step = (
-        made.select("reach", one.alias("predictions"), zero.alias("tp"), zero.alias("small_tp"))
-        .unionByName(
-            found.select(
-                "reach", zero.alias("predictions"), one.alias("tp"), F.col("small").alias("small_tp")
-            )
-        )
-        .groupBy("reach")
-        .agg(F.sum("predictions").alias("predictions"), F.sum("tp").alias("tp"),
-             F.sum("small_tp").alias("small_tp"), zero.alias("clean_images"))
-    )
-    # An image has no false negative up to the lowest confidence of its matches, if all are matched.
-    per_image = (
-        gt.select("image_id", one.alias("targets"), zero.alias("hits"), F.lit(None).cast("double").alias("confidence"))
-        .unionByName(matches.select("image_id", zero.alias("targets"), one.alias("hits"), "confidence"))
-        .groupBy("image_id")
-        .agg(
-            F.sum("targets").alias("targets"),
-            F.sum("hits").alias("hits"),
-            F.min("confidence").alias("confidence"),
-        )
-    )
-    with_targets = per_image.select(
-        F.when(F.col("hits") == F.col("targets"), _steps_reached(F.col("confidence"), thresholds))
-        .otherwise(0)
-        .alias("reach"),
-    )
-    clean = with_targets.groupBy("reach").agg(
-        zero.alias("predictions"), zero.alias("tp"), zero.alias("small_tp"),
-        F.count("*").alias("clean_images"),
-    )
-    # At most one row per ladder step and kind from here on.
-    by_reach = per_step.unionByName(clean).groupBy("reach").agg(
-        *[F.sum(c).alias(c) for c in ("predictions", "tp", "small_tp", "clean_images")]
+    spark = gt.sparkSession
+    counts = _count_per_step(gt, pred, matches, thresholds, small_area)
+    # At most one row per ladder step from here on.
+    everything = Window.partitionBy()
+    totals = ("ground_truth", "small_gt", "images_with_gt")
+    running = ("predictions", "tp", "small_tp", "clean_images")
+    # Step 0 is reached by everything and every ladder step needs a row, so start from empty rows.
+    ladder = threshold_ladder(spark, thresholds)
+    blank = ladder.select(
+        F.col("step").alias("reach"), *[F.lit(0).cast("bigint").alias(c) for c in (*running, *totals)]
     )
     cumulative = (
-        by_reach.filter("reach > 0")
-        .withColumn("step", F.explode(F.sequence(F.lit(1), "reach")))
+        counts.unionByName(blank)
+        .withColumns({c: F.sum(c).over(everything) for c in totals})
+        .withColumn("step", F.explode(F.sequence(F.lit(0), "reach")))
         .groupBy("step")
-        .agg(*[F.sum(c).alias(c) for c in ("predictions", "tp", "small_tp", "clean_images")])
+        .agg(*[F.sum(c).alias(c) for c in running], *[F.max(c).alias(c) for c in totals])
     )
+    rows = ladder.join(cumulative, "step")
+    n_images = images.agg(F.count("*").alias("images")).scalar()
+    return _metric_columns(rows.withColumn("images", n_images))
+
+
+def _count_per_step(
+    gt: DataFrame,
+    pred: DataFrame,
+    matches: DataFrame,
+    thresholds: Sequence[float],
+    small_area: float,
+) -> DataFrame:
+    """Totals per number of ladder steps reached, in one chain of two aggregates.
+
+    A match counts twice: for its step, and for its image, whose lowest matched confidence says up to
+    which step it has no false negative. Area and confidence travel with the match, so nothing is
+    joined back and the matching itself runs once.
+    """
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    nothing = F.lit(None)
+    image_type = gt.schema["image_id"].dataType
     area = box_area(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
-    gt_totals = gt.agg(
-        F.count("*").alias("ground_truth"),
-        F.coalesce(F.sum(F.when(is_small(area, small_area), one).otherwise(zero)), zero).alias("small_gt"),
+
+    def small(value: Column) -> Column:
+        return F.when(is_small(value, small_area), one).otherwise(zero)
+
+    names = ("image_id", "reach", "confidence", "predictions", "tp", "small_tp", "targets", "hits",
+             "small_gt")
+
+    def row(**given: Column) -> list[Column]:
+        kinds = {"image_id": image_type, "reach": "int", "confidence": "double"}
+        return [
+            given.get(n, nothing.cast(kinds[n]) if n in kinds else zero)
+            .cast(kinds.get(n, "bigint"))
+            .alias(n)
+            for n in names
+        ]
+
+    reach = steps_reached(F.col("confidence"), thresholds)
+    by_step = F.struct(*row(reach=reach, tp=one, small_tp=small(F.col("gt_area"))))
+    by_image = F.struct(*row(image_id=F.col("image_id"), confidence=F.col("confidence"), hits=one))
+    rows = (
+        matches.select(F.inline(F.array(by_step, by_image)))
+        .unionByName(pred.select(*row(reach=reach, predictions=one)))
+        .unionByName(
+            gt.select(*row(image_id=F.col("image_id"), targets=one, small_gt=small(area)))
+        )
+    )
+    sums = ("predictions", "tp", "small_tp", "targets", "hits", "small_gt")
+    grouped = rows.groupBy("image_id", "reach").agg(
+        *[F.sum(c).alias(c) for c in sums], F.min("confidence").alias("confidence")
+    )
+    is_image = F.col("reach").isNull()
+    all_hit = F.col("hits") == F.col("targets")
+    image_reach = F.when(all_hit, steps_reached(F.col("confidence"), thresholds)).otherwise(0)
+    return (
+        grouped.select(
+            F.when(is_image, image_reach).otherwise(F.col("reach")).alias("reach"),
+            "predictions",
+            "tp",
+            "small_tp",
+            F.col("targets").alias("ground_truth"),
+            "small_gt",
+            F.when(is_image, one).otherwise(zero).alias("images_with_gt"),
+        )
+        .withColumn("clean_images", F.col("images_with_gt"))
+        .groupBy("reach")
+        .agg(
+            *[
+                F.sum(c).alias(c)
+                for c in ("predictions", "tp", "small_tp", "clean_images", "ground_truth",
+                          "small_gt", "images_with_gt")
+            ]
+        )
     )
-    image_totals = images.agg(F.count("*").alias("images"))
-    with_gt = clean.agg(F.coalesce(F.sum("clean_images"), zero).alias("images_with_gt"))
-    rows = threshold_ladder(spark, thresholds).join(cumulative, "step", "left").na.fill(0)
-    for totals in (gt_totals, image_totals, with_gt):  # one row each
-        rows = rows.withColumns({c: totals.select(c).scalar() for c in totals.columns})
-    return _metric_columns(rows)
 
 
 def _metric_columns(rows: DataFrame) -> DataFrame:
