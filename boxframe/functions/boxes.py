@@ -120,47 +120,15 @@ def detection_problem(
     )
 
 
-def normalized_box(
-    xmin: Column,
-    ymin: Column,
-    xmax: Column,
-    ymax: Column,
-    width: Column,
-    height: Column,
-    clip: bool = True,
-) -> Column:
-    """Struct ``x_center, y_center, box_width, box_height, reject_reason`` of one pixel box.
-
-    The coordinates are null exactly when ``reject_reason`` is set.
-    """
-    w = F.when(width > 0, width.cast("double"))
-    h = F.when(height > 0, height.cast("double"))
-    zero = F.lit(0.0)
-    if clip:
-        left, right = clamp(xmin, zero, w), clamp(xmax, zero, w)
-        top, bottom = clamp(ymin, zero, h), clamp(ymax, zero, h)
-    else:
-        left, right, top, bottom = xmin, xmax, ymin, ymax
-    xc, yc = (left + right) / 2 / w, (top + bottom) / 2 / h
-    bw, bh = (right - left) / w, (bottom - top) / h
+def outside_problem(xc: Column, yc: Column, w: Column, h: Column) -> Column:
+    """Reason why a normalised centre box is not inside its image, or null."""
     low, high = F.lit(-NORMALIZE_SLACK), F.lit(1.0 + NORMALIZE_SLACK)
-    in_unit = xc.between(0, 1) & yc.between(0, 1) & bw.between(0, 1) & bh.between(0, 1)
+    in_unit = xc.between(0, 1) & yc.between(0, 1) & w.between(0, 1) & h.between(0, 1)
     within = (
-        (xc - bw / 2 >= low) & (xc + bw / 2 <= high) & (yc - bh / 2 >= low) & (yc + bh / 2 <= high)
+        (xc - w / 2 >= low) & (xc + w / 2 <= high) & (yc - h / 2 >= low) & (yc + h / 2 <= high)
     )
-    reason = (
-        F.when(w.isNull() | h.isNull(), REJECT_BAD_IMAGE)
-        .when(~all_finite([xmin, ymin, xmax, ymax]), REJECT_NOT_FINITE)
-        .when((right <= left) | (bottom <= top), REJECT_DEGENERATE)
-        .when(~in_unit, REJECT_OUT_OF_RANGE)
-        .when((bw <= 0) | (bh <= 0), REJECT_NO_SIZE)
+    return (
+        F.when(~in_unit, REJECT_OUT_OF_RANGE)
+        .when((w <= 0) | (h <= 0), REJECT_NO_SIZE)
         .when(~within, REJECT_OUTSIDE)
     )
-    keep = reason.isNull()
-    return F.struct(
-        F.when(keep, xc).alias("x_center"),
-        F.when(keep, yc).alias("y_center"),
-        F.when(keep, bw).alias("box_width"),
-        F.when(keep, bh).alias("box_height"),
-        reason.alias("reject_reason"),
-    )

@@ -5,21 +5,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxframe.functions.boxes import MEDIUM_AREA_MAX, SMALL_AREA_MAX, area_bucket, normalized_box
+from boxframe.functions.boxes import (
+    MEDIUM_AREA_MAX,
+    REJECT_BAD_IMAGE,
+    REJECT_DEGENERATE,
+    REJECT_NOT_FINITE,
+    SMALL_AREA_MAX,
+    all_finite,
+    area_bucket,
+    clamp,
+    outside_problem,
+)
 from boxframe.functions.text import label_line
 from boxframe.operators.splits import split_names
 from boxframe.schemas import SPLITS
 
 
 def normalize_boxes(objects: DataFrame, clip: bool = True) -> DataFrame:
-    """Add normalised centre boxes and ``reject_reason`` to pixel objects with their image size."""
-    box = normalized_box(
-        *[F.col(c) for c in ("xmin", "ymin", "xmax", "ymax", "width", "height")], clip=clip
-    )
-    added = ("x_center", "y_center", "box_width", "box_height", "reject_reason")
-    return objects.withColumn("_box", box).select(
-        *objects.columns, *[F.col(f"_box.{c}").alias(c) for c in added]
+    """Add normalised centre boxes and ``reject_reason`` to pixel objects with their image size.
+
+    The coordinates are null exactly when a reason is set. The steps are separate projections, so
+    that each value is computed once instead of being copied into every expression that uses it.
+    """
+    sides = ("xmin", "ymin", "xmax", "ymax")
+    if clip:
+        limits = {"x": F.col("width"), "y": F.col("height")}
+        cut = {f"_{s}": clamp(F.col(s), F.lit(0.0), limits[s[0]].cast("double")) for s in sides}
+    else:
+        cut = {f"_{s}": F.col(s) for s in sides}
+    left, top, right, bottom = (F.col(f"_{s}") for s in sides)
+    first = (
+        F.when(~((F.col("width") > 0) & (F.col("height") > 0)), REJECT_BAD_IMAGE)
+        .when(~all_finite([F.col(s) for s in sides]), REJECT_NOT_FINITE)
+        .when((right <= left) | (bottom <= top), REJECT_DEGENERATE)
     )
+    width = F.when(F.col("_reason").isNull(), F.col("width"))
+    height = F.when(F.col("_reason").isNull(), F.col("height"))
+    box = {
+        "x_center": (left + right) / 2 / width,
+        "y_center": (top + bottom) / 2 / height,
+        "box_width": (right - left) / width,
+        "box_height": (bottom - top) / height,
+    }
+    result = objects.withColumns(cut).withColumn("_reason", first).withColumns(box)
+    if clip:
+        # A clipped box of positive size is inside its image, so the further rules cannot fail.
+        return result.withColumnRenamed("_reason", "reject_reason").drop(*cut)
+    later = F.coalesce("_reason", outside_problem(*[F.col(c) for c in box]))
+    kept = {c: F.when(F.col("reject_reason").isNull(), F.col(c)) for c in box}
+    return result.withColumn("reject_reason", later).withColumns(kept).drop("_reason", *cut)
 
 
 def remap_classes(objects: DataFrame, mapping: DataFrame | None = None) -> DataFrame:

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from boxframe.operators.checkpoints import cut_lineage
 from boxframe.operators.ranking import HOT_ROWS, split_hot
 
 BUCKETS = 1 << 16
@@ -105,9 +106,11 @@ def _hot_quantiles(
         .distinct()
         .withColumn("before", F.lit(0).cast("bigint"))
     )
+    targets = cut_lineage(targets)
     for _ in range(2):
-        targets = _narrow(rows, targets, keys)
-    values = _values_at(rows, targets, keys)
+        # A few rows per large group.
+        targets = cut_lineage(_narrow(rows, targets, keys))
+    values = cut_lineage(_values_at(rows, targets, keys))
     low = values.select(*keys, F.col("rank").alias("lower"), F.col("value").alias("v0"))
     high = values.select(*keys, F.col("rank").alias("upper"), F.col("value").alias("v1"))
     weight = F.col("weight")
@@ -135,7 +138,9 @@ def exact_quantiles(
     plain = normal.groupBy(*keys).agg(
         *[F.percentile("value", F.lit(float(q))).alias(name) for name, q in quantiles.items()]
     )
-    result = plain.unionByName(_hot_quantiles(hot, keys, quantiles))
+    result = plain
+    if hot is not None:
+        result = plain.unionByName(_hot_quantiles(hot, keys, quantiles))
     return result if by else result.drop("_all")
 
 
@@ -170,5 +175,6 @@ def distribution(
     result = stats.join(spread, keys, "left")
     if by:
         return result
-    names = df.sparkSession.createDataFrame([(c,) for c in columns], "measure string")
+    rows = ", ".join(f"('{c}')" for c in columns)
+    names = df.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS names(measure)")
     return names.join(result, "measure", "left").withColumn("n", F.coalesce("n", F.lit(0)))

@@ -1,9 +1,9 @@
 """Ranks, running totals and exact cuts that never put one large group into one task.
 
-A plain window sorts a whole group in a single task. The operators here split the keys by size:
-small groups take the plain window; a group above ``hot_rows`` is cut into buckets that follow its
-order, each bucket is ranked on its own, and the bucket sizes (a small aggregate) give the offsets.
-With no large group, adaptive execution finds the second branch empty and drops it.
+A plain window sorts a whole group in a single task. The operators here first count the groups (one
+aggregate over the key columns). With no group above ``hot_rows`` they are the plain window. A larger
+group is cut into buckets that follow its order, each bucket is ranked on its own, and the bucket
+sizes (a small aggregate) give the offsets.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from boxframe.operators.checkpoints import cut_lineage
+
 HOT_ROWS = 1_000_000
 
 
@@ -23,9 +25,11 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
 
 def split_hot(
     df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
-) -> tuple[DataFrame, DataFrame]:
-    """Rows of ordinary groups and rows of large groups."""
-    hot = hot_keys(df, keys, hot_rows)
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ordinary groups, and rows of large groups or None when there is no large group."""
+    hot = cut_lineage(hot_keys(df, keys, hot_rows))
+    if hot.isEmpty():
+        return df, None
     return df.join(hot, list(keys), "left_anti"), df.join(hot, list(keys), "left_semi")
 
 
@@ -68,6 +72,8 @@ def grouped_row_number(
     normal, hot = split_hot(df, keys, hot_rows)
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     ranked = normal.withColumn(out, place.cast("bigint"))
+    if hot is None:
+        return ranked
     names = [f"_level{i}" for i in range(len(levels))]
     cut = hot.withColumns(dict(zip(names, levels)))
     offsets = _bucket_offsets(cut, keys, names, F.lit(1), "_offset")
@@ -98,6 +104,8 @@ def grouped_running_sum(
         return F.sum(amount).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
     summed = normal.withColumn(out, running(*keys))
+    if hot is None:
+        return summed
     names = [f"_level{i}" for i in range(len(levels))]
     cut = hot.withColumns(dict(zip(names, levels)))
     offsets = _bucket_offsets(cut, keys, names, F.col(amount), "_offset")

@@ -18,10 +18,11 @@ STRATEGY_FALLBACK = "fallback_70_15_15"
 
 
 def split_names(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(s,) for s in SPLITS], "split string")
+    rows = ", ".join(f"('{s}')" for s in SPLITS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS names(split)")
 
 
-def test_precedence(trainval: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
+def apply_test_precedence(trainval: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Train/validation IDs without the test members, and the IDs removed for that reason."""
     return (
         trainval.join(test, "image_id", "left_anti"),
@@ -40,7 +41,7 @@ def assign_splits(
     if not 0.0 < val_fraction < 1.0:
         raise ValueError("val_fraction must be between zero and one")
     held_out = unique_ids(test)
-    free, _ = test_precedence(unique_ids(trainval), held_out)
+    free, _ = apply_test_precedence(unique_ids(trainval), held_out)
     labelled = label_by_hash_rank(
         free,
         "image_id",

@@ -55,8 +55,8 @@ def ladder_values(
 
 def threshold_ladder(spark: SparkSession, thresholds: Sequence[float]) -> DataFrame:
     """``(step, threshold)``, step 1 being the lowest."""
-    rows = [(i + 1, float(t)) for i, t in enumerate(sorted(set(thresholds)))]
-    return spark.createDataFrame(rows, "step int, threshold double")
+    rows = ", ".join(f"({i + 1}, {float(t)!r}D)" for i, t in enumerate(sorted(set(thresholds))))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS ladder(step, threshold)")
 
 
 def steps_reached(confidence: Column, thresholds: Sequence[float]) -> Column:

@@ -14,6 +14,8 @@ def local_session(cpus: int | str = "*", name: str = "boxframe", shuffle: int =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # Call-site capture per column expression costs more than these small queries themselves.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
