@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from boxframe.plans import (  # noqa: F401  (importing a module registers its queries)
     box_queries,
+    file_queries,
+    frame_queries,
     matching_queries,
     split_queries,
 )
