@@ -18,12 +18,13 @@ OUT_OF_MEMORY_ADVICE = (
     "Lower training.batch and retry. Keep training.imgsz=1280 unchanged for Phase 1."
 )
 
-_TWO_POW_60 = 1 << 60
+# Fixed value: what counts as white space around a text.
+_BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u2000\u2001\u2002\u2003\u2009\u2028\u2029\u3000"
 
 
 def strip(text: Column) -> Column:
     """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(_BLANKS))
 
 
 def normalize_id(raw: Column) -> Column:
@@ -52,42 +53,9 @@ def fixed6(value: Column) -> Column:
     """Six-decimal text of a double, rounded half-even on its exact binary value.
 
     ``format_string`` rounds half-up and ``bround`` works on the shortest decimal, so both differ
-    from the exact result on values such as 0.0078125. Away from a tie a double product decides:
-    its error is below 1e-10 of a unit. Near a tie the value is worked out exactly.
+    from the exact result on values such as 0.0078125; ``format_number`` rounds the binary value.
     """
-    size = F.abs(value.cast("double"))
-    whole = F.floor(size)
-    scaled = (size - whole) * F.lit(1e6)
-    below = F.floor(scaled)
-    part = scaled - below
-    rounded = below + F.when(part > 0.5, 1).otherwise(0)
-    millionths = F.when(F.abs(part - 0.5) > 1e-6, rounded).otherwise(_exact_millionths(size - whole))
-    text = F.concat(
-        (whole + F.floor(millionths / 1000000)).cast("string"),
-        F.lit("."),
-        F.lpad((millionths % 1000000).cast("string"), 6, "0"),
-    )
-    return F.when(value < 0, F.concat(F.lit("-"), text)).otherwise(text)
-
-
-def _exact_millionths(fraction: Column) -> Column:
-    """Half-even millionths of a double in [0, 1).
-
-    Scaling by 2^60 is exact; what is left below one unit only matters as "more than a tie".
-    """
-    scaled = fraction * F.lit(float(_TWO_POW_60))
-    units = scaled.cast("bigint")
-    rest = (scaled - units) * F.lit(1e6)
-    product = (
-        units.cast("decimal(20,0)") * F.lit(1000000).cast("decimal(7,0)")
-        + F.floor(rest).cast("decimal(20,0)")
-    ).cast("decimal(30,0)")
-    base = F.lit(str(_TWO_POW_60)).cast("decimal(20,0)")
-    remainder = product % base
-    quotient = ((product - remainder) / base).cast("bigint")
-    twice = remainder * F.lit(2).cast("decimal(2,0)")
-    above = (twice > base) | ((twice == base) & ((rest > F.floor(rest)) | (quotient % 2 == 1)))
-    return quotient + F.when(above, 1).otherwise(0)
+    return F.translate(F.format_number(value.cast("double"), 6), ",", "")
 
 
 def label_line(class_id: Column, xc: Column, yc: Column, w: Column, h: Column) -> Column:

@@ -11,6 +11,7 @@ from boxframe.functions.boxes import clip_to_pixels, is_finite, ratio
 from boxframe.functions.text import fixed6, fourcc
 from boxframe.operators.quantiles import exact_quantiles
 from boxframe.operators.ranking import HOT_ROWS, grouped_running_sum
+from boxframe.schemas import DETECTION_COLUMNS
 
 STAGES = ("preprocess_ms", "inference_ms", "postprocess_ms")
 
@@ -59,48 +60,40 @@ def detection_rows(detections: DataFrame, as_text: bool = False) -> DataFrame:
     """
     names = ("x1", "y1", "x2", "y2")
     clipped = clip_to_pixels(*[F.col(c) for c in names], F.col("width"), F.col("height"))
-    placed = detections.withColumns({f"_{n}": c for n, c in zip(names, clipped)})
-    w, h = F.col("_x2") - F.col("_x1"), F.col("_y2") - F.col("_y1")
+    placed = detections.withColumns(dict(zip(names, clipped)))
+    w, h = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     frame_area = (F.col("width") * F.col("height")).cast("double")
+    # Numbers first, text after: each value is then worked out once.
+    numeric = placed.withColumns(
+        {
+            "box_width_pixels": w,
+            "box_height_pixels": h,
+            "box_area_pixels": w * h,
+            "box_area_ratio": w * h / frame_area,
+        }
+    ).select(*DETECTION_COLUMNS)
+    plain = ("video_name", "frame_index", "class_id", "class_name")
+    return numeric.select(
+        *[c if c in plain else _number(F.col(c), as_text).alias(c) for c in DETECTION_COLUMNS]
+    )
 
-    def number(value: Column) -> Column:
-        return fixed6(value) if as_text else value.cast("double")
 
-    return placed.select(
-        "video_name",
-        "frame_index",
-        number(F.col("timestamp_seconds")).alias("timestamp_seconds"),
-        "class_id",
-        "class_name",
-        number(F.col("confidence")).alias("confidence"),
-        number(F.col("_x1")).alias("x1"),
-        number(F.col("_x2")).alias("x2"),
-        number(F.col("_y1")).alias("y1"),
-        number(F.col("_y2")).alias("y2"),
-        number(w).alias("box_width_pixels"),
-        number(h).alias("box_height_pixels"),
-        number(w * h).alias("box_area_pixels"),
-        number(w * h / frame_area).alias("box_area_ratio"),
-        *[number(F.col(s)).alias(s) for s in STAGES],
-    )
+def _number(value: Column, as_text: bool) -> Column:
+    return fixed6(value) if as_text else value.cast("double")
 
 
 def frame_rows(frames: DataFrame, as_text: bool = False) -> DataFrame:
     """The 7 frame columns, the video name first."""
-
-    def number(value: Column) -> Column:
-        return fixed6(value) if as_text else value.cast("double")
-
     end_to_end = (
         F.col("end_to_end_ms") if "end_to_end_ms" in frames.columns else stage_sum(*STAGES)
     )
     return frames.select(
         "video_name",
         "frame_index",
-        number(F.col("timestamp_seconds")).alias("timestamp_seconds"),
+        _number(F.col("timestamp_seconds"), as_text).alias("timestamp_seconds"),
         "detections",
-        *[number(F.col(s)).alias(s) for s in STAGES],
-        number(end_to_end).alias("end_to_end_ms"),
+        *[_number(F.col(s), as_text).alias(s) for s in STAGES],
+        _number(end_to_end, as_text).alias("end_to_end_ms"),
     )
 
 

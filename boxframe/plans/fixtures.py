@@ -99,13 +99,13 @@ SELECT doc_id,
 FROM documents""",
     "fx_root_paths": """
 SELECT 'data/' || source ||
-  CASE WHEN doc_id % 4 = 0 THEN '/Annotations/' || CAST(doc_id AS STRING) || '.xml'
-    WHEN doc_id % 4 = 1 THEN '/JPEGImages/' || CAST(doc_id AS STRING) || '.jpg'
-    WHEN doc_id % 4 = 2 AND source <> 'src3' THEN '/ImageSets/Main/train.txt'
-    WHEN source = 'src7' AND doc_id % 8 = 3 THEN '/ImageSets/Main/trainval.txt'
+  CASE WHEN k = 0 THEN '/Annotations/' || CAST(doc_id AS STRING) || '.xml'
+    WHEN k = 1 THEN '/JPEGImages/' || CAST(doc_id AS STRING) || '.jpg'
+    WHEN k = 2 AND source <> 'src3' THEN '/ImageSets/Main/train.txt'
+    WHEN source = 'src7' AND k = 3 THEN '/ImageSets/Main/trainval.txt'
     WHEN source = 'src7' THEN '/ImageSets/Main/test.txt'
     ELSE '/readme.md' END AS path
-FROM documents""",
+FROM (SELECT doc_id, source, (n_chars + doc_id) % 5 AS k FROM documents) AS numbered""",
     # One label file per order line: valid, wrong and blank lines.
     "fx_label_files": """
 SELECT CAST(l_orderkey AS STRING) || '_' || CAST(l_linenumber AS STRING) || '_' ||

@@ -33,11 +33,14 @@ def label_lines(files: DataFrame, text_col: str = "text") -> DataFrame:
     later rule is broken.
     """
     keep = [c for c in files.columns if c != text_col]
-    lines = files.select(
-        *keep, F.posexplode(F.split(F.col(text_col), r"\r\n|[\n\r]")).alias("_pos", "line")
-    ).filter(strip(F.col("line")) != "")
-    fields = F.split(strip(F.col("line")), r"\s+")
-    typed = lines.withColumn("_f", fields).select(
+    # Lines are cut into fields inside the generator, so no later filter repeats that work.
+    rows = F.transform(
+        F.split(F.col(text_col), r"\r\n|[\n\r]"), lambda line: F.split(strip(line), r"\s+")
+    )
+    lines = files.select(*keep, F.posexplode(rows).alias("_pos", "_f")).filter(
+        F.element_at("_f", 1) != ""
+    )
+    typed = lines.select(
         *keep,
         (F.col("_pos") + 1).alias("line_number"),
         F.size("_f").alias("n_fields"),

@@ -17,31 +17,44 @@ def _text(value: Column) -> Column:
     return F.nullif(strip(value), F.lit(""))
 
 
-def _optional_flag(value: Column) -> Column:
-    return F.coalesce(_text(value).try_cast("int") != 0, F.lit(False))
-
-
-def _bad(value: Column, kind: str) -> Column:
-    """A text that is there but is not a number of this kind."""
-    return _text(value).isNotNull() & _text(value).try_cast(kind).isNull()
+def _typed_object(obj: Column) -> Column:
+    """Texts and numbers of one object, still unchecked."""
+    box = obj["bndbox"]
+    sides = [
+        part
+        for side in ("xmin", "ymin", "xmax", "ymax")
+        for part in (
+            _text(box[side]).alias(f"{side}_text"),
+            strip(box[side]).try_cast("double").alias(side),
+        )
+    ]
+    flags = [
+        part
+        for flag in ("difficult", "truncated")
+        for part in (
+            _text(obj[flag]).alias(f"{flag}_text"),
+            strip(obj[flag]).try_cast("int").alias(flag),
+        )
+    ]
+    return F.struct(
+        _text(obj["name"]).alias("class_name"), box.isNull().alias("no_box"), *sides, *flags
+    )
 
 
-def _object_problem(obj: Column) -> Column:
-    box = obj["bndbox"]
-    sides = [box[c] for c in ("xmin", "ymin", "xmax", "ymax")]
-    missing = _text(sides[0]).isNull()
-    wrong = _bad(sides[0], "double")
-    for side in sides[1:]:
-        missing = missing | _text(side).isNull()
-        wrong = wrong | _bad(side, "double")
+def _object_problem(o: Column) -> Column:
+    sides = ("xmin", "ymin", "xmax", "ymax")
+    missing, wrong = F.lit(False), F.lit(False)
+    for side in sides:
+        missing = missing | o[f"{side}_text"].isNull()
+        wrong = wrong | o[side].isNull()
     return (
-        F.when(_text(obj["name"]).isNull(), "missing_name")
-        .when(box.isNull(), "missing_bndbox")
+        F.when(o["class_name"].isNull(), "missing_name")
+        .when(o["no_box"], "missing_bndbox")
         .when(missing, "missing_coordinate")
         .when(wrong, "invalid_coordinate")
-        .when(~all_finite([s.try_cast("double") for s in sides]), "not_finite_coordinate")
-        .when(_bad(obj["difficult"], "int"), "invalid_difficult")
-        .when(_bad(obj["truncated"], "int"), "invalid_truncated")
+        .when(~all_finite([o[s] for s in sides]), "not_finite_coordinate")
+        .when(o["difficult_text"].isNotNull() & o["difficult"].isNull(), "invalid_difficult")
+        .when(o["truncated_text"].isNotNull() & o["truncated"].isNull(), "invalid_truncated")
     )
 
 
@@ -59,51 +72,62 @@ def parse_voc(
     too_big = F.octet_length(xml) > MAX_XML_BYTES
     # The parser only sees documents that are small and free of declarations.
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    parsed = documents.withColumns({"_unsafe": unsafe, "_too_big": too_big}).withColumn(
-        "_doc",
-        F.from_xml(F.when(~unsafe & ~too_big, xml), VOC_XML, options),
+    document = F.from_xml(F.when(~unsafe & ~too_big, xml), VOC_XML, options)
+    # A generator keeps later filters from copying the parser into their conditions.
+    parsed = documents.withColumns({"_unsafe": unsafe, "_too_big": too_big}).select(
+        "*", F.explode(F.array(document)).alias("_doc")
     )
     doc = F.col("_doc")
+    none = F.array().cast(f"array<{_object_kind()}>")
     size = doc["size"]
-    objects = F.coalesce(doc["object"], F.array().cast("array<" + _object_kind() + ">"))
-    problems = F.filter(F.transform(objects, _object_problem), lambda p: p.isNotNull())
+    # Each step is its own projection, so a value is worked out once and then referred to.
+    texts = parsed.select(
+        id_col,
+        *keep,
+        "_unsafe",
+        "_too_big",
+        (F.col(xml_col).isNull() | doc.isNull() | doc["_corrupt_record"].isNotNull()).alias("_bad"),
+        size.isNull().alias("_no_size"),
+        _text(doc["filename"]).alias("_filename"),
+        *[
+            part
+            for name in ("width", "height", "depth")
+            for part in (
+                _text(size[name]).alias(f"_{name}_text"),
+                strip(size[name]).try_cast("int").alias(f"_{name}"),
+            )
+        ],
+        F.transform(F.coalesce(doc["object"], none), _typed_object).alias("_objects"),
+    )
+    width, height = F.col("_width"), F.col("_height")
+    problems = F.filter(F.transform("_objects", _object_problem), lambda p: p.isNotNull())
     reason = (
         F.when(F.col("_too_big"), "too_large")
         .when(F.col("_unsafe"), "declaration_not_allowed")
-        .when(xml.isNull() | doc.isNull() | doc["_corrupt_record"].isNotNull(), "invalid_xml")
-        .when(_text(doc["filename"]).isNull(), "missing_filename")
-        .when(size.isNull(), "missing_size")
-        .when(_text(size["width"]).isNull() | _text(size["height"]).isNull(), "missing_dimension")
-        .when(_bad(size["width"], "int") | _bad(size["height"], "int"), "invalid_dimension")
+        .when(F.col("_bad"), "invalid_xml")
+        .when(F.col("_filename").isNull(), "missing_filename")
+        .when(F.col("_no_size"), "missing_size")
         .when(
-            (_text(size["width"]).try_cast("int") <= 0)
-            | (_text(size["height"]).try_cast("int") <= 0),
-            "non_positive_dimension",
+            F.col("_width_text").isNull() | F.col("_height_text").isNull(), "missing_dimension"
         )
-        .when(_bad(size["depth"], "int"), "invalid_depth")
+        .when(width.isNull() | height.isNull(), "invalid_dimension")
+        .when((width <= 0) | (height <= 0), "non_positive_dimension")
+        .when(F.col("_depth_text").isNotNull() & F.col("_depth").isNull(), "invalid_depth")
         .otherwise(F.try_element_at(problems, F.lit(1)))
     )
-    typed = F.transform(
-        objects,
+    final = F.transform(
+        "_objects",
         lambda o: F.struct(
-            _text(o["name"]).alias("class_name"),
-            _text(o["bndbox"]["xmin"]).try_cast("double").alias("xmin"),
-            _text(o["bndbox"]["ymin"]).try_cast("double").alias("ymin"),
-            _text(o["bndbox"]["xmax"]).try_cast("double").alias("xmax"),
-            _text(o["bndbox"]["ymax"]).try_cast("double").alias("ymax"),
-            _optional_flag(o["difficult"]).alias("difficult"),
-            _optional_flag(o["truncated"]).alias("truncated"),
+            *[o[c].alias(c) for c in ("class_name", "xmin", "ymin", "xmax", "ymax")],
+            *[(F.coalesce(o[c], F.lit(0)) != 0).alias(c) for c in ("difficult", "truncated")],
         ),
     )
     good = F.col("reject_reason").isNull()
-    return parsed.withColumn("reject_reason", reason).select(
+    return texts.withColumn("reject_reason", reason).select(
         id_col,
         *keep,
-        F.when(good, _text(doc["filename"])).alias("filename"),
-        F.when(good, _text(size["width"]).try_cast("int")).alias("width"),
-        F.when(good, _text(size["height"]).try_cast("int")).alias("height"),
-        F.when(good, _text(size["depth"]).try_cast("int")).alias("depth"),
-        F.when(good, typed).alias("objects"),
+        *[F.when(good, F.col(f"_{c}")).alias(c) for c in ("filename", "width", "height", "depth")],
+        F.when(good, final).alias("objects"),
         "reject_reason",
     )
 
