@@ -12,17 +12,20 @@ _FIELDS = ("x_center", "y_center", "box_width", "box_height")
 
 
 def read_label_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(label_path, image_id, text)``, one row per ``*.txt`` file."""
-    return (
-        spark.read.option("wholetext", "true")
+    """``(label_path, image_id, text)``, one row per ``*.txt`` file, empty files included.
+
+    The text reader leaves empty files out, so the files are read as bytes.
+    """
+    files = (
+        spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.txt")
-        .text(path)
-        .select(
-            F.col("_metadata.file_path").alias("label_path"),
-            stem_of(F.col("_metadata.file_path")).alias("image_id"),
-            F.col("value").alias("text"),
-        )
+        .load(path)
+    )
+    return files.select(
+        F.col("path").alias("label_path"),
+        stem_of(F.col("path")).alias("image_id"),
+        F.col("content").cast("string").alias("text"),
     )
 
 

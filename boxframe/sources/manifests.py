@@ -25,13 +25,13 @@ def parse_json(documents: DataFrame, json_col: str, schema: str, out: str = "doc
 
 
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """One row per JSON file, parsed against ``schema``."""
+    """One row per JSON file, parsed against ``schema``; an empty file is unreadable."""
     files = (
-        spark.read.option("wholetext", "true")
+        spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.json")
-        .text(path)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("json"))
+        .load(path)
+        .select("path", F.nullif(F.col("content").cast("string"), F.lit("")).alias("json"))
     )
     return parse_json(files, "json", schema)
 
