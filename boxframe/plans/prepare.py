@@ -42,7 +42,7 @@ OPTIONS = {
 
 @dataclass(frozen=True)
 class Prepared:
-    """Tables of a dataset version; nothing has run but the split assignment."""
+    """Tables of a dataset version, derived from parsed annotations, image sizes and the split."""
 
     images: DataFrame
     objects: DataFrame
@@ -69,7 +69,6 @@ def prepare(
     """
     annotations = read_voc(spark, f"{root}/Annotations")
     files = read_images(spark, f"{root}/JPEGImages")
-    paths = files.select("path")
     if membership is not None:
         members = membership.select("image_id", "split")
     elif official:
@@ -82,13 +81,15 @@ def prepare(
         )
     else:
         members = assign_fallback_splits(annotations.select("image_id"), seed)
-    # One row per image; several tables below start from it.
+    # Every file is read and parsed once; the tables below start from these results.
     members = cut_lineage(members)
+    annotations = cut_lineage(annotations)
+    measured = cut_lineage(image_meta(files.select("path", "content")))
+    paths = measured.select("path")
     noted = annotations.join(members, "image_id")
     resolved = resolve_images(
         noted.select("image_id", "split", "filename", "width", "height", "reject_reason"), paths
     )
-    measured = image_meta(files.select("path", "content"))
     sized = resolved.withColumnsRenamed({"width": "xml_width", "height": "xml_height"}).join(
         measured.withColumnRenamed("path", "image_path"), "image_path", "left"
     )
@@ -100,6 +101,7 @@ def prepare(
         sized.select("image_id", "width", "height"),
         verify_dimensions,
     )
+    images = cut_lineage(images)
     objects = voc_objects(noted).drop("width", "height")
     placed = objects.join(images.select("image_id", "split", "width", "height"), "image_id")
     normalized = normalize_boxes(placed)

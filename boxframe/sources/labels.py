@@ -12,20 +12,14 @@ _FIELDS = ("x_center", "y_center", "box_width", "box_height")
 
 
 def read_label_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(label_path, image_id, text)``, one row per ``*.txt`` file, empty files included.
+    """``(label_path, image_id, text)``, one row per ``*.txt`` file in a folder (or a glob of them).
 
-    The text reader leaves empty files out, so the files are read as bytes.
+    An empty file says that its image has no objects, so it must keep its row. The DataFrame file
+    sources drop files of length zero while listing; ``wholeTextFiles`` is the reader that does not.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.txt")
-        .load(path)
-    )
-    return files.select(
-        F.col("path").alias("label_path"),
-        stem_of(F.col("path")).alias("image_id"),
-        F.col("content").cast("string").alias("text"),
+    files = spark.sparkContext.wholeTextFiles(f"{path.rstrip('/')}/*.txt")
+    return spark.createDataFrame(files, "label_path string, text string").select(
+        "label_path", stem_of(F.col("label_path")).alias("image_id"), "text"
     )
 
 

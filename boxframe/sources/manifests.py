@@ -25,13 +25,13 @@ def parse_json(documents: DataFrame, json_col: str, schema: str, out: str = "doc
 
 
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """One row per JSON file, parsed against ``schema``; an empty file is unreadable."""
+    """One row per JSON file, parsed against ``schema``."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.json")
         .load(path)
-        .select("path", F.nullif(F.col("content").cast("string"), F.lit("")).alias("json"))
+        .select("path", F.col("content").cast("string").alias("json"))
     )
     return parse_json(files, "json", schema)
 
