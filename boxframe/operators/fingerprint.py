@@ -52,18 +52,16 @@ def ordered_digest(
 
     Up to ``leaf_size`` rows the digest is that of the joined text, equal to hashing the file. A
     larger group is spread over hash-chosen leaves of bounded size; leaf digests are hashed in blocks
-    of 4,096 and the block digests once more, so no task holds a whole group. ``leaves`` fixes the
-    number of leaves instead (1 to 2^32).
+    of 4,096 and the block digests once more, so no task holds a whole group. ``leaves`` asks for at
+    least that many leaves (up to 2^32), also for a small group.
     """
     keys = list(keys)
     plain = rows.select(
         *keys, sort.alias("_sort"), text.alias("_text"), leaf_key.cast("string").alias("_key")
     )
-    if leaves is None:
-        sizes = plain.groupBy(*keys).agg(F.count("*").alias("_n"))
-        spread = plain.join(sizes, keys).withColumn("_leaves", _leaf_count(F.col("_n"), leaf_size))
-    else:
-        spread = plain.withColumn("_leaves", F.lit(leaves).cast("bigint"))
+    sizes = plain.groupBy(*keys).agg(F.count("*").alias("_n"))
+    wanted = F.greatest(_leaf_count(F.col("_n"), leaf_size), F.lit(leaves or 1).cast("bigint"))
+    spread = plain.join(sizes.select(*keys, wanted.alias("_leaves")), keys)
     leaf = F.when(F.col("_leaves") > 1, _leaf_number(F.col("_key"), F.col("_leaves"))).otherwise(0)
     leaf_digests = (
         spread.withColumn("_leaf", leaf)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from boxframe.functions.boxes import clip_to_pixels, is_finite, ratio
 from boxframe.functions.text import fixed6, fourcc
 from boxframe.operators.quantiles import exact_quantiles
-from boxframe.operators.ranking import HOT_ROWS, grouped_running_sum
+from boxframe.operators.ranking import HOT_ROWS, grouped_running_sums
 from boxframe.schemas import DETECTION_COLUMNS
 
 STAGES = ("preprocess_ms", "inference_ms", "postprocess_ms")
@@ -203,5 +203,6 @@ def running_detections(
     counted = frames.withColumn("_found", F.col("detections").cast("bigint"))
     order = [F.asc("frame_index")]
     levels = [F.floor(F.col("frame_index") / 65536)]
-    rows = grouped_running_sum(counted, [key], order, levels, "_found", "detections_so_far", hot_rows)
+    totals = {"detections_so_far": "_found"}
+    rows = grouped_running_sums(counted, [key], order, levels, totals, hot_rows)
     return rows.drop("_found")

@@ -63,24 +63,23 @@ def remap_classes(objects: DataFrame, mapping: DataFrame | None = None) -> DataF
     return objects.drop("class_id").join(mapping, "class_name", "left")
 
 
-def check_dimensions(annotated: DataFrame, measured: DataFrame, verify: bool = True) -> DataFrame:
+def check_dimensions(
+    annotated: DataFrame, measured: DataFrame | None = None, verify: bool = True
+) -> DataFrame:
     """Image size to use and ``dimension_mismatch``.
 
-    ``annotated`` is ``(image_id, xml_width, xml_height)``, ``measured`` ``(image_id, width,
-    height)``. With ``verify`` the measured size is used, otherwise the annotated one.
+    ``annotated`` has ``xml_width, xml_height``, ``measured`` is ``(image_id, width, height)``; without
+    it the measured size is already part of ``annotated``. With ``verify`` the measured size is used,
+    otherwise the annotated one.
     """
-    real = measured.select(
-        "image_id", F.col("width").alias("_w"), F.col("height").alias("_h")
-    )
-    joined = annotated.join(real, "image_id", "left")
-    mismatch = (F.col("_w") != F.col("xml_width")) | (F.col("_h") != F.col("xml_height"))
-    width, height = (("_w", "_h") if verify else ("xml_width", "xml_height"))
-    return joined.select(
-        *annotated.columns,
-        F.col(width).alias("width"),
-        F.col(height).alias("height"),
-        mismatch.alias("dimension_mismatch"),
-    )
+    if measured is not None:
+        sizes = measured.select("image_id", "width", "height")
+        annotated = annotated.join(sizes, "image_id", "left")
+    mismatch = (F.col("width") != F.col("xml_width")) | (F.col("height") != F.col("xml_height"))
+    flagged = annotated.withColumn("dimension_mismatch", mismatch)
+    if verify:
+        return flagged
+    return flagged.withColumns({"width": F.col("xml_width"), "height": F.col("xml_height")})
 
 
 def split_stats(images: DataFrame, boxes: DataFrame) -> DataFrame:

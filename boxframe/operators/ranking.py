@@ -34,26 +34,31 @@ def split_hot(
 
 
 def _bucket_offsets(
-    df: DataFrame, keys: Sequence[str], levels: Sequence[str], amount: Column, name: str
+    df: DataFrame, keys: Sequence[str], levels: Sequence[str], amounts: dict[str, Column]
 ) -> DataFrame:
-    """Per bucket, the total of ``amount`` in the earlier buckets of the same group."""
-    sizes = df.groupBy(*keys, *levels).agg(F.sum(amount).alias("_size"))
+    """Per bucket, the totals of the amounts in the earlier buckets of the same group."""
+    sizes = df.groupBy(*keys, *levels).agg(*[F.sum(a).alias(n) for n, a in amounts.items()])
     result = None
     for depth in range(len(levels)):
         scope = [*keys, *levels[:depth]]
         by = [*scope, levels[depth]]
-        level_sizes = sizes.groupBy(*by).agg(F.sum("_size").alias("_size"))
+        level_sizes = sizes.groupBy(*by).agg(*[F.sum(n).alias(n) for n in amounts])
         before = (
             Window.partitionBy(*scope)
             .orderBy(levels[depth])
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         offsets = level_sizes.select(
-            *by, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias(f"_off{depth}")
+            *by,
+            *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}{depth}") for n in amounts],
         )
         result = offsets if result is None else offsets.join(result, scope)
-    total = sum((F.col(f"_off{d}") for d in range(1, len(levels))), F.col("_off0"))
-    return result.select(*keys, *levels, total.alias(name))
+
+    def total(name: str) -> Column:
+        parts = [F.col(f"{name}{d}") for d in range(len(levels))]
+        return sum(parts[1:], parts[0]).alias(name)
+
+    return result.select(*keys, *levels, *[total(n) for n in amounts])
 
 
 def grouped_row_number(
@@ -76,7 +81,7 @@ def grouped_row_number(
         return ranked
     names = [f"_level{i}" for i in range(len(levels))]
     cut = hot.withColumns(dict(zip(names, levels)))
-    offsets = _bucket_offsets(cut, keys, names, F.lit(1), "_offset")
+    offsets = _bucket_offsets(cut, keys, names, {"_offset": F.lit(1)})
     local = F.row_number().over(Window.partitionBy(*keys, *names).orderBy(*order))
     ranked_hot = (
         cut.withColumn("_local", local)
@@ -87,32 +92,36 @@ def grouped_row_number(
     return ranked.unionByName(ranked_hot)
 
 
-def grouped_running_sum(
+def grouped_running_sums(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
     levels: Sequence[Column],
-    amount: str,
-    out: str,
+    amounts: dict[str, str],
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Running total of ``amount`` within ``keys``, the current row included."""
+    """Running totals within ``keys``, the current row included.
+
+    ``amounts`` maps the name of each total to the column it adds up.
+    """
     normal, hot = split_hot(df, keys, hot_rows)
 
-    def running(*by: str) -> Column:
+    def running(amount: str, *by: str) -> Column:
         window = Window.partitionBy(*by).orderBy(*order)
         return F.sum(amount).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
-    summed = normal.withColumn(out, running(*keys))
+    summed = normal.withColumns({n: running(a, *keys) for n, a in amounts.items()})
     if hot is None:
         return summed
     names = [f"_level{i}" for i in range(len(levels))]
     cut = hot.withColumns(dict(zip(names, levels)))
-    offsets = _bucket_offsets(cut, keys, names, F.col(amount), "_offset")
+    offsets = _bucket_offsets(
+        cut, keys, names, {f"_before_{n}": F.col(a) for n, a in amounts.items()}
+    )
     summed_hot = (
-        cut.withColumn("_local", running(*keys, *names))
+        cut.withColumns({f"_local_{n}": running(a, *keys, *names) for n, a in amounts.items()})
         .join(offsets, [*keys, *names])
-        .withColumn(out, F.col("_local") + F.col("_offset"))
+        .withColumns({n: F.col(f"_local_{n}") + F.col(f"_before_{n}") for n in amounts})
         .select(*summed.columns)
     )
     return summed.unionByName(summed_hot)

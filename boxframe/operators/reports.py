@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxframe.functions.boxes import area_bucket, box_area, ratio
 from boxframe.operators.checkpoints import cut_lineage
 from boxframe.operators.matching import CROWDED_PAIRS, false_positives, match_levels
+from boxframe.operators.ranking import HOT_ROWS, grouped_running_sums
 
 # Promotion metrics in order of weight, their direction, and the tolerance.
 RANKING = (
@@ -28,14 +29,14 @@ def average_precision(
     pred: DataFrame,
     iou_levels: Sequence[float] = (0.5, 0.75),
     crowded_pairs: int = CROWDED_PAIRS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``(iou_threshold, average_precision)`` with 101-point interpolation.
 
     Predictions are first counted per distinct confidence, so the curve is built from at most one
-    row per confidence value; predictions of equal confidence enter together. The running totals
-    are two-level: per block of confidences, then inside each block.
+    row per confidence value; predictions of equal confidence enter together.
     """
-    hits = match_levels(gt, pred, iou_levels, crowded_pairs)
+    hits = match_levels(gt, pred, iou_levels, crowded_pairs, hot_rows)
     tagged = hits.groupBy("iou_threshold", "confidence").agg(F.count("*").alias("tp"))
     levels = F.explode(F.array(*[F.lit(float(level)) for level in iou_levels]))
     counts = (
@@ -46,7 +47,7 @@ def average_precision(
         .select("iou_threshold", "confidence", "n", F.coalesce("tp", F.lit(0)).alias("tp"))
     )
     truth = gt.agg(F.count("*").alias("n")).scalar()
-    curve = _cumulative(counts).withColumns(
+    curve = _cumulative(counts, hot_rows).withColumns(
         {"recall": ratio(F.col("tp_sum"), truth), "precision": ratio(F.col("tp_sum"), F.col("n_sum"))}
     )
     # Each curve point serves the recall points it reaches; per point the best precision counts.
@@ -65,34 +66,15 @@ def average_precision(
     )
 
 
-def _cumulative(counts: DataFrame) -> DataFrame:
-    """Totals at or above each confidence, without one task seeing every value."""
-    blocked = counts.withColumn("block", F.floor(F.col("confidence") * 4096))
-    above = (
-        Window.partitionBy("iou_threshold")
-        .orderBy(F.desc("block"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = (
-        blocked.groupBy("iou_threshold", "block")
-        .agg(F.sum("n").alias("bn"), F.sum("tp").alias("bt"))
-        .select(
-            "iou_threshold",
-            "block",
-            F.coalesce(F.sum("bn").over(above), F.lit(0)).alias("n_above"),
-            F.coalesce(F.sum("bt").over(above), F.lit(0)).alias("tp_above"),
-        )
-    )
-    inside = (
-        Window.partitionBy("iou_threshold", "block")
-        .orderBy(F.desc("confidence"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return blocked.join(offsets, ["iou_threshold", "block"]).select(
-        "iou_threshold",
-        "confidence",
-        (F.col("n_above") + F.sum("n").over(inside)).alias("n_sum"),
-        (F.col("tp_above") + F.sum("tp").over(inside)).alias("tp_sum"),
+def _cumulative(counts: DataFrame, hot_rows: int) -> DataFrame:
+    """Totals at or above each confidence."""
+    return grouped_running_sums(
+        counts,
+        ["iou_threshold"],
+        [F.desc("confidence")],
+        [F.floor(-F.col("confidence") * 4096), F.floor(-F.col("confidence") * (1 << 26))],
+        {"n_sum": "n", "tp_sum": "tp"},
+        hot_rows,
     )
 
 

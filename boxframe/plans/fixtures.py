@@ -6,7 +6,12 @@ engine both run; coordinates are multiples of 1/64 or 1/256 and so exact in both
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from boxframe.operators.ranking import HOT_ROWS, grouped_row_number
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -15,37 +20,101 @@ TABLES = (
 
 _LINE_ORDER = "l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"
 
-VIEWS: dict[str, str] = {
-    "fx_gt": f"""
-SELECT l_orderkey AS image_id,
-  CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) - 1 AS INT) AS gt_idx,
+
+@dataclass(frozen=True)
+class Numbered:
+    """A view whose rows are numbered from 0 within a key.
+
+    ``levels`` never decrease along ``order``; they cut a key that holds very many rows.
+    """
+
+    rows: str
+    key: str
+    order: str
+    levels: tuple[str, ...]
+    number: str
+    columns: str
+
+    def as_sql(self) -> str:
+        return (
+            f"SELECT {self.columns}, CAST(row_number() OVER (PARTITION BY {self.key} "
+            f"ORDER BY {self.order}) - 1 AS INT) AS {self.number} FROM ({self.rows}) AS numbered"
+        )
+
+
+NUMBERED: dict[str, Numbered] = {
+    # Ground truth: normalised corners, all multiples of 1/64.
+    "fx_gt": Numbered(
+        f"""SELECT l_orderkey AS image_id, {_LINE_ORDER},
   CAST(l_partkey % 48 AS DOUBLE) / 64 AS x1,
   CAST(l_suppkey % 48 AS DOUBLE) / 64 AS y1,
   CAST(l_partkey % 48 + 1 + CAST(l_quantity AS BIGINT) % 15 AS DOUBLE) / 64 AS x2,
   CAST(l_suppkey % 48 + 1 + l_linenumber % 15 AS DOUBLE) / 64 AS y2,
   0 AS class_id
 FROM lineitem""",
-    "fx_pred": f"""
-SELECT image_id,
-  CAST(row_number() OVER (PARTITION BY image_id ORDER BY k, {_LINE_ORDER}) - 1 AS INT) AS pred_idx,
-  x1, y1, x2, y2, 0 AS class_id, confidence
-FROM (
-  SELECT 0 AS k, l_orderkey AS image_id, {_LINE_ORDER},
-    CAST(4 * (l_partkey % 48) + l_suppkey % 5 AS DOUBLE) / 256 AS x1,
-    CAST(4 * (l_suppkey % 48) + l_partkey % 3 AS DOUBLE) / 256 AS y1,
-    CAST(4 * (l_partkey % 48 + 1 + CAST(l_quantity AS BIGINT) % 15) + l_suppkey % 5 AS DOUBLE) / 256
-      AS x2,
-    CAST(4 * (l_suppkey % 48 + 1 + l_linenumber % 15) + l_partkey % 3 AS DOUBLE) / 256 AS y2,
-    CAST(1 + (l_partkey * 7 + l_suppkey * 13 + l_linenumber * 29) % 127 AS DOUBLE) / 128
-      AS confidence
-  FROM lineitem WHERE (l_partkey + l_linenumber) % 10 <> 0
-  UNION ALL
-  SELECT 1 AS k, l_orderkey AS image_id, {_LINE_ORDER},
-    CAST(l_suppkey % 48 AS DOUBLE) / 64, CAST(l_partkey % 48 AS DOUBLE) / 64,
-    CAST(l_suppkey % 48 + 4 AS DOUBLE) / 64, CAST(l_partkey % 48 + 4 AS DOUBLE) / 64,
-    CAST(1 + (l_partkey * 5 + l_suppkey * 3) % 63 AS DOUBLE) / 128
-  FROM lineitem WHERE l_suppkey % 6 = 0
-) AS u""",
+        "image_id",
+        _LINE_ORDER,
+        ("l_linenumber", "floor(l_partkey / 1024)"),
+        "gt_idx",
+        "image_id, x1, y1, x2, y2, class_id",
+    ),
+    # Predictions: most of the truth, shifted a little, plus unrelated boxes.
+    "fx_pred": Numbered(
+        f"""SELECT 0 AS k, l_orderkey AS image_id, {_LINE_ORDER},
+  CAST(4 * (l_partkey % 48) + l_suppkey % 5 AS DOUBLE) / 256 AS x1,
+  CAST(4 * (l_suppkey % 48) + l_partkey % 3 AS DOUBLE) / 256 AS y1,
+  CAST(4 * (l_partkey % 48 + 1 + CAST(l_quantity AS BIGINT) % 15) + l_suppkey % 5 AS DOUBLE) / 256
+    AS x2,
+  CAST(4 * (l_suppkey % 48 + 1 + l_linenumber % 15) + l_partkey % 3 AS DOUBLE) / 256 AS y2,
+  0 AS class_id,
+  CAST(1 + (l_partkey * 7 + l_suppkey * 13 + l_linenumber * 29) % 127 AS DOUBLE) / 128
+    AS confidence
+FROM lineitem WHERE (l_partkey + l_linenumber) % 10 <> 0
+UNION ALL
+SELECT 1 AS k, l_orderkey AS image_id, {_LINE_ORDER},
+  CAST(l_suppkey % 48 AS DOUBLE) / 64, CAST(l_partkey % 48 AS DOUBLE) / 64,
+  CAST(l_suppkey % 48 + 4 AS DOUBLE) / 64, CAST(l_partkey % 48 + 4 AS DOUBLE) / 64, 0,
+  CAST(1 + (l_partkey * 5 + l_suppkey * 3) % 63 AS DOUBLE) / 128
+FROM lineitem WHERE l_suppkey % 6 = 0""",
+        "image_id",
+        f"k, {_LINE_ORDER}",
+        ("k", "l_linenumber", "floor(l_partkey / 1024)"),
+        "pred_idx",
+        "image_id, x1, y1, x2, y2, class_id, confidence",
+    ),
+    # Pixel boxes before clipping, with degenerate and out-of-image cases.
+    "fx_objects": Numbered(
+        f"""SELECT l_orderkey AS image_id, {_LINE_ORDER},
+  l_returnflag || '_' || l_linestatus AS class_name,
+  CAST(l_partkey % 1300 - 20 AS DOUBLE) AS xmin,
+  CAST(l_suppkey * 7 % 820 - 20 AS DOUBLE) AS ymin,
+  CAST(l_partkey % 1300 - 20 + (CAST(l_quantity AS BIGINT) - 1) * 8 AS DOUBLE) AS xmax,
+  CAST(l_suppkey * 7 % 820 - 20 + l_linenumber * 24 AS DOUBLE) AS ymax
+FROM lineitem""",
+        "image_id",
+        _LINE_ORDER,
+        ("l_linenumber", "floor(l_partkey / 1024)"),
+        "obj_idx",
+        "image_id, class_name, xmin, ymin, xmax, ymax",
+    ),
+    # Frames of a video in time order.
+    "fx_frames": Numbered(
+        """SELECT user_id AS video_id, ts, event_id, CAST(25 AS DOUBLE) AS fps,
+  CASE WHEN event_type = 'error' THEN 0 ELSE CAST(event_id % 4 AS INT) END AS detections,
+  CAST(event_id % 16 AS DOUBLE) / 8 AS preprocess_ms,
+  value AS inference_ms,
+  CAST(event_id % 8 AS DOUBLE) / 16 AS postprocess_ms
+FROM events""",
+        "video_id",
+        "ts, event_id",
+        ("date_trunc('HOUR', ts)", "date_trunc('SECOND', ts)"),
+        "frame_index",
+        "video_id, ts, fps, detections, preprocess_ms, inference_ms, postprocess_ms",
+    ),
+}
+
+VIEWS: dict[str, str] = {
+    **{name: view.as_sql() for name, view in NUMBERED.items()},
     "fx_images": """
 SELECT o_orderkey AS image_id,
   CASE WHEN o_orderkey % 20 < 3 THEN 'test' WHEN o_orderkey % 20 < 6 THEN 'val' ELSE 'train' END
@@ -56,30 +125,12 @@ SELECT o_orderkey AS image_id,
     AS xml_width,
   CAST(480 + 32 * (o_custkey % 11) AS INT) AS xml_height
 FROM orders""",
-    "fx_objects": f"""
-SELECT l_orderkey AS image_id,
-  CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) - 1 AS INT) AS obj_idx,
-  l_returnflag || '_' || l_linestatus AS class_name,
-  CAST(l_partkey % 1300 - 20 AS DOUBLE) AS xmin,
-  CAST(l_suppkey * 7 % 820 - 20 AS DOUBLE) AS ymin,
-  CAST(l_partkey % 1300 - 20 + (CAST(l_quantity AS BIGINT) - 1) * 8 AS DOUBLE) AS xmax,
-  CAST(l_suppkey * 7 % 820 - 20 + l_linenumber * 24 AS DOUBLE) AS ymax
-FROM lineitem""",
     "fx_split_lists": """
 SELECT 'trainval' AS list, CAST(doc_id AS STRING) AS image_id FROM documents WHERE doc_id % 6 <> 0
 UNION ALL
 SELECT 'trainval', CAST(doc_id AS STRING) FROM documents WHERE doc_id % 97 = 1
 UNION ALL
 SELECT 'test', CAST(doc_id AS STRING) FROM documents WHERE doc_id % 6 = 0 OR doc_id % 101 = 1""",
-    "fx_frames": """
-SELECT user_id AS video_id,
-  CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS INT) AS frame_index,
-  ts, CAST(25 AS DOUBLE) AS fps,
-  CASE WHEN event_type = 'error' THEN 0 ELSE CAST(event_id % 4 AS INT) END AS detections,
-  CAST(event_id % 16 AS DOUBLE) / 8 AS preprocess_ms,
-  value AS inference_ms,
-  CAST(event_id % 8 AS DOUBLE) / 16 AS postprocess_ms
-FROM events""",
     # Documents as dataset items: some content repeats, which the leak check is about.
     "fx_items": """
 SELECT CAST(doc_id AS STRING) AS image_id, text,
@@ -168,11 +219,28 @@ class Inputs:
         used = {t: self.table(t) for t in TABLES if "{" + t + "}" in text}
         return self.spark.sql(text, **used)
 
-    def view(self, name: str) -> DataFrame:
-        text = VIEWS[name]
-        for table in TABLES:
-            text = text.replace(f"FROM {table}", f"FROM {{{table}}}")
-        return self.sql(text)
+    def view(self, name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+        """A derived view; numbering is safe for keys with very many rows."""
+        numbered = NUMBERED.get(name)
+        if numbered is None:
+            return self.sql(_braced(VIEWS[name]))
+        place = f"_{numbered.number}"
+        rows = grouped_row_number(
+            self.sql(_braced(numbered.rows)),
+            [numbered.key],
+            [F.expr(c) for c in numbered.order.split(", ")],
+            [F.expr(c) for c in numbered.levels],
+            place,
+            hot_rows,
+        )
+        number = (F.col(place) - 1).cast("int").alias(numbered.number)
+        return rows.select(*numbered.columns.split(", "), number)
+
+
+def _braced(text: str) -> str:
+    for table in TABLES:
+        text = text.replace(f"FROM {table}", f"FROM {{{table}}}")
+    return text
 
 
 def with_views(sql: str) -> str:

@@ -93,15 +93,8 @@ def prepare(
     sized = resolved.withColumnsRenamed({"width": "xml_width", "height": "xml_height"}).join(
         measured.withColumnRenamed("path", "image_path"), "image_path", "left"
     )
-    images = check_dimensions(
-        sized.select(
-            "image_id", "split", "image_path", "n_found", "xml_width", "xml_height", "error",
-            "reject_reason",
-        ),
-        sized.select("image_id", "width", "height"),
-        verify_dimensions,
-    )
-    images = cut_lineage(images)
+    # One row per image, which most tables below start from.
+    images = cut_lineage(check_dimensions(sized, verify=verify_dimensions).drop("filename"))
     objects = voc_objects(noted).drop("width", "height")
     placed = objects.join(images.select("image_id", "split", "width", "height"), "image_id")
     normalized = normalize_boxes(placed)

@@ -84,16 +84,29 @@ def work_folder(spark: SparkSession) -> str:
     return f"{checkpoint_folder(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 
+_LOCAL_SESSIONS = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+
+
 def write_rows(stream: DataFrame, target: str, checkpoint: str) -> None:
-    """Append a stream to Parquet files until its present input is used up."""
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    """Append a stream to Parquet files until its present input is used up.
+
+    Session windows are merged before the shuffle, so a video with very many frames sends its
+    sessions and not its rows. A query takes the setting over when it starts.
+    """
+    conf = stream.sparkSession.conf
+    before = conf.get(_LOCAL_SESSIONS)
+    conf.set(_LOCAL_SESSIONS, "true")
+    try:
+        query = (
+            stream.writeStream.format("parquet")
+            .option("path", target)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        conf.set(_LOCAL_SESSIONS, before)
     query.awaitTermination()
 
 

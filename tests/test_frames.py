@@ -64,7 +64,7 @@ def test_ranks_and_totals(spark, hot_rows):
     levels = [F.floor(F.col("i") / 50), F.floor(F.col("i") / 7)]
     ranked = ranking.grouped_row_number(df, ["k"], [F.asc("i")], levels, "r", hot_rows)
     assert all(r.r == r.i + 1 for r in ranked.collect())
-    summed = ranking.grouped_running_sum(df, ["k"], [F.asc("i")], levels, "n", "s", hot_rows)
+    summed = ranking.grouped_running_sums(df, ["k"], [F.asc("i")], levels, {"s": "n"}, hot_rows)
     for r in summed.collect():
         assert r.s == sum(n for k, i, n in rows if k == r.k and i <= r.i)
 

@@ -183,7 +183,7 @@ def test_average_precision_of_perfect_and_crowded(spark):
     data = make(21, 10, 10, 14)
     gt, pred, _ = frames(spark, data)
     plain = {r[0]: r[1] for r in reports.average_precision(gt, pred, [0.5, 0.75]).collect()}
-    packed = reports.average_precision(gt, pred, [0.5, 0.75], crowded_pairs=0)
+    packed = reports.average_precision(gt, pred, [0.5, 0.75], crowded_pairs=0, hot_rows=3)
     assert {r[0]: r[1] for r in packed.collect()} == pytest.approx(plain)
     perfect = gt.withColumnRenamed("gt_idx", "pred_idx").withColumn("confidence", F.lit(0.9))
     value = reports.average_precision(gt, perfect, [0.5]).head()

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-from boxframe.plans.fixtures import TABLES
+from boxframe.plans.fixtures import NUMBERED, TABLES, Inputs
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -43,3 +43,10 @@ def test_against_sql(spark, database, name):
     order = [names.index(c) for c in columns]
     theirs = [tuple(row[i] for i in order) for row in cursor.fetchall()]
     assert comparable(mine) == comparable(theirs)
+
+
+@pytest.mark.parametrize("name", sorted(NUMBERED))
+def test_numbering_of_large_keys(spark, name):
+    inputs = Inputs(spark, FOLDER)
+    usual, cut = inputs.view(name), inputs.view(name, hot_rows=4)
+    assert usual.exceptAll(cut).count() == 0 and cut.exceptAll(usual).count() == 0
