@@ -48,6 +48,23 @@ def _crowded_images(gt: DataFrame, pred: DataFrame, crowded_pairs: int) -> DataF
     return counts.filter(F.col("g") * F.col("p") > crowded_pairs).select("image_id")
 
 
+def _split_crowded(
+    gt: DataFrame, pred: DataFrame, crowded_pairs: int
+) -> tuple[tuple[DataFrame, DataFrame], tuple[DataFrame, DataFrame] | None]:
+    """Boxes of ordinary images, and those of crowded images or None when there are none.
+
+    Looks once at the image sizes.
+    """
+    crowded = cut_lineage(_crowded_images(gt, pred, crowded_pairs))
+    if crowded.isEmpty():
+        return (gt, pred), None
+
+    def part(how: str) -> tuple[DataFrame, DataFrame]:
+        return gt.join(crowded, "image_id", how), pred.join(crowded, "image_id", how)
+
+    return part("left_anti"), part("left_semi")
+
+
 def _direct_pairs(gt: DataFrame, pred: DataFrame, iou_threshold: float) -> DataFrame:
     overlap = iou(_corners("p_"), _corners("g_"))
     return (
@@ -71,7 +88,6 @@ def _grid_pairs(
     grid of its own size level, and a target is copied to the few cells and levels it can reach.
     """
     reach = max(0, math.ceil(-math.log2(iou_threshold) - 1e-12))
-    cell = 4.0
 
     def middle(prefix: str, axis: str) -> Column:
         return (F.col(f"{prefix}{axis}1") + F.col(f"{prefix}{axis}2")) / 2
@@ -83,7 +99,7 @@ def _grid_pairs(
         ]
 
     def cell_size(level: Column) -> Column:
-        return F.pow(F.lit(2.0), level.cast("double")) * F.lit(cell)
+        return F.pow(F.lit(2.0), level.cast("double"))
 
     own = pred.withColumn("_level", _level(*side("p_")))
     size = cell_size(F.col("_level"))
@@ -97,7 +113,7 @@ def _grid_pairs(
         "_level", F.explode(F.sequence(F.col("_own") - reach, F.col("_own") + reach))
     )
     size = cell_size(F.col("_level"))
-    longest = F.greatest(*side("g_"), size / cell * 2)
+    longest = F.greatest(*side("g_"), size * 2)
     slack = longest * F.lit(1.0 - iou_threshold + 1e-9)
 
     def cells(axis: str) -> Column:
@@ -128,19 +144,12 @@ def candidate_pairs(
     """``(image_id, pred_idx, gt_idx, iou)`` of every pair that reaches the threshold."""
     _check(iou_threshold)
     g, p = _ready(gt, "g_", ["gt_idx"]), _ready(pred, "p_", ["pred_idx"])
-    crowded = _crowded_images(gt, pred, crowded_pairs)
-    plain = _direct_pairs(
-        g.join(crowded, "image_id", "left_anti"),
-        p.join(crowded, "image_id", "left_anti"),
-        iou_threshold,
-    )
-    packed = _grid_pairs(
-        g.join(crowded, "image_id", "left_semi"),
-        p.join(crowded, "image_id", "left_semi"),
-        iou_threshold,
-    )
+    plain, packed = _split_crowded(g, p, crowded_pairs)
     columns = ["image_id", "pred_idx", "gt_idx", "iou"]
-    return plain.select(*columns).unionByName(packed.select(*columns))
+    pairs = _direct_pairs(*plain, iou_threshold).select(*columns)
+    if packed is None:
+        return pairs
+    return pairs.unionByName(_grid_pairs(*packed, iou_threshold).select(*columns))
 
 
 def _fold_pairs(pairs: DataFrame, *keys: str) -> DataFrame:
@@ -334,10 +343,7 @@ def match_detections(
     crowded_pairs: int = CROWDED_PAIRS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """``(image_id, pred_idx, gt_idx, iou, confidence, gt_area)`` of every true positive.
-
-    Looks once at the image sizes to see whether any image is crowded.
-    """
+    """``(image_id, pred_idx, gt_idx, iou, confidence, gt_area)`` of every true positive."""
     _check(iou_threshold)
     if not 0.0 <= confidence_threshold <= 1.0:
         raise ValueError("confidence_threshold must be within [0, 1]")
@@ -345,23 +351,12 @@ def match_detections(
     area = box_area(*[F.col(c) for c in CORNERS])
     g = _ready(gt.withColumn("gt_area", area), "g_", ["gt_idx", "gt_area"])
     p = _ready(pred, "p_", ["pred_idx", "confidence"])
-    crowded = _crowded_images(gt, pred, crowded_pairs)
-    if crowded.isEmpty():
-        return _fold_pairs(_direct_pairs(g, p, iou_threshold))
-    plain = _fold_pairs(
-        _direct_pairs(
-            g.join(crowded, "image_id", "left_anti"),
-            p.join(crowded, "image_id", "left_anti"),
-            iou_threshold,
-        )
-    )
-    packed = _match_crowded(
-        cut_lineage(g.join(crowded, "image_id", "left_semi")),
-        p.join(crowded, "image_id", "left_semi"),
-        iou_threshold,
-        hot_rows,
-    )
-    return plain.unionByName(packed.select(*plain.columns))
+    plain, packed = _split_crowded(g, p, crowded_pairs)
+    result = _fold_pairs(_direct_pairs(*plain, iou_threshold))
+    if packed is None:
+        return result
+    found = _match_crowded(cut_lineage(packed[0]), packed[1], iou_threshold, hot_rows)
+    return result.unionByName(found.select(*result.columns))
 
 
 def match_levels(
@@ -380,22 +375,19 @@ def match_levels(
     area = box_area(*[F.col(c) for c in CORNERS])
     g = _ready(gt.withColumn("gt_area", area), "g_", ["gt_idx", "gt_area"])
     p = _ready(pred, "p_", ["pred_idx", "confidence"])
-    crowded = _crowded_images(gt, pred, crowded_pairs)
-    busy = not crowded.isEmpty()
-    g_plain = g.join(crowded, "image_id", "left_anti") if busy else g
-    p_plain = p.join(crowded, "image_id", "left_anti") if busy else p
+    plain, packed = _split_crowded(g, p, crowded_pairs)
     levels = F.array(*[F.lit(float(level)) for level in iou_levels])
-    pairs = _direct_pairs(g_plain, p_plain, min(iou_levels)).withColumn(
+    pairs = _direct_pairs(*plain, min(iou_levels)).withColumn(
         "iou_threshold", F.explode(F.filter(levels, lambda level: level <= F.col("iou")))
     )
     result = _fold_pairs(pairs, "iou_threshold")
-    if busy:
-        g_packed = cut_lineage(g.join(crowded, "image_id", "left_semi"))
-        p_packed = cut_lineage(p.join(crowded, "image_id", "left_semi"))
-        for level in iou_levels:
-            packed = _match_crowded(g_packed, p_packed, level, hot_rows)
-            packed = packed.withColumn("iou_threshold", F.lit(float(level)))
-            result = result.unionByName(packed.select(*result.columns))
+    if packed is None:
+        return result
+    g_packed, p_packed = (cut_lineage(part) for part in packed)
+    for level in iou_levels:
+        found = _match_crowded(g_packed, p_packed, level, hot_rows)
+        found = found.withColumn("iou_threshold", F.lit(float(level)))
+        result = result.unionByName(found.select(*result.columns))
     return result
 
 

@@ -210,20 +210,25 @@ def _metric_columns(rows: DataFrame) -> DataFrame:
     )
 
 
-def threshold_references(rows: DataFrame, recall_tolerance: float = 0.01) -> DataFrame:
-    """One row: the best-F1, highest full-recall and balanced high-recall thresholds."""
+def reference_columns(rows: DataFrame, recall_tolerance: float = 0.01) -> tuple[DataFrame, dict[str, Column]]:
+    """Sweep rows with the top recall added, and the aggregates that pick the three references."""
     # One row per ladder value, so a single partition is the right size.
     best = rows.withColumn("top_recall", F.max("recall").over(Window.partitionBy()))
     t = F.col("threshold")
     near_top = F.abs(F.col("recall") - F.col("top_recall")) <= TIE_SLACK
     high = F.col("recall") >= F.col("top_recall") - recall_tolerance
-    return best.agg(
-        F.min_by("threshold", F.when(high, F.struct("false_positives_per_image", -t))).alias(
-            "balanced_high_recall_threshold"
-        ),
-        F.max_by("threshold", F.struct("f1", "threshold")).alias("best_f1_threshold"),
-        F.max(F.when(near_top, t)).alias("max_recall_threshold"),
-    )
+    calm = F.when(high, F.struct("false_positives_per_image", -t))
+    return best, {
+        "balanced_high_recall_threshold": F.min_by("threshold", calm),
+        "best_f1_threshold": F.max_by("threshold", F.struct("f1", "threshold")),
+        "max_recall_threshold": F.max(F.when(near_top, t)),
+    }
+
+
+def threshold_references(rows: DataFrame, recall_tolerance: float = 0.01) -> DataFrame:
+    """One row: the best-F1, highest full-recall and balanced high-recall thresholds."""
+    best, picks = reference_columns(rows, recall_tolerance)
+    return best.agg(*[pick.alias(name) for name, pick in picks.items()])
 
 
 def select_row(rows: DataFrame, threshold: float) -> DataFrame:

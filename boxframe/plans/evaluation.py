@@ -11,7 +11,9 @@ from boxframe.functions.boxes import SMALL_AREA_MAX
 from boxframe.operators.frames import latency_summary
 from boxframe.operators.matching import coverage
 from boxframe.operators.sweep import (
+    TIE_SLACK,
     evaluation_thresholds,
+    reference_columns,
     select_row,
     sweep,
     threshold_references,
@@ -90,25 +92,32 @@ def metrics_document(
     """
     counts = ("false_negatives", "false_positives", "ground_truth", "images", "predictions",
               "true_positives")
-    chosen = select_row(rows, selected)
     metric_names = [c for c in rows.columns if c not in (*counts, "threshold")]
-    references = threshold_references(rows)
-    extra = {} if precision is None else {c: precision.select(c).scalar() for c in precision.columns}
+    best, picks = reference_columns(rows)
+    is_chosen = F.abs(F.col("threshold") - F.lit(float(selected))) <= TIE_SLACK
+    # One aggregate over the sweep rows gives the chosen row and the references together.
+    one = best.agg(
+        F.max(F.when(is_chosen, F.struct(*rows.columns))).alias("row"),
+        F.struct(*[pick.alias(name) for name, pick in picks.items()]).alias("threshold_references"),
+    ).filter("row is not null")
+    extra = {}
+    if precision is not None:
+        whole = precision.select(F.struct("*")).scalar()
+        extra = {c: whole[c] for c in precision.columns}
     metrics = sorted([*metric_names, *extra])
-    return chosen.select(
-        F.col("threshold").alias("confidence_threshold"),
-        F.struct(*counts).alias("counts"),
+    row = F.col("row")
+    return one.select(
+        row["threshold"].alias("confidence_threshold"),
+        F.struct(*[row[c].alias(c) for c in counts]).alias("counts"),
         F.lit(dataset_fingerprint).alias("dataset_fingerprint"),
-        F.struct(*[latency.select(c).scalar().alias(c) for c in latency.columns]).alias("latency"),
+        latency.select(F.struct("*")).scalar().alias("latency"),
         F.lit(iou_threshold).alias("matching_iou_threshold"),
-        F.struct(*[extra[c].alias(c) if c in extra else F.col(c) for c in metrics]).alias("metrics"),
+        F.struct(*[(extra[c] if c in extra else row[c]).alias(c) for c in metrics]).alias("metrics"),
         F.lit(model_sha256).alias("model_sha256"),
         F.lit(run_id).alias("run_id"),
         F.lit("1.0").alias("schema_version"),
         F.lit(small_area).alias("small_object_max_area_ratio"),
         F.lit(split).alias("split"),
-        F.struct(
-            *[references.select(c).scalar().alias(c) for c in references.columns]
-        ).alias("threshold_references"),
+        "threshold_references",
         F.lit(selection_allowed).alias("threshold_selection_allowed"),
     )

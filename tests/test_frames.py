@@ -215,6 +215,10 @@ def test_metrics_document(spark, tmp_path):
     result = evaluation.evaluate(gt, pred, pictures, "val")
     assert result.problems.count() == 0 and result.selected.head().recall == 1.0
     assert result.references.head().best_f1_threshold == 0.8
+    timing = spark.createDataFrame([(4.0,)], "fps double")
+    precision = spark.createDataFrame([(0.5, 0.25)], "map50 double, map50_95 double")
+    row = evaluation.metrics_document(result.rows, timing, "r", "val", 0.25, True, precision=precision).head()
+    assert (row.metrics.map50, row.metrics.recall, row.latency.fps, row.counts.images) == (0.5, 1.0, 4.0, 2)
     sinks.write_sweep(result.rows, f"{tmp_path}/sweep")
     back = spark.read.option("header", True).csv(f"{tmp_path}/sweep/threshold_sweep_csv")
     assert tuple(back.columns) == sweep.METRIC_COLUMNS and back.count() == 19
