@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from boxframe.operators.checkpoints import cut_lineage
 from boxframe.operators.splits import split_overlap
 from boxframe.schemas import SPLITS
 
@@ -35,8 +36,10 @@ def content_leak(items: DataFrame, hash_col: str = "digest") -> DataFrame:
 
     Splits count in the order train, val, test. The first split that holds a digest keeps it, with
     its last image ID. Built from two aggregates, so many copies of one content never meet in a
-    window: per digest and split first, then per digest.
+    window: per digest and split first, then per digest. The digests are written down first, so that
+    the contents behind them are read and hashed once.
     """
+    items = cut_lineage(items.select("split", "image_id", hash_col))
     order = F.array_position(F.array(*[F.lit(s) for s in SPLITS]), F.col("split")).cast("int")
     ranked = items.withColumn("_order", order)
     kept = ranked.groupBy(hash_col, "_order", "split").agg(F.max("image_id").alias("last_id"))

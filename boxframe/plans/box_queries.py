@@ -162,8 +162,8 @@ FROM fx_pred"""
 FROM ({_SPOILT}) AS s""",
 )
 def box_validity(inputs: Inputs) -> DataFrame:
-    inputs.view("fx_pred").createOrReplaceTempView("fx_pred_for_validity")
-    rows = inputs.spark.sql(_SPOILT.replace("FROM fx_pred", "FROM fx_pred_for_validity"))
+    spoilt = _SPOILT.replace("FROM fx_pred", "FROM {pred}")
+    rows = inputs.spark.sql(spoilt, pred=inputs.view("fx_pred"))
     corners = [F.col(c) for c in ("x1", "y1", "x2", "y2")]
     return rows.select(
         "image_id",

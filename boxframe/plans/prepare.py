@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxframe.operators.checkpoints import cut_lineage
@@ -21,8 +21,15 @@ from boxframe.operators.profile import (
 )
 from boxframe.operators.quality import assert_valid, issue_rows
 from boxframe.operators.quantiles import distribution
-from boxframe.operators.splits import assign_fallback_splits, assign_splits, split_integrity
-from boxframe.sinks.files import publish
+from boxframe.operators.splits import (
+    STRATEGY_FALLBACK,
+    STRATEGY_OFFICIAL,
+    assign_fallback_splits,
+    assign_splits,
+    split_integrity,
+)
+from boxframe.schemas import SPLITS
+from boxframe.sinks.files import manifest_json, publish
 from boxframe.sources.images import image_meta, read_images
 from boxframe.sources.listing import image_index, resolve_images
 from boxframe.sources.split_lists import read_split_list
@@ -50,6 +57,7 @@ class Prepared:
     rejects: DataFrame
     issues: DataFrame
     fingerprint: DataFrame
+    manifest: DataFrame
 
 
 def prepare(
@@ -114,7 +122,13 @@ def prepare(
         .unionByName(issue_rows(images.filter("error is not null"), "error", "unreadable_image"))
     )
     options = {**OPTIONS, "verify_image_dimensions": verify_dimensions}
-    fingerprint = dataset_fingerprint(split_hash(members), source_sha, options)
+    hashes = cut_lineage(split_hash(members))
+    fingerprint = dataset_fingerprint(hashes, source_sha, options)
+    if membership is not None:
+        strategy = "replayed"
+    else:
+        strategy = STRATEGY_OFFICIAL if official else STRATEGY_FALLBACK
+    manifest = dataset_manifest(hashes, fingerprint, source_sha, options, strategy, seed)
     return Prepared(
         images.drop("n_found", "error", "reject_reason"),
         normalized,
@@ -122,7 +136,42 @@ def prepare(
         rejects,
         issues,
         fingerprint,
+        manifest,
+    )
+
+
+def dataset_manifest(
+    hashes: DataFrame,
+    fingerprint: DataFrame,
+    source_sha: str,
+    options: dict[str, object],
+    strategy: str,
+    seed: int,
+) -> DataFrame:
+    """One row ``(manifest)``: canonical JSON on a dataset version.
+
+    Split members are a table of the version, so the manifest holds their counts and digests only.
+    """
+
+    def per_split(value: Column) -> Column:
+        parts = [F.max(F.when(F.col("split") == s, value)).alias(s) for s in sorted(SPLITS)]
+        return F.struct(*parts)
+
+    one = hashes.agg(
+        per_split(F.col("n")).alias("counts"),
+        per_split(F.struct(F.col("n").alias("count"), F.col("digest").alias("sha256"))).alias("files"),
     )
+    fields = {
+        "conversion": F.struct(*[F.lit(options[k]).alias(k) for k in sorted(options)]),
+        "counts": F.col("counts"),
+        "dataset_fingerprint": fingerprint.scalar(),
+        "schema_version": F.lit("1.0"),
+        "source_archive_sha256": F.lit(source_sha),
+        "split_configuration": F.struct(F.lit(seed).alias("seed")),
+        "split_files": F.col("files"),
+        "split_strategy": F.lit(strategy),
+    }
+    return one.select(manifest_json(fields).alias("manifest"))
 
 
 def statistics(prepared: Prepared) -> dict[str, DataFrame]:
@@ -151,5 +200,6 @@ def publish_prepared(prepared: Prepared, root: str, force: bool = False) -> tupl
         "rejects": prepared.rejects,
         "labels": labels,
         "splits": prepared.images.select("split", "image_id"),
+        "manifest": prepared.manifest,
     }
     return fingerprint, publish(tables, root, fingerprint, force)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from boxframe.operators import combine, fingerprint, profile, quality, splits
-from boxframe.plans import prepare
+from boxframe.plans import combination, prepare
 from boxframe.sinks import files as sinks
 from boxframe.sources import images, labels, listing, split_lists, voc
 
@@ -63,6 +63,9 @@ def test_prepare_and_publish(spark, tiny):
     assert ready.rejects.head().reject_reason == "Bounding box is degenerate after clipping"
     key, paths = prepare.publish_prepared(ready, f"{tiny}/out")
     assert len(key) == 64
+    manifest = json.loads(spark.read.parquet(paths["manifest"]).head()[0])
+    assert manifest["dataset_fingerprint"] == key
+    assert manifest["counts"] == {"test": 1, "train": 3, "val": 1}
     text = {r.image_id: r.text for r in spark.read.parquet(paths["labels"]).collect()}
     assert text == {
         "image001": "0 0.300000 0.500000 0.400000 0.600000\n",
@@ -267,3 +270,21 @@ def test_roots(spark):
     lists = ("ImageSets/Main/trainval.txt", "ImageSets/Main/test.txt")
     two = spark.createDataFrame(paths("x/y", *base, *lists) + paths("z", *base), "path string")
     assert {tuple(r) for r in listing.discover_roots(two).collect()} == {("x/y", True, True), ("z", False, False)}
+
+
+def test_combined_version(spark, tmp_path):
+    rows = [("train", "a", 2), ("val", "b", 0), ("test", "c", 1)]
+    items = spark.createDataFrame(rows, "split string, image_id string, object_count int")
+    hashed = items.withColumns({"image_sha": F.sha2("image_id", 256), "label_sha": F.sha2("split", 256)})
+    both = combination.combine_datasets(
+        {"one": items, "two": hashed}, {"one": "runway", "two": "synthetic"}, {"one": "a" * 64}
+    )
+    key, paths = combination.publish_combined(both, f"{tmp_path}/out")
+    assert len(key) == 64 and spark.read.parquet(paths["items"]).count() == 6
+    assert combination.publish_combined(both, f"{tmp_path}/out") == (key, paths)
+    lacking = combination.combine_datasets(
+        {"one": items.filter("split <> 'val'")}, {"one": "x"}, {"one": "b" * 64}
+    )
+    assert [(r.rule, r.split) for r in lacking.issues.collect()] == [("empty_split", "val")]
+    with pytest.raises(quality.DatasetProblems):
+        quality.assert_valid(lacking.issues)
