@@ -283,12 +283,12 @@ def redact_text(inputs: Inputs) -> DataFrame:
 
 @query(
     "class_names",
-    """SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'FOD' WHEN 2 THEN event_type
+    """SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'object' WHEN 2 THEN event_type
   ELSE CAST(event_id % 4 AS VARCHAR) END AS class_name FROM events""",
 )
 def class_names(inputs: Inputs) -> DataFrame:
     kind = F.col("event_type")
-    names = F.create_map(F.lit("0"), F.lit("FOD"), F.lit("2"), kind, F.lit("x1"), F.lit("no"))
+    names = F.create_map(F.lit("0"), F.lit("object"), F.lit("2"), kind, F.lit("x1"), F.lit("no"))
     class_id = (F.col("event_id") % 4).cast("int")
     return inputs.table("events").select(
         "event_id", tx.class_name(tx.numeric_names(names), class_id).alias("class_name")

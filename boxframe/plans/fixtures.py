@@ -135,7 +135,7 @@ SELECT 'test', CAST(doc_id AS STRING) FROM documents WHERE doc_id % 6 = 0 OR doc
     "fx_items": """
 SELECT CAST(doc_id AS STRING) AS image_id, text,
   CASE WHEN doc_id % 20 < 3 THEN 'test' WHEN doc_id % 20 < 6 THEN 'val' ELSE 'train' END AS split,
-  CASE WHEN doc_id % 3 = 0 THEN 'runway' ELSE 'synthetic' END AS source,
+  CASE WHEN doc_id % 3 = 0 THEN 'real' ELSE 'synthetic' END AS source,
   CAST(n_chars % 7 AS BIGINT) AS object_count
 FROM documents""",
     # One file path per document: mixed case, several types, shared stems.

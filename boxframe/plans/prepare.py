@@ -35,14 +35,14 @@ from boxframe.sources.listing import image_index, resolve_images
 from boxframe.sources.split_lists import read_split_list
 from boxframe.sources.voc import read_voc, voc_objects
 
-# Conversion options that enter the fingerprint.
-OPTIONS = {
+# Conversion options that enter the fingerprint.
+OPTIONS: dict[str, object] = {
     "clip_boxes": True,
     "image_transfer_mode": "copy",
     "keep_empty_images": True,
     "reject_degenerate_boxes": True,
     "target_class_id": 0,
-    "target_class_name": "FOD",
+    "target_class_name": "object",
     "verify_image_dimensions": True,
 }
 
@@ -69,11 +69,12 @@ def prepare(
     membership: DataFrame | None = None,
     official: bool = True,
     verify_dimensions: bool = True,
+    options: dict[str, object] | None = None,
 ) -> Prepared:
     """Read one dataset root and build its tables.
 
     ``membership`` (``image_id, split``) replays a stored split; otherwise the official lists, or
-    the fallback shares with ``official=False``, decide.
+    the fallback shares with ``official=False``, decide. ``options`` replace entries of ``OPTIONS``.
     """
     annotations = read_voc(spark, f"{root}/Annotations")
     files = read_images(spark, f"{root}/JPEGImages")
@@ -121,7 +122,7 @@ def prepare(
         .unionByName(issue_rows(images.filter("n_found <> 1"), "error", "image_not_found"))
         .unionByName(issue_rows(images.filter("error is not null"), "error", "unreadable_image"))
     )
-    options = {**OPTIONS, "verify_image_dimensions": verify_dimensions}
+    options = {**OPTIONS, **(options or {}), "verify_image_dimensions": verify_dimensions}
     hashes = cut_lineage(split_hash(members))
     fingerprint = dataset_fingerprint(hashes, source_sha, options)
     if membership is not None:

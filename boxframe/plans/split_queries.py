@@ -382,7 +382,7 @@ def dataset_counts_wide(inputs: Inputs) -> DataFrame:
 
 
 _SOURCES = {
-    "documents": ("runway", "SELECT CAST(doc_id AS STRING) AS image_id, CASE WHEN doc_id % 5 = 0 THEN 'val' ELSE 'train' END AS split, n_chars AS object_count FROM {documents}"),
+    "documents": ("real", "SELECT CAST(doc_id AS STRING) AS image_id, CASE WHEN doc_id % 5 = 0 THEN 'val' ELSE 'train' END AS split, n_chars AS object_count FROM {documents}"),
     "talks": ("talk-1", "SELECT CAST(conv_id AS STRING) || '.' || CAST(turn AS STRING) AS image_id, 'train' AS split, CAST(length(text) AS BIGINT) AS object_count FROM {conversations}"),
     "benchmark": ("bench", "SELECT CAST(item_id AS STRING) AS image_id, 'test' AS split, CAST(length(text) AS BIGINT) AS object_count FROM {benchmark}"),
 }

@@ -158,7 +158,7 @@ def test_combine_doubles_counts(spark):
         [("a", "train", 2), ("b", "train", 2), ("c", "val", 0), ("d", "test", 0)],
         "image_id string, split string, object_count int",
     )
-    both = combine.combine_sources({"one": items, "two": items}, {"one": "runway", "two": "synthetic"})
+    both = combine.combine_sources({"one": items, "two": items}, {"one": "real", "two": "synthetic"})
     totals = both.groupBy("split").agg(F.count("*").alias("n"), F.sum("object_count").alias("o"))
     assert {r.split: (r.n, r.o) for r in totals.collect()} == {"train": (4, 8), "val": (2, 0), "test": (2, 0)}
     assert combine.combination_problems(both).count() == 0
@@ -277,7 +277,7 @@ def test_combined_version(spark, tmp_path):
     items = spark.createDataFrame(rows, "split string, image_id string, object_count int")
     hashed = items.withColumns({"image_sha": F.sha2("image_id", 256), "label_sha": F.sha2("split", 256)})
     both = combination.combine_datasets(
-        {"one": items, "two": hashed}, {"one": "runway", "two": "synthetic"}, {"one": "a" * 64}
+        {"one": items, "two": hashed}, {"one": "real", "two": "synthetic"}, {"one": "a" * 64}
     )
     key, paths = combination.publish_combined(both, f"{tmp_path}/out")
     assert len(key) == 64 and spark.read.parquet(paths["items"]).count() == 6

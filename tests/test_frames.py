@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from boxframe.functions import sql as sql_functions
 from boxframe.functions import text as tx
 from boxframe.operators import frames, quantiles, ranking, reports, runs, scoring, sweep
+from boxframe import schemas
 from boxframe.plans import evaluation, video
 from boxframe.schemas import DETECTION_COLUMNS, FRAME_COLUMNS, FRAME_PREDICTION
 from boxframe.sinks import files as sinks
@@ -246,3 +247,12 @@ def test_stream_completion(spark, tmp_path):
 def test_stream_dedup(spark, tmp_path):
     stream = frame_files(spark, tmp_path).select(F.col("video_name").alias("image_id"), "ts")
     assert sorted(r.image_id for r in streams.run_append(streams.stream_dedup(stream)).collect()) == ["a", "b", "c", "z"]
+
+
+def test_read_json(spark, tmp_path):
+    (tmp_path / "registry.json").write_text('{"active_model": null, "history": [{"name": "m"}], "schema_version": "1.0"}')
+    (tmp_path / "broken.json").write_text("[]")
+    rows = {r.path.rsplit("/", 1)[-1]: r for r in manifests.read_json(spark, str(tmp_path), schemas.REGISTRY).collect()}
+    assert rows["broken.json"].problem == "not_an_object"
+    good = rows["registry.json"]
+    assert good.problem is None and good.doc.active_model is None and good.doc.history[0].name == "m"
