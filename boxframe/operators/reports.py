@@ -7,9 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boxframe.functions.boxes import area_bucket, box_area, ratio
+from boxframe.functions.boxes import area_bucket, box_area, is_small, ratio
 from boxframe.operators.checkpoints import cut_lineage
-from boxframe.operators.matching import CROWDED_PAIRS, false_positives, match_levels
+from boxframe.operators.matching import (
+    CROWDED_PAIRS,
+    false_negatives,
+    false_positives,
+    match_levels,
+)
 from boxframe.operators.ranking import HOT_ROWS, grouped_running_sums
 
 # Promotion metrics in order of weight, their direction, and the tolerance.
@@ -88,6 +93,18 @@ def top_false_positives(pred: DataFrame, matches: DataFrame, n: int = 50) -> Dat
     return wrong.orderBy(F.desc("confidence"), "image_id", "pred_idx").limit(n)
 
 
+def missed_targets(
+    gt: DataFrame, matches: DataFrame, n: int = 50, small_max: float | None = None
+) -> DataFrame:
+    """Examples of unmatched targets, the largest first; only small ones with ``small_max``."""
+    missed = false_negatives(gt, matches).withColumn(
+        "area", box_area(*[F.col(c) for c in ("x1", "y1", "x2", "y2")])
+    )
+    if small_max is not None:
+        missed = missed.filter(is_small(F.col("area"), small_max))
+    return missed.orderBy(F.desc("area"), "image_id", "gt_idx").limit(n)
+
+
 def images_by_detections(images: DataFrame, pred: DataFrame, minimum: int = 2) -> DataFrame:
     """``(image_id, n_detections, kind)`` of images with several or without any detection."""
     counts = pred.groupBy("image_id").agg(F.count("*").alias("n"))

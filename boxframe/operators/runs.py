@@ -93,6 +93,22 @@ def allowed_next(state: Column, following: Column) -> Column:
     return result
 
 
+def transitions(
+    events: DataFrame, key: str = "run_id", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """``(run_id, seq, status, previous, allowed)`` of every event.
+
+    The event before is found by an equi-join on run and number, so a run with very many events is
+    spread over the cluster. A run must start as ``initializing``.
+    """
+    history = run_history(events, key, hot_rows).select(key, "seq", "status")
+    earlier = history.select(key, (F.col("seq") + 1).alias("seq"), F.col("status").alias("previous"))
+    joined = history.join(earlier, [key, "seq"], "left")
+    first = F.col("previous").isNull() & (F.col("status") == "initializing")
+    later = F.col("previous").isNotNull() & allowed_next(F.col("previous"), F.col("status"))
+    return joined.withColumn("allowed", first | later)
+
+
 def registry_view(promotions: DataFrame) -> DataFrame:
     """Every promotion with ``active``: the latest one of its model name."""
     last = promotions.groupBy("name").agg(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxframe.functions.text import bounded_count
@@ -84,14 +84,16 @@ def split_warnings(trainval: DataFrame, test: DataFrame) -> DataFrame:
         F.count_if(F.col("list") == "trainval").alias("trainval"),
         F.count_if(F.col("list") == "test").alias("test"),
     )
+
+    def warning(rule: str, name: str) -> Column:
+        return F.struct(F.lit(rule).alias("rule"), F.lit(name).alias("list"))
+
+    n_trainval, n_test = F.col("trainval"), F.col("test")
     found = F.array_compact(
         F.array(
-            F.when(F.col("trainval") > 1, F.struct(F.lit("duplicate").alias("rule"), F.lit("trainval").alias("list"))),
-            F.when(F.col("test") > 1, F.struct(F.lit("duplicate").alias("rule"), F.lit("test").alias("list"))),
-            F.when(
-                (F.col("trainval") > 0) & (F.col("test") > 0),
-                F.struct(F.lit("overlap").alias("rule"), F.lit("trainval").alias("list")),
-            ),
+            F.when(n_trainval > 1, warning("duplicate", "trainval")),
+            F.when(n_test > 1, warning("duplicate", "test")),
+            F.when((n_trainval > 0) & (n_test > 0), warning("overlap", "trainval")),
         )
     )
     return counted.select(F.inline(found), "image_id")

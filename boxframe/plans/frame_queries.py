@@ -197,6 +197,18 @@ def run_history(inputs: Inputs) -> DataFrame:
     return runs.run_history(inputs.sql(_LEDGER + "{events}")).drop("ts")
 
 
+@query(
+    "run_transitions",
+    f"""WITH h AS (SELECT run_id, status, row_number() OVER w AS seq, lag(status) OVER w AS previous
+  FROM ({_LEDGER} events) AS l WINDOW w AS (PARTITION BY run_id ORDER BY ts, event_id))
+SELECT run_id, seq, status, previous, CASE WHEN previous IS NULL THEN status = 'initializing'
+  ELSE (previous || '>' || status) IN ('initializing>running', 'initializing>failed',
+    'running>success', 'running>failed', 'failed>initializing') END AS allowed FROM h""",
+)
+def run_transitions(inputs: Inputs) -> DataFrame:
+    return runs.transitions(inputs.sql(_LEDGER + "{events}"))
+
+
 _RUNS = """SELECT CAST(c_custkey AS STRING) AS run_id,
   CASE WHEN c_custkey % 9 = 0 THEN 'elsewhere' ELSE CAST(c_custkey AS STRING) END AS directory,
   CASE WHEN c_custkey % 4 = 0 THEN 'success' ELSE 'failed' END AS status, c_nationkey AS dataset,

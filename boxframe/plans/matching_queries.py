@@ -395,6 +395,17 @@ def top_false_positives(inputs: Inputs) -> DataFrame:
     return top.select("image_id", "pred_idx", "confidence")
 
 
+@query(
+    "small_missed_targets",
+    _ONE + """SELECT image_id, gt_idx, (x2 - x1) * (y2 - y1) AS area FROM fx_gt
+ANTI JOIN hits USING (image_id, gt_idx) WHERE (x2 - x1) * (y2 - y1) <= 0.01 + 1e-12
+ORDER BY area DESC, image_id, gt_idx LIMIT 50""",
+)
+def small_missed_targets(inputs: Inputs) -> DataFrame:
+    missed = reports.missed_targets(inputs.view("fx_gt"), _matches(inputs), 50, 0.01)
+    return missed.select("image_id", "gt_idx", "area")
+
+
 @query(
     "images_by_detections",
     """WITH counted AS (SELECT image_id, count(*) AS n FROM fx_pred GROUP BY 1)

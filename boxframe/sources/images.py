@@ -40,7 +40,8 @@ def _tiff_size(data: bytes) -> tuple[int, int] | None:
         raw = data[start + 2 + 12 * i : start + 14 + 12 * i]
         tag, kind = struct.unpack(order + "HH", raw[:4])
         if tag in (256, 257):
-            found[tag] = struct.unpack(order + ("H" if kind == 3 else "I"), raw[8 : 10 if kind == 3 else 12])[0]
+            width = 2 if kind == 3 else 4
+            found[tag] = int.from_bytes(raw[8 : 8 + width], "little" if order == "<" else "big")
     return (found[256], found[257]) if len(found) == 2 else None
 
 
