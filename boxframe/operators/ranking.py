@@ -127,9 +127,6 @@ def grouped_running_sums(
     return summed.unionByName(summed_hot)
 
 
-HASH_BUCKETS = 1 << 16
-
-
 def label_by_hash_rank(
     ids: DataFrame,
     id_col: str,
@@ -149,6 +146,8 @@ def label_by_hash_rank(
         *ids.columns,
         F.sha2(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")), 256).alias("_hash"),
     ).withColumn("_bucket", F.conv(F.substring("_hash", 1, 4), 16, 10).cast("int"))
+    # Counted, labelled and ranked below: worked out once.
+    hashed = cut_lineage(hashed)
     counts = hashed.groupBy("_bucket").agg(F.count("*").alias("_count"))
     # At most 65,536 rows by construction, so one partition is enough here.
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -182,6 +181,7 @@ def label_by_hash_rank(
             result = result.when(position <= end, name)
         return result.otherwise(rest)
 
+    table = cut_lineage(table)
     # Broadcast: one row per hash prefix, at most 65,536.
     placed = hashed.join(F.broadcast(table), "_bucket")
     whole = placed.filter(~F.col("_cut")).withColumn(out, label(F.col("_before") + 1))
