@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from boxframe.llm import quality, quality_sql
+from boxframe.llm import pieces, quality, quality_sql, sharding, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +33,41 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.quality_rules(table(spark, folder, "documents"), carry=["doc_id"])
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged.select("row.doc_id", *[f"base.{c}" for c in counts], "base_failed", "kept")
+
+
+@query("op4_sharding")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.shard_records(table(spark, folder, "documents").select("doc_id", "text"), shards=16, seed=1)
+    text = F.coalesce("row.text", F.lit(""))
+    return placed.select(
+        "row.doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op5_piece_codec")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    encoded = pieces.encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    decoded = pieces.decode_pieces(encoded, public_tokenizers.path("piece_bpe_32k.model"))
+    return decoded.select(
+        "doc_id",
+        F.size("piece_ids").cast("long").alias("n_pieces"),
+        "piece_ids",
+        (F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), pieces.MARK, " ")).alias("round_trip"),
+    )
+
+
+@query("op6_token_files")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    manifest = token_files.write_tokens(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2
+    )
+    return token_files.read_tokens(manifest).select(
+        "doc_id", "start", "n_tokens", F.crc32("tokens").alias("ids_crc32")
+    )
