@@ -51,7 +51,7 @@ class Trie:
         size = 2 * len(children) + 1024
         base, check, piece = np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32)
         used = np.zeros(size, bool)
-        used[0], low, todo = True, 1, [(b"", 0)]
+        used[0], low, high, todo = True, 257, 257, [(b"", 0)]
         while todo:
             prefix, node = todo.pop()
             piece[node] = words.get(prefix, -1)
@@ -60,7 +60,8 @@ class Trie:
                 continue
             steps = np.array(codes) + 1
             # The first child takes a free place; the others must fit after it.
-            at, width = max(low, int(steps[0])), 512
+            # Nodes with many children go behind all others, and nodes with few fill the gaps.
+            at, width = low if len(codes) <= 3 else high, 512
             while True:
                 while at + width + 514 >= len(used):
                     more = len(used)
@@ -69,6 +70,8 @@ class Trie:
                 free = np.flatnonzero(~used[at : at + width])
                 if at <= low and len(free) < width // 8:
                     low = at + width
+                if at <= high and len(free) < width // 2:
+                    high = at + width
                 starts = at + free - steps[0]
                 for step in steps[1:]:
                     starts = starts[~used[starts + step]]
@@ -78,6 +81,7 @@ class Trie:
                 at += width
             base[node] = start
             used[start + steps], check[start + steps] = True, node
+            high = max(high, start + int(steps[0]))
             todo += [(prefix + bytes([c]), start + c + 1) for c in codes]
         end = int(np.flatnonzero(used).max()) + 258
         return cls(base[:end], check[:end], piece[:end])
