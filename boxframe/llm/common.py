@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from boxframe.operators.checkpoints import checkpoint_folder
+
 #: Numbers in a row whose running total one task takes.
 RUN = 4096
 
@@ -40,3 +43,55 @@ def total(df: DataFrame, *amounts: Column) -> list[int]:
     """Sums over all rows, 0 for an empty table."""
     row = df.agg(*[F.sum(a).alias(f"a{i}") for i, a in enumerate(amounts)]).first()
     return [int(x or 0) for x in row]
+
+
+class Scratch:
+    """Tables in the shared folder that an operator needs for a while and then drops."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{checkpoint_folder(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+
+    def table(self, df: DataFrame, name: str = "table") -> DataFrame:
+        """``df`` as a table. Unlike a cached frame it survives lost executors and has a known size."""
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def components(spark: SparkSession, links: DataFrame) -> DataFrame:
+    """Connected components of ``links`` (``a``, ``b``): ``node``, ``component`` (its smallest node).
+
+    Alternating stars: every larger neighbour of a node is linked to the node's least neighbour, then every
+    smaller one. Minima come from partial aggregates, so a node with very many links is no burden. The
+    number of rounds grows with the logarithm of the number of nodes. Nodes without a link don't come out.
+    """
+    scratch = Scratch(spark)
+    edges = scratch.table(
+        links.filter("a <> b").select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct()
+    )
+    seen = None
+    while True:
+        mark = edges.agg(F.count("*"), F.sum(F.xxhash64("low", "high").cast("decimal(38,0)"))).first()
+        if seen == mark:
+            break
+        seen = mark
+        both = edges.union(edges.select("high", "low"))
+        least = both.groupBy(F.col("low").alias("u")).agg(F.min("high").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Large star: neighbours above u go to u's least neighbour.
+        large = edges.join(least, F.col("low") == F.col("u")).select(F.col("m").alias("low"), "high").filter("low < high").distinct()
+        # Small star: u and its smaller neighbours go to the least of them.
+        under = large.groupBy(F.col("high").alias("u")).agg(F.min("low").alias("m"))
+        small = large.join(under, F.col("high") == F.col("u"))
+        edges = scratch.table(
+            small.select(F.col("m").alias("low"), F.col("low").alias("high"))
+            .union(under.select("m", "u").toDF("low", "high"))
+            .filter("low < high")
+            .distinct()
+        )
+    found = scratch.table(edges.select(F.col("high").alias("node"), F.col("low").alias("component")).union(edges.select("low", "low").distinct()))
+    return found

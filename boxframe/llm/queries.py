@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxframe.llm import pieces, quality, quality_sql, sharding, token_files
+from boxframe.llm import ngram_join, pieces, quality, quality_sql, sharding, substring, text_sql, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -71,3 +71,15 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_tokens(manifest).select(
         "doc_id", "start", "n_tokens", F.crc32("tokens").alias("ids_crc32")
     )
+
+
+@query("op1_ngram_join", text_sql.SIMILAR_GROUPS)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similar_groups(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op3_substring_dedup", text_sql.SUBSTRINGS)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    cut = substring.dedup_substrings(table(spark, folder, "documents").select("doc_id", "text"))
+    words = F.array_remove(F.split(F.coalesce("kept_text", F.lit("")), quality.WORD_GAP), "")
+    return cut.select("row.doc_id", "n_words", "n_removed", F.sha2(F.array_join(words, " "), 256).alias("kept_sha256"))
