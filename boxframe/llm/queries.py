@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxframe.llm import ngram_join, pieces, quality, quality_sql, sharding, substring, text_sql, token_files
+from boxframe.llm import langid, mixing, ngram_join, pieces, quality, quality_sql, sharding, substring, text_sql, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +83,20 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     cut = substring.dedup_substrings(table(spark, folder, "documents").select("doc_id", "text"))
     words = F.array_remove(F.split(F.coalesce("kept_text", F.lit("")), quality.WORD_GAP), "")
     return cut.select("row.doc_id", "n_words", "n_removed", F.sha2(F.array_join(words, " "), 256).alias("kept_sha256"))
+
+
+@query("op7_language_id")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = langid.train(docs, ~held_out)
+    predicted = langid.predict(docs, model, carry=["doc_id"])
+    out = F.crc32(F.col("row.doc_id").cast("string").cast("binary")) % 4 == 2
+    return predicted.select("row.doc_id", out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query("op10_temperature_mixing")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    mixture = mixing.mix(docs, repetition_limit=1.25)
+    return mixture.select("row.doc_id", "row.source", "tokens", "epoch", "turn", "weight", "exponent")

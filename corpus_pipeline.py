@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from boxframe.llm import quality
+from boxframe.llm import mixing, ngram_join, pieces, quality, substring
+from boxframe.operators.checkpoints import cut_lineage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: No source is gone through more often; the mixture holds every document once at least.
+REPETITION_LIMIT = 1.25
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 #: Mixing bisects an exponent and encoding runs a dynamic program, which SQL can't state.
 ORACLE_SQL = None
@@ -17,14 +23,47 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs)
 
 
-STAGES = [("quality", keep_good)]
+def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: the smallest ID of each group of similar documents stays.
+
+    The IDs that go are written, so that Spark sends them to all tasks if they are few and shuffles both
+    sides otherwise.
+    """
+    groups = ngram_join.similar_groups(docs)
+    gone = cut_lineage(groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct())
+    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Substring de-duplication: repeated passages go from all but the smallest ID that holds them."""
+    cut = substring.dedup_substrings(docs.select(COLUMNS))
+    text = F.col("kept_text")
+    return cut.select("row.doc_id", text.alias("text"), "row.lang", "row.source", F.when(F.col("n_removed") > 0, F.length(text).cast("long")).otherwise(F.col("row.n_chars")).alias("n_chars"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing: small sources are repeated, up to the limit; every document comes once at least."""
+    return mixing.mix(docs.select(COLUMNS), repetition_limit=REPETITION_LIMIT).select("row.*")
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece IDs of every document of the mixture."""
+    encoded = pieces.encode_pieces(docs.select("doc_id", "source", "text"), PIECES)
+    return encoded.select("doc_id", "source", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids")
+
+
+STAGES = [
+    ("quality", keep_good),
+    ("similar", drop_similar),
+    ("repeats", cut_repeats),
+    ("mixing", mix_sources),
+    ("pieces", encode),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, each over the table that its predecessor wrote to the shared folder."""
-    from boxframe.operators.checkpoints import cut_lineage
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(COLUMNS)
     for place, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if place + 1 < len(STAGES):
