@@ -26,9 +26,11 @@ MARK = "▁"
 #: A character without a piece of its own scores this much less than the worst piece, as in the library.
 UNKNOWN_PENALTY = 10.0
 #: Distinct words whose IDs a worker keeps.
-MEMO = 300_000
+MEMO = 200_000
 #: Words up to this many bytes are segmented in groups of one length.
 GROUPED = 48
+#: Rows that are worked on at a time.
+SLICE = 512
 
 
 @dataclass
@@ -272,16 +274,14 @@ def decode_pieces(encoded: DataFrame, model: str, ids: str = "piece_ids", text:
 
 
 def _encode_column(pieces: Pieces, column: pa.Array) -> pa.Array:
-    blobs: list[bytes] = []
-    texts = [x or "" for x in column.to_pylist()]
-    for i in range(0, len(texts), 4096):
-        blobs += pieces.encode(texts[i : i + 4096])
+    blobs = pieces.encode([x or "" for x in column.to_pylist()])
     offsets = np.concatenate([[0], np.cumsum([len(b) // 4 for b in blobs])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(blobs), np.int32)))
 
 
 def _decode_column(pieces: Pieces, column: pa.Array) -> pa.Array:
-    values, cuts = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    cuts = column.offsets.to_numpy()
+    values = column.values.to_numpy(zero_copy_only=False)
     out = [pieces.decode(values[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     return pa.array(out, pa.string(), mask=column.is_null().to_numpy(zero_copy_only=False))
 
@@ -294,7 +294,10 @@ def _with_column(df: DataFrame, source: str, target: str, kind: T.DataType, mode
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _loaded(model)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), convert(pieces, batch.column(1))], names=["row", "target"])
+            # Small slices keep few words of long texts in memory at a time.
+            for i in range(0, batch.num_rows, SLICE):
+                part = batch.slice(i, SLICE)
+                yield pa.RecordBatch.from_arrays([part.column(0), convert(pieces, part.column(1))], names=["row", "target"])
 
     shape = T.StructType([packed.schema["row"], T.StructField("target", kind)])
     return packed.mapInArrow(run, shape).select("row.*", F.col("target").alias(target))

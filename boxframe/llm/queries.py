@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxframe.llm import langid, mixing, ngram_join, pieces, quality, quality_sql, sharding, substring, text_sql, token_files
+from boxframe.llm import (
+    ann,
+    html_blocks,
+    langid,
+    mixing,
+    ngram_join,
+    pieces,
+    quality,
+    quality_sql,
+    sharding,
+    substring,
+    text_sql,
+    token_files,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,3 +113,15 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     mixture = mixing.mix(docs, repetition_limit=1.25)
     return mixture.select("row.doc_id", "row.source", "tokens", "epoch", "turn", "weight", "exponent")
+
+
+@query("op2_nearest_vectors")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query("op8_html_blocks")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    found = html_blocks.extract(pages, html_blocks.train(pages), carry=["page_id", "url"])
+    return found.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))

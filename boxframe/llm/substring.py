@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from boxframe.llm.common import Scratch
 from boxframe.llm.words import run_hashes, split_words, word_hashes
-from boxframe.operators.checkpoints import cut_lineage
 
 WINDOW = 50
 SEED = 10
@@ -104,12 +104,16 @@ def _blocks(batches: Iterator[pa.RecordBatch], window: int, seed: int) -> Iterat
 def repeated_windows(docs: DataFrame, window: int, seed: int) -> DataFrame:
     """Rows ``id``, ``key``, ``found``: an array of (first window, bits of the windows from it on that start
     in a document with a smaller ID). ``docs`` has ``id``, ``key`` (the text's hash) and ``text``."""
+    scratch = Scratch(docs.sparkSession)
+    # What is counted by seed is written before it is joined on it: then Spark can split the rows of a hot
+    # seed over several tasks, which it can't below an aggregate of the same stage.
     per_doc = docs.select("id", "text").mapInArrow(lambda b: _seeds(b, window, seed), "id bigint, seed bigint")
-    first = (
+    first = scratch.table(
         per_doc.groupBy("seed")
         .agg(F.min("id").alias("leader"), F.max("id").alias("last"))
         .filter("leader < last")
-        .select(F.col("seed").alias("seed_of"), "leader")
+        .select(F.col("seed").alias("seed_of"), "leader"),
+        "seeds",
     )
     shared = (
         per_doc.join(first, F.col("seed") == F.col("seed_of"))
@@ -120,11 +124,13 @@ def repeated_windows(docs: DataFrame, window: int, seed: int) -> DataFrame:
     held = docs.join(shared, F.col("id") == F.col("id_of")).select("id", "key", "text", F.expr("transform(shared, s -> struct(s.seed, s.leads))").alias("shared"))
     shape = "id bigint, key bigint, seed bigint, first int, leads boolean, windows array<bigint>"
     occurrences = held.mapInArrow(lambda b: _blocks(b, window, seed), shape)
-    lead = occurrences.filter("leads").groupBy(F.col("seed").alias("lead_seed")).agg(F.min(F.struct("id", "key", "first", "windows")).alias("lead"))
+    lead = scratch.table(
+        occurrences.filter("leads").groupBy(F.col("seed").alias("lead_seed")).agg(F.min(F.struct("id", "key", "first", "windows")).alias("lead")), "first-blocks"
+    )
     compared = occurrences.join(lead, F.col("seed") == F.col("lead_seed")).select(
         "id", "key", "seed", "first", "windows", F.col("lead.id").alias("leader"), F.expr("transform(windows, w -> array_contains(lead.windows, w))").alias("in_lead")
     )
-    parsed = cut_lineage(
+    parsed = scratch.table(
         compared.select(
             "id",
             "key",
@@ -132,12 +138,15 @@ def repeated_windows(docs: DataFrame, window: int, seed: int) -> DataFrame:
             "first",
             F.expr("if(id > leader, aggregate(transform(in_lead, (x, i) -> if(x, shiftleft(1L, i), 0L)), 0L, (a, b) -> a | b), 0L)").alias("bits"),
             F.expr("filter(transform(windows, (w, i) -> if(in_lead[i], null, struct(w, i))), x -> x is not null)").alias("rest"),
-        )
+        ),
+        "parsed",
     )
     rest = parsed.select("id", "key", "seed", "first", F.explode("rest").alias("x")).select("id", "key", "seed", "first", "x.w", "x.i")
-    other = rest.groupBy(F.col("seed").alias("seed_of"), F.col("w").alias("w_of")).agg(F.min("id").alias("least"), F.max("id").alias("last")).filter("least < last")
+    other = scratch.table(
+        rest.groupBy(F.col("seed").alias("seed_of"), F.col("w").alias("w_of")).agg(F.min("id").alias("least"), F.max("id").alias("last")).filter("least < last"), "boundaries"
+    )
     late = rest.join(other, (F.col("seed") == F.col("seed_of")) & (F.col("w") == F.col("w_of"))).filter("id > least").select("id", "key", "first", F.expr("shiftleft(1L, i)").alias("bits"))
-    return (
+    found = (
         parsed.filter("bits <> 0")
         .select("id", "key", "first", "bits")
         .union(late)
@@ -147,6 +156,9 @@ def repeated_windows(docs: DataFrame, window: int, seed: int) -> DataFrame:
         .groupBy(F.col("id").alias("id_of"), F.col("key").alias("key_of"))
         .agg(F.collect_list(F.struct("first", "bits")).alias("found"))
     )
+    found = Scratch(docs.sparkSession).table(found, "spans")
+    scratch.drop()
+    return found
 
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")

@@ -42,11 +42,24 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.kind, self.memo = Tokenizer.from_file(path), kind, {}
+        spelled = self.tokenizer.decode_batch([[i] for i in range(self.tokenizer.get_vocab_size())], skip_special_tokens=False)
+        self.after_space = np.array([x.startswith(" ") for x in spelled])
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.kind).tobytes() for x in found]
 
+    def _learn(self, words: list[str]) -> None:
+        """Encode many words as one text; a token that starts with a space starts the next word."""
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join([f" {w}" for w in words])], add_special_tokens=False)[0].ids)
+        cuts = np.flatnonzero(self.after_space[ids]) if len(ids) else ids
+        if len(cuts) != len(words) or cuts[0] != 0:
+            self.memo.update(zip(words, self._encode([f" {w}" for w in words]), strict=True))
+            return
+        raw, size, start = ids.astype(self.kind).tobytes(), np.dtype(self.kind).itemsize, 0
+        for word, end in zip(words, (size * np.append(cuts[1:], len(ids))).tolist(), strict=True):
+            self.memo[word], start = raw[start:end], end
+
     def batch(self, texts: list[str]) -> list[bytes]:
         cut = [x.split(" ") for x in texts]
         if len(self.memo) > MEMO:
@@ -56,9 +69,8 @@ class WordEncoder:
             new.update(w for w in words[1:] if w not in memo)
         ordered = [w for w in new if w and not w[0].isspace() and not w[-1].isspace()]
         memo.update(dict.fromkeys(new - set(ordered)))
-        for i in range(0, len(ordered), 10_000):
-            some = ordered[i : i + 10_000]
-            memo.update(zip(some, self._encode([f" {w}" for w in some]), strict=True))
+        for i in range(0, len(ordered), 1000):
+            self._learn(ordered[i : i + 1000])
         heads = self._encode([words[0] for words in cut])
         out = []
         for text, words, head in zip(texts, cut, heads, strict=True):
