@@ -19,6 +19,7 @@ Before sets are moved, a bound on the overlap from counts of hashed tokens (prof
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -34,9 +35,9 @@ from boxframe.llm.shingles import set_keys, shingle_set
 SHINGLE = 5
 PERCENT = 80
 #: Counters of the frequency sketch, and the parts it is merged in. Fixed size; raise it for larger corpora.
-CELLS = 1 << 21
+CELLS = 1 << 22
 PARTS = 64
-#: A token is frequent if its counter reaches this, and four times the mean counter.
+#: A token is frequent if its counter reaches this, and stands out from the mean counter.
 FREQUENT = 64
 _NULL_ID = (1 << 63) - 1
 
@@ -63,7 +64,7 @@ def overlap_bound(a: bytes, b: bytes) -> int:
 
 def _facts(batches: Iterator[pa.RecordBatch], shingle: int, cells: int) -> Iterator[pa.RecordBatch]:
     """A row per document, then the task's counters in parts (``n`` is -1)."""
-    counts = np.zeros(cells, np.int64)
+    counts = np.zeros(cells, np.uint32)
     names = ["id", "n", "sig", "blob"]
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
@@ -75,9 +76,7 @@ def _facts(batches: Iterator[pa.RecordBatch], shingle: int, cells: int) -> Itera
         rows = []
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             tokens = shingle_set(text.as_py(), shingle)
-            counts += np.bincount(_cells(tokens, cells), minlength=cells) if len(tokens) > cells // 8 else 0
-            if len(tokens) <= cells // 8:
-                np.add.at(counts, _cells(tokens, cells), 1)
+            np.add.at(counts, _cells(tokens, cells), 1)
             rows.append((doc, len(tokens), xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63), profile(tokens)))
         if rows:
             yield out(rows)
@@ -159,7 +158,9 @@ class SimilarityJoin:
     def _frequent(self, facts: DataFrame, cells: int, least: int) -> bytes:
         """Which counters are high, as bits: a fixed ``cells`` / 8 bytes."""
         total = self.members.agg(F.sum("n")).first()[0] or 0
-        least = max(least, -(-4 * total // cells))
+        # Eight deviations above what tokens in no relation give a counter.
+        mean = total / cells
+        least = max(least, math.ceil(mean + 8 * math.sqrt(mean)))
         parts = facts.filter("n = -1").select(F.col("id").alias("part"), F.col("blob"))
         # One row per part comes back.
         merged = parts.repartition("part").mapInArrow(lambda b: _merge(b, least), "part bigint, bits binary").collect()

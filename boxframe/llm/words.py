@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Distinct words whose hashes a worker keeps.
-MEMO = 500_000
+MEMO = 300_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
