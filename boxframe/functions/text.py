@@ -64,13 +64,24 @@ def label_line(class_id: Column, xc: Column, yc: Column, w: Column, h: Column) -
     )
 
 
+def _utc(ts: Column) -> Column:
+    """``yyyy-MM-ddTHH:mm:ss`` in UTC, whatever zone the session has. A time without a zone is taken as it is.
+
+    Patterns are applied in the session's zone, also to times without one, so plain text is cut instead.
+    """
+    since = F.make_dt_interval(secs=F.unix_seconds(ts.cast("timestamp")).cast("decimal(18,6)"))
+    instant = F.expr("timestamp_ntz '1970-01-01 00:00:00'") + since
+    plain = F.when(F.typeof(ts) == "timestamp_ntz", ts.cast("string")).otherwise(instant.cast("string"))
+    return F.translate(F.substring(plain, 1, 19), " ", "T")
+
+
 def utc_seconds(ts: Column) -> Column:
-    """ISO-8601 text to the second with a Z; the session time zone must be UTC."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """ISO-8601 text to the second with a Z."""
+    return F.concat(_utc(ts), F.lit("Z"))
 
 
 def utc_compact(ts: Column) -> Column:
-    return F.date_format(ts, "yyyyMMdd'T'HHmmss'Z'")
+    return F.concat(F.translate(_utc(ts), "-:", ""), F.lit("Z"))
 
 
 def video_run_id(stem: Column, ts: Column, model_sha: Column) -> Column:

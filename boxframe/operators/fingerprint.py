@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from boxframe.functions.text import digest_matches, is_digest
 
-# IDs per leaf of a list digest.
-LEAF_SIZE = 1 << 16
+# Hexadecimal digits of the ID's hash that name its leaf in a list digest, and version of that rule.
+LEAF_DIGITS = 4
+DIGEST_RULE = "sha256-tree-1"
 
 
 def canonical_json(value: Column) -> Column:
@@ -22,18 +23,6 @@ def json_digest(value: Column) -> Column:
     return F.sha2(canonical_json(value), 256)
 
 
-def _leaf_number(key: Column, leaves: Column) -> Column:
-    return F.conv(F.substring(F.sha2(key, 256), 1, 8), 16, 10).cast("bigint") % leaves
-
-
-def _leaf_count(n: Column, leaf_size: int) -> Column:
-    """1 while everything fits one leaf, else the power of two that halves the fill of a leaf."""
-    needed = F.ceil(F.log2(n.cast("double") / leaf_size)) + 1
-    return F.when(n <= leaf_size, F.lit(1).cast("bigint")).otherwise(
-        F.pow(F.lit(2.0), needed.cast("double")).cast("bigint")
-    )
-
-
 def _ordered_text(sort: Column, text: Column) -> Column:
     entries = F.array_sort(F.collect_list(F.struct(sort.alias("k"), text.alias("t"))))
     return F.array_join(F.transform(entries, lambda e: e["t"]), "")
@@ -45,63 +34,64 @@ def ordered_digest(
     sort: Column,
     text: Column,
     leaf_key: Column,
-    leaves: int | None = None,
-    leaf_size: int = LEAF_SIZE,
+    leaf_digits: int = LEAF_DIGITS,
 ) -> DataFrame:
-    """``(keys, n, digest)``: SHA-256 over the texts of a group in sort order.
-
-    Up to ``leaf_size`` rows the digest is that of the joined text, equal to hashing the file. A
-    larger group is spread over hash-chosen leaves of bounded size; leaf digests are hashed in blocks
-    of 4,096 and the block digests once more, so no task holds a whole group. ``leaves`` asks for at
-    least that many leaves (up to 2^32), also for a small group.
+    """``(keys, n, digest)``: root of a hash tree over the rows of a group, one rule at every size.
+
+    A row's leaf is named by the first ``leaf_digits`` digits of the SHA-256 of ``leaf_key``. A leaf's
+    hash is that of its texts in ``sort`` order; a branch joins the leaves whose names differ in the
+    second half of their digits, and the root joins the branches. Branches and root hash the names
+    and hashes of their children in name order. No task holds more than a leaf, a branch or the root;
+    raise ``leaf_digits`` for lists beyond some billions. The value depends on it, so a manifest
+    records it with :data:`DIGEST_RULE`.
     """
+    if leaf_digits < 1:
+        raise ValueError("a leaf needs at least one digit")
     keys = list(keys)
-    plain = rows.select(
-        *keys, sort.alias("_sort"), text.alias("_text"), leaf_key.cast("string").alias("_key")
-    )
-    sizes = plain.groupBy(*keys).agg(F.count("*").alias("_n"))
-    wanted = F.greatest(_leaf_count(F.col("_n"), leaf_size), F.lit(leaves or 1).cast("bigint"))
-    spread = plain.join(sizes.select(*keys, wanted.alias("_leaves")), keys)
-    leaf = F.when(F.col("_leaves") > 1, _leaf_number(F.col("_key"), F.col("_leaves"))).otherwise(0)
-    leaf_digests = (
-        spread.withColumn("_leaf", leaf)
-        .groupBy(*keys, "_leaf", "_leaves")
-        .agg(
-            F.sha2(_ordered_text(F.col("_sort"), F.col("_text")), 256).alias("_d"),
-            F.count("*").alias("_c"),
-        )
-    )
-    blocks = leaf_digests.groupBy(
-        *keys, "_leaves", F.floor(F.col("_leaf") / 4096).alias("_block")
-    ).agg(
-        F.sha2(_ordered_text(F.col("_leaf"), F.col("_d")), 256).alias("_b"),
-        F.first("_d").alias("_only"),
-        F.sum("_c").alias("_c"),
+    leaf = F.substring(F.sha2(leaf_key.cast("string"), 256), 1, leaf_digits)
+    branch = F.substring("_leaf", 1, leaf_digits - leaf_digits // 2)
+
+    def joined(name: str, value: str) -> Column:
+        return F.sha2(_ordered_text(F.col(name), F.concat(F.col(name), F.col(value))), 256)
+
+    leaves = (
+        rows.select(*keys, sort.alias("_sort"), text.alias("_text"), leaf.alias("_leaf"))
+        .groupBy(*keys, "_leaf")
+        .agg(F.sha2(_ordered_text(F.col("_sort"), F.col("_text")), 256).alias("_d"), F.count("*").alias("_c"))
     )
-    top = F.sha2(_ordered_text(F.col("_block"), F.col("_b")), 256)
-    return blocks.groupBy(*keys, "_leaves").agg(
-        F.sum("_c").alias("n"),
-        top.alias("_top"),
-        F.first("_only").alias("_only"),
-    ).select(
-        *keys,
-        "n",
-        F.when(F.col("_leaves") == 1, F.col("_only")).otherwise(F.col("_top")).alias("digest"),
+    branches = leaves.groupBy(*keys, branch.alias("_branch")).agg(
+        joined("_leaf", "_d").alias("_b"), F.sum("_c").alias("_c")
     )
+    return branches.groupBy(*keys).agg(F.sum("_c").alias("n"), joined("_branch", "_b").alias("digest"))
 
 
-def split_hash(members: DataFrame, leaves: int | None = None, leaf_size: int = LEAF_SIZE) -> DataFrame:
-    """``(split, n, digest)`` of the sorted ID list of every split, one ID per line."""
+def split_hash(members: DataFrame, leaf_digits: int = LEAF_DIGITS) -> DataFrame:
+    """``(split, n, digest)`` of the ID list of every split, one ID per line."""
     name = F.col("image_id").cast("string")
-    return ordered_digest(
-        members, ["split"], name, F.concat(name, F.lit("\n")), name, leaves, leaf_size
+    return ordered_digest(members, ["split"], name, F.concat(name, F.lit("\n")), name, leaf_digits)
+
+
+def file_digest(members: DataFrame, most: int = 1 << 20) -> DataFrame:
+    """``(split, n, digest)`` where the digest is that of the sorted list written as one file.
+
+    A file's digest needs the whole list in one place. A split of more than ``most`` IDs is an error,
+    never another digest.
+    """
+    name = F.col("image_id").cast("string")
+    sizes = members.groupBy("split").agg(F.count("*").alias("n"))
+    text = F.concat(F.lit("a file digest is for at most "), F.lit(most), F.lit(" IDs, not "), F.col("n"))
+    checked = sizes.select(F.col("split").alias("_of"), F.when(F.col("n") <= most, F.col("n")).otherwise(F.raise_error(text)).alias("n"))
+    # The size is looked at before any ID is gathered.
+    lists = members.join(checked, F.col("split") == F.col("_of")).select("split", "n", name.alias("_i"))
+    return lists.groupBy("split", "n").agg(
+        F.sha2(_ordered_text(F.col("_i"), F.concat("_i", F.lit("\n"))), 256).alias("digest")
     )
 
 
-def content_digest(items: DataFrame, leaves: int | None = None) -> DataFrame:
+def content_digest(items: DataFrame, leaf_digits: int = LEAF_DIGITS) -> DataFrame:
     """``(source, n, digest)`` over split, ID and the two content hashes, NUL-terminated.
 
-    Items count in the order train, val, test and then by ID.
+    Within a leaf items count in the order train, val, test and then by ID.
     """
     order = F.array_position(F.array(F.lit("train"), F.lit("val"), F.lit("test")), F.col("split"))
     name = F.col("image_id").cast("string")
@@ -110,7 +100,7 @@ def content_digest(items: DataFrame, leaves: int | None = None) -> DataFrame:
         F.col("split"), nul, name, nul, F.col("image_sha"), nul, F.col("label_sha"), nul
     )
     return ordered_digest(
-        items, ["source"], F.struct(order.alias("o"), name.alias("i")), text, name, leaves
+        items, ["source"], F.struct(order.alias("o"), name.alias("i")), text, name, leaf_digits
     )
 
 

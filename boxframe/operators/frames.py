@@ -146,7 +146,12 @@ def latency_summary(
     result = means.join(spread, keys).withColumn(
         "fps", ratio(F.lit(1000.0), F.col("mean_end_to_end_ms"))
     )
-    return result if by else result.drop("_all")
+    if by:
+        return result
+    one = result.drop("_all")
+    whole = one.agg(F.count("*").alias("n"), F.max(F.struct(*one.columns)).alias("row"))
+    nothing = F.raise_error(F.lit("a latency summary needs at least one sample"))
+    return whole.select(F.when(F.col("n") == 1, F.col("row")).otherwise(nothing).alias("row")).select("row.*")
 
 
 def video_summary(

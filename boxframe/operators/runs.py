@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from boxframe.functions.text import failure_advice, out_of_memory
 from boxframe.operators.ranking import HOT_ROWS, grouped_row_number
 
-# The states of a run and which may follow which.
+# The states of a run and which may follow which. Any run that has not succeeded may resume.
 TRANSITIONS = {
-    "initializing": ("running", "failed"),
-    "running": ("success", "failed"),
+    "initializing": ("initializing", "running", "failed"),
+    "running": ("initializing", "success", "failed"),
     "failed": ("initializing",),
     "success": (),
 }

@@ -231,9 +231,18 @@ def threshold_references(rows: DataFrame, recall_tolerance: float = 0.01) -> Dat
     return best.agg(*[pick.alias(name) for name, pick in picks.items()])
 
 
+def the_only_row(rows: DataFrame, message: str) -> DataFrame:
+    """``rows``, which must be one; the job fails with ``message`` for none or several."""
+    row = F.max(F.struct(*rows.columns)).alias("row")
+    one = rows.agg(F.count("*").alias("n"), row)
+    checked = F.when(F.col("n") == 1, F.col("row")).otherwise(F.raise_error(F.lit(message)))
+    return one.select(checked.alias("row")).select("row.*")
+
+
 def select_row(rows: DataFrame, threshold: float) -> DataFrame:
-    """The sweep row of one threshold."""
-    return rows.filter(F.abs(F.col("threshold") - F.lit(float(threshold))) <= TIE_SLACK).limit(1)
+    """The sweep row of one threshold; a missing or repeated one is an error."""
+    wanted = rows.filter(F.abs(F.col("threshold") - F.lit(float(threshold))) <= TIE_SLACK)
+    return the_only_row(wanted, f"the sweep has no single row for the threshold {threshold}")
 
 
 def evaluation_thresholds(

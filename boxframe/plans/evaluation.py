@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boxframe.functions.boxes import SMALL_AREA_MAX
-from boxframe.operators.frames import latency_summary
+from boxframe.functions.boxes import SMALL_AREA_MAX, box_problem
 from boxframe.operators.matching import coverage
 from boxframe.operators.sweep import (
     TIE_SLACK,
@@ -19,10 +18,12 @@ from boxframe.operators.sweep import (
     threshold_references,
 )
 
+_CORNERS = ("x1", "y1", "x2", "y2")
+
 
 @dataclass(frozen=True)
 class Evaluation:
-    """Sweep rows, the chosen row, reference thresholds and coverage problems of one split."""
+    """Sweep rows, the chosen row, reference thresholds and the problems of one split."""
 
     rows: DataFrame
     selected: DataFrame
@@ -31,6 +32,44 @@ class Evaluation:
     selection_allowed: bool
 
 
+def _gt_problem() -> Column:
+    return box_problem(*[F.col(c) for c in _CORNERS], F.col("class_id"), None)
+
+
+def _pred_problem() -> Column:
+    confidence = F.col("confidence")
+    rule = box_problem(*[F.col(c) for c in _CORNERS], F.lit(0), confidence)
+    return F.coalesce(rule, F.when(confidence.isNull(), "confidence_outside_unit_interval"))
+
+
+def evaluation_problems(
+    gt: DataFrame, pred: DataFrame, images: DataFrame, split: str, results: DataFrame | None = None
+) -> DataFrame:
+    """``(image_id, problem, n)``: what keeps a split from being evaluated.
+
+    Images without a result, results without an image, repeated results (``missing``, ``extra``,
+    ``duplicate``), invalid boxes of either side by their first broken rule, and ``empty_split``
+    without an image.
+    """
+    ids = images.filter(F.col("split") == split).select("image_id")
+    covered = coverage(ids, ids if results is None else results)
+
+    def invalid(boxes: DataFrame, problem: Column, side: str) -> DataFrame:
+        broken = boxes.join(ids, "image_id", "left_semi").withColumn("_p", problem).filter("_p is not null")
+        counted = broken.groupBy("image_id", "_p").agg(F.count("*").alias("n"))
+        return counted.select("image_id", F.concat(F.lit(f"{side}_"), "_p").alias("problem"), "n")
+
+    kind = images.schema["image_id"].dataType
+    empty = ids.agg(F.count("*").alias("_n")).filter("_n = 0")
+    empty = empty.select(F.lit(None).cast(kind).alias("image_id"), F.lit("empty_split").alias("problem"), F.lit(1).cast("bigint").alias("n"))
+    return (
+        covered.withColumn("n", F.lit(1).cast("bigint"))
+        .unionByName(invalid(gt, _gt_problem(), "target"))
+        .unionByName(invalid(pred, _pred_problem(), "prediction"))
+        .unionByName(empty)
+    )
+
+
 def evaluate(
     gt: DataFrame,
     pred: DataFrame,
@@ -45,14 +84,15 @@ def evaluate(
     """Evaluate a split. The final split takes one locked threshold and allows no choice.
 
     ``results`` lists the images that were scored (``image_id``), for the coverage check; an image
-    may well have been scored without any box.
+    may well have been scored without any box. Invalid boxes are listed in ``problems`` and never
+    matched; call :func:`assert_evaluable` to stop at any problem.
     """
     thresholds, chosen, may_choose = evaluation_thresholds(split, locked_threshold, ladder=ladder)
     wanted = images.filter(F.col("split") == split)
     ids = wanted.select("image_id")
     rows = sweep(
-        gt.join(ids, "image_id", "left_semi"),
-        pred.join(ids, "image_id", "left_semi"),
+        gt.join(ids, "image_id", "left_semi").filter(_gt_problem().isNull()),
+        pred.join(ids, "image_id", "left_semi").filter(_pred_problem().isNull()),
         wanted,
         thresholds,
         iou_threshold,
@@ -64,12 +104,15 @@ def evaluate(
     else:
         names = ("balanced_high_recall_threshold", "best_f1_threshold", "max_recall_threshold")
         references = rows.select(*[F.lit(chosen).alias(n) for n in names]).limit(1)
-    problems = coverage(ids, ids if results is None else results)
+    problems = evaluation_problems(gt, pred, images, split, results)
     return Evaluation(rows, selected, references, problems, may_choose)
 
 
-def latency_of(frames: DataFrame) -> DataFrame:
-    return latency_summary(frames)
+def assert_evaluable(evaluation: Evaluation, shown: int = 10) -> None:
+    """Raise with the first problems where there are any."""
+    found = evaluation.problems.orderBy("problem", "image_id").limit(shown).collect()
+    if found:
+        raise ValueError("not evaluable: " + "; ".join(f"{r.problem} {r.image_id}" for r in found))
 
 
 def metrics_document(
@@ -96,10 +139,12 @@ def metrics_document(
     best, picks = reference_columns(rows)
     is_chosen = F.abs(F.col("threshold") - F.lit(float(selected))) <= TIE_SLACK
     # One aggregate over the sweep rows gives the chosen row and the references together.
+    chosen = F.max(F.when(is_chosen, F.struct(*rows.columns)))
+    missing = F.raise_error(F.lit(f"the sweep has no single row for the threshold {selected}"))
     one = best.agg(
-        F.max(F.when(is_chosen, F.struct(*rows.columns))).alias("row"),
+        F.when(F.count_if(is_chosen) == 1, chosen).otherwise(missing).alias("row"),
         F.struct(*[pick.alias(name) for name, pick in picks.items()]).alias("threshold_references"),
-    ).filter("row is not null")
+    )
     extra = {}
     if precision is not None:
         whole = precision.select(F.struct("*")).scalar()

@@ -204,6 +204,34 @@ def label_strict(inputs: Inputs) -> DataFrame:
     return labels.strict_boxes(lines).groupBy("problem").agg(F.count("*").alias("n"))
 
 
+# Images with a label file, empty or not, and images without one.
+_LABELLED_IMAGES = """SELECT DISTINCT image_id, 'val' AS split FROM {fx_label_files}
+UNION ALL SELECT CAST(o_orderkey AS STRING) AS image_id, 'val' AS split FROM {orders}"""
+
+
+@query(
+    "eval_ground_truth",
+    _LINES + f""", v AS ({_LABELLED_IMAGES.replace("{", "").replace("}", "")}),
+o AS (SELECT *, x_center - box_width / 2 AS x1, y_center - box_height / 2 AS y1,
+  x_center + box_width / 2 AS x2, y_center + box_height / 2 AS y2 FROM c),
+b AS (SELECT *, CASE WHEN k <> 5 THEN 'field_count' WHEN NOT numeric THEN 'not_numeric'
+  WHEN NOT counted THEN 'not_finite' WHEN x1 < 0 OR y1 < 0 OR x2 > 1 OR y2 > 1 THEN 'outside_unit_square'
+  WHEN x2 <= x1 OR y2 <= y1 THEN 'not_positive_size' WHEN class_id <> 0 THEN 'class_not_zero' END AS problem FROM o),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY image_id ORDER BY line_number NULLS FIRST, x1 NULLS FIRST,
+  y1 NULLS FIRST, x2 NULLS FIRST, y2 NULLS FIRST, class_id NULLS FIRST, problem NULLS FIRST) - 1 AS INTEGER) AS gt_idx
+  FROM b)
+SELECT image_id, gt_idx, round(x1, 9) AS x1, round(y1, 9) AS y1, round(x2, 9) AS x2, round(y2, 9) AS y2,
+  class_id, problem FROM r WHERE image_id IN (SELECT image_id FROM v)
+UNION ALL SELECT image_id, NULL, NULL, NULL, NULL, NULL, NULL, 'missing_label' FROM v
+WHERE image_id NOT IN (SELECT image_id FROM fx_label_files)""",
+)
+def eval_ground_truth(inputs: Inputs) -> DataFrame:
+    files = inputs.view("fx_label_files")
+    images = inputs.spark.sql(_LABELLED_IMAGES, fx_label_files=files, orders=inputs.table("orders"))
+    rows = labels.ground_truth(images, files, "val")
+    return rows.withColumns({c: F.round(c, 9) for c in ("x1", "y1", "x2", "y2")})
+
+
 @query(
     "eval_images",
     """WITH b AS (SELECT image_id, count(*) AS n FROM fx_gt GROUP BY 1)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxframe.functions.boxes import iou
-from boxframe.operators import matching, quality, reports, sweep
+from boxframe.operators import frames, matching, quality, reports, sweep
 from boxframe.plans import evaluation
 from boxframe.plans.fixtures import Inputs
 from boxframe.plans.registry import query
@@ -325,6 +325,45 @@ def locked_eval(inputs: Inputs) -> DataFrame:
     return _rounded(result.rows)
 
 
+# Predictions with invalid values in some rows, and results that don't fit the images.
+_SPOILED = """SELECT image_id, pred_idx, CASE WHEN image_id % 41 = 0 THEN CAST('NaN' AS DOUBLE) ELSE x1 END AS x1,
+  y1, CASE WHEN image_id % 43 = 0 THEN 1.5 ELSE x2 END AS x2, y2,
+  CASE WHEN image_id % 47 = 0 THEN CAST('NaN' AS DOUBLE) WHEN image_id % 53 = 0 THEN 1.25
+    WHEN image_id % 59 = 0 THEN NULL ELSE confidence END AS confidence
+FROM {fx_pred}"""
+_RESULTS = """SELECT image_id FROM {fx_images} WHERE image_id % 31 <> 0
+UNION ALL SELECT image_id FROM {fx_images} WHERE image_id % 37 = 0
+UNION ALL SELECT -image_id FROM {fx_images} WHERE image_id % 61 = 0"""
+
+
+def _plain(sql: str) -> str:
+    return sql.replace("{", "").replace("}", "")
+
+
+@query(
+    "eval_problems",
+    f"""WITH p AS ({_plain(_SPOILED)}), r AS ({_plain(_RESULTS)}),
+v AS (SELECT image_id FROM fx_images WHERE split = 'val'),
+c AS (SELECT coalesce(v.image_id, r.image_id) AS image_id, CASE WHEN r.image_id IS NULL THEN 'missing'
+    WHEN v.image_id IS NULL THEN 'extra' WHEN r.n > 1 THEN 'duplicate' END AS problem
+  FROM v FULL JOIN (SELECT image_id, count(*) AS n FROM r GROUP BY 1) AS r ON v.image_id = r.image_id),
+b AS (SELECT image_id, CASE WHEN isnan(x1) THEN 'not_finite' WHEN x2 > 1 THEN 'outside_unit_square'
+    WHEN x2 <= x1 OR y2 <= y1 THEN 'not_positive_size'
+    WHEN confidence IS NULL OR isnan(confidence) OR confidence > 1 THEN 'confidence_outside_unit_interval' END AS problem
+  FROM p WHERE image_id IN (SELECT image_id FROM v))
+SELECT image_id, problem, CAST(1 AS BIGINT) AS n FROM c WHERE problem IS NOT NULL
+UNION ALL SELECT image_id, 'prediction_' || problem, count(*) FROM b WHERE problem IS NOT NULL GROUP BY 1, 2""",
+)
+def eval_problems(inputs: Inputs) -> DataFrame:
+    return evaluation.evaluation_problems(
+        inputs.view("fx_gt"),
+        inputs.spark.sql(_SPOILED, fx_pred=inputs.view("fx_pred")),
+        inputs.view("fx_images"),
+        "val",
+        inputs.spark.sql(_RESULTS, fx_images=inputs.view("fx_images")),
+    )
+
+
 @query(
     "metrics_document",
     _REFS_SQL
@@ -338,7 +377,7 @@ def metrics_document(inputs: Inputs) -> DataFrame:
     rows = _sweep(inputs, LADDER)
     document = evaluation.metrics_document(
         rows,
-        evaluation.latency_of(inputs.view("fx_frames")),
+        frames.latency_summary(inputs.view("fx_frames")),
         run_id="run_sf",
         split="val",
         selected=0.25,

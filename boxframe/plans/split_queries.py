@@ -119,48 +119,47 @@ def split_list_scan(inputs: Inputs) -> DataFrame:
     )
 
 
-@query(
-    "split_files",
-    _OFFICIAL + """SELECT split, count(*) AS n,
-  sha256(string_agg(image_id || chr(10), '' ORDER BY image_id)) AS digest FROM members GROUP BY 1""",
-)
+def _tree(table: str, key: str, text: str, order: str, digits: int = 4) -> str:
+    """SQL of a list digest: leaves by the first digits of the ID's hash, then branches, then the root."""
+    half = digits - digits // 2
+    return f"""SELECT {key}, CAST(sum(c) AS BIGINT) AS n, sha256(string_agg(branch || b, '' ORDER BY branch)) AS digest FROM (
+  SELECT {key}, left(leaf, {half}) AS branch, sum(c) AS c, sha256(string_agg(leaf || d, '' ORDER BY leaf)) AS b FROM (
+    SELECT {key}, left(sha256(image_id), {digits}) AS leaf, count(*) AS c, sha256(string_agg({text}, '' ORDER BY {order})) AS d
+    FROM {table} GROUP BY 1, 2) GROUP BY 1, 2) GROUP BY 1"""
+
+
+_LINE = "image_id || chr(10)"
+
+
+@query("split_files", _OFFICIAL + _tree("members", "split", _LINE, "image_id"))
 def split_files(inputs: Inputs) -> DataFrame:
     return fingerprint.split_hash(_members(inputs))
 
 
-@query(
-    "split_hash",
-    """SELECT split, count(*) AS n, sha256(string_agg(image_id || chr(10), '' ORDER BY image_id))
-  AS digest FROM fx_items GROUP BY 1""",
-)
+@query("split_hash", _tree("fx_items", "split", _LINE, "image_id"))
 def split_hash(inputs: Inputs) -> DataFrame:
     return fingerprint.split_hash(_items(inputs).select("split", "image_id"))
 
 
-_HEX = "'0123456789abcdef'"
-_LEAF = " + ".join(
-    f"(instr({_HEX}, substr(sha256(image_id), {i + 1}, 1)) - 1) * {16 ** (7 - i)}::BIGINT"
-    for i in range(8)
-)
+@query("split_hash_merkle", _tree("fx_items", "split", _LINE, "image_id", 1))
+def split_hash_merkle(inputs: Inputs) -> DataFrame:
+    """Few leaves of many IDs each."""
+    return fingerprint.split_hash(_items(inputs).select("split", "image_id"), leaf_digits=1)
 
 
 @query(
-    "split_hash_merkle",
-    f"""WITH leaves AS (
-  SELECT split, ({_LEAF}) % 64 AS leaf, count(*) AS c,
-    sha256(string_agg(image_id || chr(10), '' ORDER BY image_id)) AS d FROM fx_items GROUP BY 1, 2)
-SELECT split, CAST(sum(c) AS BIGINT) AS n, sha256(sha256(string_agg(d, '' ORDER BY leaf))) AS digest
-FROM leaves GROUP BY 1""",
+    "split_file_digest",
+    """SELECT split, count(*) AS n, sha256(string_agg(image_id || chr(10), '' ORDER BY image_id))
+  AS digest FROM fx_items GROUP BY 1""",
 )
-def split_hash_merkle(inputs: Inputs) -> DataFrame:
-    return fingerprint.split_hash(_items(inputs).select("split", "image_id"), leaves=64)
+def split_file_digest(inputs: Inputs) -> DataFrame:
+    return fingerprint.file_digest(_items(inputs).select("split", "image_id"))
 
 
-_HASHES = """WITH h AS (SELECT split, sha256(string_agg(image_id || chr(10), '' ORDER BY image_id)) AS d
-  FROM fx_items GROUP BY 1),
+_HASHES = f"""WITH h AS (SELECT split, digest AS d FROM ({_tree("fx_items", "split", _LINE, "image_id")})),
 w AS (SELECT max(d) FILTER (WHERE split = 'test') AS test, max(d) FILTER (WHERE split = 'train')
   AS train, max(d) FILTER (WHERE split = 'val') AS val FROM h),
-j AS (SELECT '"split_hashes":{"test":"' || test || '","train":"' || train || '","val":"' || val || '"}'
+j AS (SELECT '"split_hashes":{{"test":"' || test || '","train":"' || train || '","val":"' || val || '"}}'
   AS s FROM w)
 """
 
@@ -199,10 +198,12 @@ def manifest_row(inputs: Inputs) -> DataFrame:
 
 @query(
     "content_digest",
-    """SELECT source, count(*) AS n, sha256(string_agg(
-  split || chr(0) || image_id || chr(0) || sha256(text) || chr(0) || sha256(source) || chr(0), ''
-  ORDER BY CASE split WHEN 'train' THEN 1 WHEN 'val' THEN 2 ELSE 3 END, image_id)) AS digest
-FROM fx_items GROUP BY 1""",
+    _tree(
+        "fx_items",
+        "source",
+        "split || chr(0) || image_id || chr(0) || sha256(text) || chr(0) || sha256(source) || chr(0)",
+        "CASE split WHEN 'train' THEN 1 WHEN 'val' THEN 2 ELSE 3 END, image_id",
+    ),
 )
 def content_digest(inputs: Inputs) -> DataFrame:
     items = _items(inputs).select(
@@ -404,11 +405,11 @@ def combine_sources(inputs: Inputs) -> DataFrame:
 
 @query(
     "id_intersect",
-    "SELECT doc_id AS image_id FROM documents INTERSECT SELECT doc_id FROM labels WHERE toxic = 0",
+    "SELECT doc_id AS image_id FROM documents INTERSECT SELECT doc_id FROM labels",
 )
 def id_intersect(inputs: Inputs) -> DataFrame:
     docs = inputs.table("documents").select(F.col("doc_id").alias("image_id"))
-    labelled = inputs.table("labels").filter("toxic = 0")
+    labelled = inputs.table("labels")
     return combine.common_ids(docs, labelled.select(F.col("doc_id").alias("image_id")))
 
 

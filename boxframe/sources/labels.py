@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from boxframe.functions.boxes import LABEL_SLACK, all_finite, box_problem, center_to_corners
 from boxframe.functions.text import stem_of, strip
+from boxframe.operators.ranking import HOT_ROWS, grouped_row_number
 
 _FIELDS = ("x_center", "y_center", "box_width", "box_height")
 
@@ -108,6 +109,37 @@ def strict_boxes(lines: DataFrame) -> DataFrame:
     )
 
 
+def ground_truth(
+    images: DataFrame, files: DataFrame, split: str, text_col: str = "text", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """``(image_id, gt_idx, x1, y1, x2, y2, class_id, problem)`` of a split from its label files.
+
+    ``gt_idx`` counts an image's lines from 0. A line that breaks a strict rule keeps its row and
+    says so in ``problem``; an image of the split without a label file has one row, ``missing_label``,
+    and one with an empty file none.
+    """
+    wanted = images.filter(F.col("split") == split).select("image_id")
+    own = files.join(wanted, "image_id", "left_semi").select("image_id", text_col)
+    boxes = strict_boxes(label_lines(own, text_col))
+    corners = ("x1", "y1", "x2", "y2")
+    # Two files of one image repeat line numbers; what the lines say orders those.
+    order = [F.asc(c) for c in ("line_number", *corners, "class_id", "problem")]
+    numbered = grouped_row_number(
+        boxes, ["image_id"], order, [F.floor(F.col("line_number") / 65536)], "_n", hot_rows
+    )
+    rows = numbered.select(
+        "image_id", (F.col("_n") - 1).cast("int").alias("gt_idx"), *corners, "class_id", "problem"
+    )
+    lost = wanted.join(own.select("image_id"), "image_id", "left_anti").select(
+        "image_id",
+        F.lit(None).cast("int").alias("gt_idx"),
+        *[F.lit(None).cast("double").alias(c) for c in corners],
+        F.lit(None).cast("int").alias("class_id"),
+        F.lit("missing_label").alias("problem"),
+    )
+    return rows.unionByName(lost)
+
+
 def evaluation_images(images: DataFrame, boxes: DataFrame, split: str) -> DataFrame:
     """Box count per image of one split, images without boxes included."""
     counts = boxes.groupBy("image_id").agg(F.count("*").alias("n_boxes"))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from boxframe.operators.checkpoints import checkpoint_folder
 from boxframe.operators.frames import frame_rows, select_frames
@@ -79,6 +81,41 @@ def stream_dedup(results: DataFrame, key: str = "image_id", delay: str = "1 hour
     return results.withWatermark("ts", delay).dropDuplicatesWithinWatermark([key])
 
 
+def stream_repeats(results: DataFrame, key: str = "image_id") -> DataFrame:
+    """Results per key so far, for a totals stream; a repeat, however late, is a ``duplicate`` problem."""
+    counted = results.groupBy(key).agg(F.count("*").alias("n_results"))
+    return counted.withColumn("problem", F.when(F.col("n_results") > 1, "duplicate"))
+
+
+def end_marker(spark: SparkSession, schema: StructType, last: datetime, after: str) -> DataFrame:
+    """One row of ``schema``, null but for ``ts``, which lies ``after`` behind ``last``.
+
+    Written behind a finished input, it moves the watermark past every open session, so that they all
+    come out. Drop the session of the null name afterwards.
+    """
+    nulls = spark.createDataFrame([(None,) * len(schema)], StructType([StructField(f.name, f.dataType) for f in schema]))
+    moved = F.lit(str(last)).cast(schema["ts"].dataType) + F.expr(f"interval {after}")
+    return nulls.withColumn("ts", moved)
+
+
+def write_in_order(
+    rows: DataFrame, ts: str, low: datetime | None, high: datetime | None, parts: int, folder: str
+) -> None:
+    """Write rows as files whose times of writing follow their event times, ``parts`` stretches of equal length.
+
+    A file source takes files in the order in which they were written.
+    """
+    if low is None or high is None:
+        rows.write.mode("append").parquet(folder)
+        return
+    cuts = [low + (high - low) * i / parts for i in range(parts)]
+    for i, start in enumerate(cuts):
+        stretch = rows.filter(F.col(ts) >= F.lit(str(start)).cast(rows.schema[ts].dataType))
+        if i + 1 < parts:
+            stretch = stretch.filter(F.col(ts) < F.lit(str(cuts[i + 1])).cast(rows.schema[ts].dataType))
+        stretch.write.mode("append").parquet(folder)
+
+
 def work_folder(spark: SparkSession) -> str:
     """A new folder below the shared checkpoint folder."""
     return f"{checkpoint_folder(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"

@@ -127,17 +127,41 @@ def test_split_needs_two_ids(spark):
         splits.assign_splits(one, one, 1.0)
 
 
-def test_list_digest_equals_file_digest(spark):
+def tree_digest(ids, digits):
+    leaves = {}
+    for i in sorted(ids):
+        name = hashlib.sha256(i.encode()).hexdigest()[:digits]
+        leaves[name] = leaves.get(name, "") + f"{i}\n"
+    branches = {}
+    for name in sorted(leaves):
+        branch = name[: digits - digits // 2]
+        branches[branch] = branches.get(branch, "") + name + hashlib.sha256(leaves[name].encode()).hexdigest()
+    text = "".join(b + hashlib.sha256(branches[b].encode()).hexdigest() for b in sorted(branches))
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_list_digest_has_one_rule(spark):
     ids = [f"i{k:03d}" for k in range(200)]
     members = spark.createDataFrame([("train", i) for i in reversed(ids)], "split string, image_id string")
-    expected = hashlib.sha256("".join(f"{i}\n" for i in ids).encode()).hexdigest()
-    assert fingerprint.split_hash(members).head().digest == expected
-    spread = fingerprint.split_hash(members, leaf_size=16)
-    row = spread.head()
-    assert row.n == 200 and row.digest != expected
-    assert fingerprint.split_hash(members.repartition(5), leaf_size=16).head() == row
+    for digits in (1, 2, 4):
+        row = fingerprint.split_hash(members, digits).head()
+        assert row.n == 200 and row.digest == tree_digest(ids, digits)
+        assert fingerprint.split_hash(members.repartition(5), digits).head() == row
     other = members.withColumn("image_id", F.regexp_replace("image_id", "i199", "i999"))
-    assert fingerprint.split_hash(other, leaf_size=16).head().digest != row.digest
+    assert fingerprint.split_hash(other).head().digest != fingerprint.split_hash(members).head().digest
+
+
+def test_list_digest_of_many_ids(spark):
+    ids = spark.range(70_000).select(F.lit("train").alias("split"), F.col("id").cast("string").alias("image_id"))
+    assert fingerprint.split_hash(ids).head().digest == tree_digest([str(i) for i in range(70_000)], 4)
+
+
+def test_file_digest(spark):
+    ids = [f"i{k:03d}" for k in range(200)]
+    members = spark.createDataFrame([("train", i) for i in reversed(ids)], "split string, image_id string")
+    assert fingerprint.file_digest(members).head().digest == hashlib.sha256("".join(f"{i}\n" for i in ids).encode()).hexdigest()
+    with pytest.raises(Exception, match="at most 100"):
+        fingerprint.file_digest(members, most=100).collect()
 
 
 def test_fingerprint_is_canonical_json(spark):

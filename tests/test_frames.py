@@ -78,6 +78,8 @@ def test_latency(spark):
     assert frames.bad_latency_samples(bad).count() == 2
     with pytest.raises(Exception, match="finite and non-negative"):
         frames.latency_summary(bad).collect()
+    with pytest.raises(Exception, match="at least one sample"):
+        frames.latency_summary(rows.limit(0)).collect()
 
 
 def scored_frames(spark):
@@ -155,6 +157,14 @@ def test_text(spark):
     assert one(spark, tx.video_run_id(lit("__my clip!__"), stamp, lit("0123456789"))) == "my_clip_20240102T030405Z_01234567"
     assert one(spark, tx.training_run_id(lit(".a b"), stamp, lit(None).cast("string"))) == "a_b_20240102T030405Z_nogit"
     assert one(spark, tx.utc_seconds(stamp)) == "2024-01-02T03:04:05Z"
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # The second instant has no wall clock of its own in New York.
+        for seconds, text in ((0, "1970-01-01T00:00:00Z"), (1710055800, "2024-03-10T07:30:00Z"), (1710037800, "2024-03-10T02:30:00Z")):
+            assert one(spark, tx.utc_seconds(F.timestamp_seconds(lit(seconds)))) == text
+        assert one(spark, tx.utc_compact(F.lit("2024-01-02 03:04:05").cast("timestamp_ntz"))) == "20240102T030405Z"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert one(spark, tx.failure_advice(lit("CUDA OUT OF MEMORY"))) == tx.OUT_OF_MEMORY_ADVICE
 
 
@@ -216,6 +226,15 @@ def test_metrics_document(spark, tmp_path):
     result = evaluation.evaluate(gt, pred, pictures, "val")
     assert result.problems.count() == 0 and result.selected.head().recall == 1.0
     assert result.references.head().best_f1_threshold == 0.8
+    with pytest.raises(Exception, match="no single row"):
+        sweep.select_row(result.rows, 0.123).collect()
+    nan = pred.union(pred.withColumns({"pred_idx": F.lit(1), "confidence": F.lit(float("nan"))}))
+    spoiled = evaluation.evaluate(gt, nan, pictures, "val", results=pictures.select("image_id").limit(1))
+    assert {r.predictions for r in spoiled.rows.filter("threshold < 0.8").collect()} == {1}
+    assert {r.problem for r in spoiled.problems.collect()} == {"missing", "prediction_confidence_outside_unit_interval"}
+    with pytest.raises(ValueError, match="missing"):
+        evaluation.assert_evaluable(spoiled)
+    assert [r.problem for r in evaluation.evaluation_problems(gt, pred, pictures.limit(0), "val").collect()] == ["empty_split"]
     timing = spark.createDataFrame([(4.0,)], "fps double")
     precision = spark.createDataFrame([(0.5, 0.25)], "map50 double, map50_95 double")
     row = evaluation.metrics_document(result.rows, timing, "r", "val", 0.25, True, precision=precision).head()
