@@ -56,9 +56,10 @@ def features(text: str | None, dimensions: int = DIMENSIONS) -> np.ndarray | Non
     found = letters(text)
     if not found.any():
         return None
-    # Runs of other characters count as one gap.
+    # Runs of other characters count as one gap, and so do the ends of the text.
+    found = np.concatenate([[0], found, [0]]).astype(np.uint32)
     gap = found == 0
-    found = np.concatenate([[0], found[~(gap & np.concatenate([[False], gap[:-1]]))], [0]]).astype(np.uint32)
+    found = found[~(gap & np.concatenate([[False], gap[:-1]]))]
     shift = np.uint32(32 - int(dimensions).bit_length() + 1)
     counts = np.zeros(dimensions, np.int64)
     value = np.zeros(len(found), np.uint32)

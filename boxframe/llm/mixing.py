@@ -148,7 +148,8 @@ def mix(
         ),
         "quotas",
     )
-    left = F.greatest(F.lit(0.0), F.col("quota") - F.col("epochs") * F.col("source_tokens"))
+    rest = F.col("quota") - F.col("epochs") * F.col("source_tokens")
+    left = F.when(rest > 1e-6 * F.col("source_tokens"), rest).otherwise(0.0)
     dealt = base.join(quotas.withColumn("left", left), F.col("source").eqNullSafe(F.col("source_of"))).withColumn("block", F.pmod("h", "blocks"))
 
     def rank(epoch: Column) -> Column:
