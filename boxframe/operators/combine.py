@@ -7,7 +7,6 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxframe.operators.quality import id_collisions
 
 _PREFIX = re.compile(r"[A-Za-z0-9][A-Za-z0-9_-]*")
 
@@ -35,11 +34,6 @@ def combine_sources(sources: dict[str, DataFrame], prefixes: dict[str, str]) ->
     return combined
 
 
-def combination_problems(combined: DataFrame) -> DataFrame:
-    """Items whose combined ID, ignoring case, is not unique."""
-    return id_collisions(combined)
-
-
 def common_ids(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.select("image_id").intersect(right.select("image_id"))
 

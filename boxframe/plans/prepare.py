@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxframe.operators.checkpoints import cut_lineage
-from boxframe.operators.fingerprint import dataset_fingerprint, split_hash
+from boxframe.operators.fingerprint import DIGEST_RULE, LEAF_DIGITS, dataset_fingerprint, split_hash
 from boxframe.operators.profile import (
     area_buckets,
     category_counts,
@@ -27,6 +27,7 @@ from boxframe.operators.splits import (
     assign_fallback_splits,
     assign_splits,
     split_integrity,
+    split_warnings,
 )
 from boxframe.schemas import SPLITS
 from boxframe.sinks.files import manifest_json, publish
@@ -47,6 +48,18 @@ OPTIONS: dict[str, object] = {
 }
 
 
+def checked_options(options: dict[str, object] | None, verify_dimensions: bool) -> dict[str, object]:
+    """All conversion options. Only clipping and the check of dimensions can be switched."""
+    merged = {**OPTIONS, **(options or {}), "verify_image_dimensions": verify_dimensions}
+    if unknown := sorted(set(merged) - set(OPTIONS)):
+        raise ValueError(f"unknown conversion options: {', '.join(unknown)}")
+    fixed = [k for k in OPTIONS if k not in ("clip_boxes", "verify_image_dimensions", "target_class_name")]
+    for name in fixed:
+        if merged[name] != OPTIONS[name]:
+            raise ValueError(f"{name}={merged[name]!r} is not supported")
+    return merged
+
+
 @dataclass(frozen=True)
 class Prepared:
     """Tables of a dataset version, derived from parsed annotations, image sizes and the split."""
@@ -56,6 +69,8 @@ class Prepared:
     boxes: DataFrame
     rejects: DataFrame
     issues: DataFrame
+    #: In the layout of ``issues``; they don't keep a version from being published.
+    warnings: DataFrame
     fingerprint: DataFrame
     manifest: DataFrame
 
@@ -74,20 +89,21 @@ def prepare(
     """Read one dataset root and build its tables.
 
     ``membership`` (``image_id, split``) replays a stored split; otherwise the official lists, or
-    the fallback shares with ``official=False``, decide. ``options`` replace entries of ``OPTIONS``.
+    the fallback shares with ``official=False``, decide. ``options`` replace entries of ``OPTIONS``;
+    what they say is what is done, and a value that isn't supported is an error. Repeated and
+    overlapping entries of the official lists are ``warnings``.
     """
+    options = checked_options(options, verify_dimensions)
+    warnings = None
     annotations = read_voc(spark, f"{root}/Annotations")
     files = read_images(spark, f"{root}/JPEGImages")
     if membership is not None:
         members = membership.select("image_id", "split")
     elif official:
         lists = f"{root}/ImageSets/Main"
-        members = assign_splits(
-            read_split_list(spark, f"{lists}/trainval.txt"),
-            read_split_list(spark, f"{lists}/test.txt"),
-            val_fraction,
-            seed,
-        )
+        trainval, test = (read_split_list(spark, f"{lists}/{n}.txt") for n in ("trainval", "test"))
+        members = assign_splits(trainval, test, val_fraction, seed)
+        warnings = split_warnings(trainval, test).withColumnRenamed("list", "split")
     else:
         members = assign_fallback_splits(annotations.select("image_id"), seed)
     # Every file is read and parsed once; the tables below start from these results.
@@ -106,7 +122,7 @@ def prepare(
     images = cut_lineage(check_dimensions(sized, verify=verify_dimensions).drop("filename"))
     objects = voc_objects(noted).drop("width", "height")
     placed = objects.join(images.select("image_id", "split", "width", "height"), "image_id")
-    normalized = normalize_boxes(placed)
+    normalized = normalize_boxes(placed, bool(options["clip_boxes"]))
     boxes = remap_classes(normalized.filter("reject_reason is null"))
     rejects = normalized.filter("reject_reason is not null").select(
         "split", "image_id", "obj_idx", "class_name", "reject_reason"
@@ -122,7 +138,6 @@ def prepare(
         .unionByName(issue_rows(images.filter("n_found <> 1"), "error", "image_not_found"))
         .unionByName(issue_rows(images.filter("error is not null"), "error", "unreadable_image"))
     )
-    options = {**OPTIONS, **(options or {}), "verify_image_dimensions": verify_dimensions}
     hashes = cut_lineage(split_hash(members))
     fingerprint = dataset_fingerprint(hashes, source_sha, options)
     if membership is not None:
@@ -136,6 +151,7 @@ def prepare(
         boxes,
         rejects,
         issues,
+        issues.limit(0) if warnings is None else issue_rows(warnings, "warning"),
         fingerprint,
         manifest,
     )
@@ -166,6 +182,7 @@ def dataset_manifest(
         "conversion": F.struct(*[F.lit(options[k]).alias(k) for k in sorted(options)]),
         "counts": F.col("counts"),
         "dataset_fingerprint": fingerprint.scalar(),
+        "digest_rule": F.struct(F.lit(LEAF_DIGITS).alias("leaf_digits"), F.lit(DIGEST_RULE).alias("name")),
         "schema_version": F.lit("1.0"),
         "source_archive_sha256": F.lit(source_sha),
         "split_configuration": F.struct(F.lit(seed).alias("seed")),

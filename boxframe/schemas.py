@@ -25,25 +25,6 @@ FRAME_PREDICTION = (
     f"detections array<{DETECTION}>, preprocess_ms double, inference_ms double, "
     "postprocess_ms double"
 )
-RAW_RESULT = (
-    "path string, xyxyn array<array<double>>, conf array<double>, cls array<double>, "
-    "speed map<string, double>"
-)
-SOURCE_MANIFEST = (
-    "archive_path string, archive_sha256 string, archive_size_bytes bigint, dataset_slug string, "
-    "downloaded_at_utc string, kaggle_cli_version string, requested_version string, "
-    "resolved_version string, schema_version string, _corrupt_record string"
-)
-DATASET_MANIFEST = (
-    "splits struct<test: array<string>, train: array<string>, val: array<string>>, "
-    "counts map<string, bigint>, dataset_fingerprint string, _corrupt_record string"
-)
-RUN_METADATA = (
-    "run_id string, status string, dataset_fingerprint string, created_at_utc string, "
-    "ended_at_utc string, "
-    "error struct<message: string, out_of_memory: boolean, phase: string, type: string>, "
-    "_corrupt_record string"
-)
 REGISTRY = (
     "active_model struct<name: string, release_tag: string, asset_name: string, sha256: string, "
     "imgsz: int, class_names: array<string>, selected_confidence_threshold: double, "

@@ -185,7 +185,7 @@ def test_combine_doubles_counts(spark):
     both = combine.combine_sources({"one": items, "two": items}, {"one": "real", "two": "synthetic"})
     totals = both.groupBy("split").agg(F.count("*").alias("n"), F.sum("object_count").alias("o"))
     assert {r.split: (r.n, r.o) for r in totals.collect()} == {"train": (4, 8), "val": (2, 0), "test": (2, 0)}
-    assert combine.combination_problems(both).count() == 0
+    assert quality.id_collisions(both).count() == 0
     with pytest.raises(ValueError):
         combine.combine_sources({"one": items, "two": items}, {"one": "A", "two": "a"})
     with pytest.raises(ValueError):
@@ -312,3 +312,10 @@ def test_combined_version(spark, tmp_path):
     assert [(r.rule, r.split) for r in lacking.issues.collect()] == [("empty_split", "val")]
     with pytest.raises(quality.DatasetProblems):
         quality.assert_valid(lacking.issues)
+
+
+def test_options_are_applied_or_refused():
+    assert prepare.checked_options({"clip_boxes": False}, False)["clip_boxes"] is False
+    for wrong in ({"target_class_id": 1}, {"keep_empty_images": False}, {"colour": 1}):
+        with pytest.raises(ValueError):
+            prepare.checked_options(wrong, True)
