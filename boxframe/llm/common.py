@@ -93,5 +93,7 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
             .filter("low < high")
             .distinct()
         )
-    found = scratch.table(edges.select(F.col("high").alias("node"), F.col("low").alias("component")).union(edges.select("low", "low").distinct()))
+    found = edges.select(F.col("high").alias("node"), F.col("low").alias("component")).union(edges.select("low", "low").distinct())
+    found = Scratch(spark).table(found, "components")
+    scratch.drop()
     return found

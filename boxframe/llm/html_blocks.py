@@ -403,11 +403,14 @@ def fit(samples: list[tuple[list[Block], np.ndarray]], seed: int = 0, rounds: in
 def train(pages: DataFrame, html: str = "html", sample_pages: int = SAMPLE_PAGES, layouts: int = LAYOUTS, seed: int = 0) -> Labeller | None:
     """Fit on at most ``sample_pages`` pages, those with the least hash; None if none has a known section.
 
-    The bound holds what comes to the driver: that many pages.
+    The bound holds what comes to the driver: that many pages. A share of the hashes, three times what is
+    needed, is looked at, so that tasks send few pages however many of them there are.
     """
     column = F.col(f"`{html}`")
     rows = pages.select(column.alias("html"), F.xxhash64(F.lit(seed), column).alias("h")).filter("html is not null")
-    got = [r.html for r in rows.orderBy("h", "html").limit(sample_pages).collect()]
+    share = min(1.0, 3 * sample_pages / max(1, rows.count()))
+    some = rows.filter(F.pmod("h", F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
+    got = [r.html for r in some.orderBy("h", "html").limit(sample_pages).collect()]
     samples = examples(got, layouts, seed)
     return fit(samples, seed) if samples else None
 

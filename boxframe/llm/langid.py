@@ -175,12 +175,19 @@ def train(
     """Fit on at most ``per_language`` labelled texts of each language among the ``usable`` rows.
 
     Those with the least hash of their ID are taken, so the sample is the same on every run. The bound
-    holds what comes to the driver: ``per_language`` vectors of whole texts and as many of slices.
+    holds what comes to the driver: the languages and, for each, ``per_language`` vectors of whole texts
+    and as many of slices. Of a large language a share of the hashes is looked at, three times what is
+    needed, so that tasks pass on few texts however many of them there are.
     """
     rows = docs.filter(usable).select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"), F.xxhash64(F.lit(seed), F.col(f"`{doc_id}`")).alias("h"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
+    rows = rows.filter("lang is not null and text is not null")
+    share = F.lit(1.0)
+    for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect():
+        share = F.when(F.col("lang") == r.lang, min(1.0, 3 * per_language / r.n)).otherwise(share)
+    some = rows.filter(F.pmod("h", F.lit(1 << 40)) <= share * float(1 << 40))
     # Spark keeps only the first rows of each language in every task before it shuffles them.
-    sample = rows.filter("lang is not null and text is not null").withColumn("place", place).filter(F.col("place") <= per_language)
+    sample = some.withColumn("place", place).filter(F.col("place") <= per_language)
     got = sample.select("lang", "text").mapInArrow(lambda b: _featured(b, dimensions), "lang string, vector binary").collect()
     got.sort(key=lambda r: (r.lang, r.vector))
     if not got:
