@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from boxframe.llm.common import Scratch, components
 from boxframe.llm.shingles import set_keys, shingle_set
+from boxframe.llm.words import sliced
 
 SHINGLE = 5
 PERCENT = 80
@@ -72,7 +73,7 @@ def _facts(batches: Iterator[pa.RecordBatch], shingle: int, cells: int) -> Itera
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    for batch in batches:
+    for batch in sliced(batches):
         rows = []
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             tokens = shingle_set(text.as_py(), shingle)
@@ -97,7 +98,7 @@ def _merge(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordB
 
 def _keys(batches: Iterator[pa.RecordBatch], bits: bytes, shingle: int, percent: int) -> Iterator[pa.RecordBatch]:
     frequent = np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool)
-    for batch in batches:
+    for batch in sliced(batches):
         ids, keys = [], []
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             tokens = shingle_set(text.as_py(), shingle)
@@ -109,19 +110,19 @@ def _keys(batches: Iterator[pa.RecordBatch], bits: bytes, shingle: int, percent:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         sets = [shingle_set(x.as_py(), shingle).astype("<u8").tobytes() for x in batch.column(1)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id_of", "tokens"])
 
 
 def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         most = [overlap_bound(x, y) for x, y in zip(batch.column("pa").to_pylist(), batch.column("pb").to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "na", "nb")), pa.array(most, pa.int64())], names=["a", "b", "na", "nb", "most"])
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch], outside: bool) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         rows = []
         for a, b, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "ta", "tb")), strict=True):
             x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")

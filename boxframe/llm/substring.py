@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boxframe.llm.common import Scratch
-from boxframe.llm.words import run_hashes, split_words, word_hashes
+from boxframe.llm.words import run_hashes, sliced, split_words, word_hashes
 
 WINDOW = 50
 SEED = 10
@@ -58,7 +58,7 @@ def blocks(hashes: np.ndarray, window: int, seed: int) -> Iterator[tuple[np.ndar
 
 
 def _seeds(batches: Iterator[pa.RecordBatch], window: int, seed: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         ids, texts = batch.column(0), batch.column(1)
         owner, found = [], []
         for i, text in enumerate(texts):
@@ -71,7 +71,7 @@ def _seeds(batches: Iterator[pa.RecordBatch], window: int, seed: int) -> Iterato
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], window: int, seed: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         ids, keys, texts, shared = batch.columns
         owner, seeds, firsts, counts, windows, heads = [], [], [], [], [], []
         for i in range(len(texts)):
@@ -187,7 +187,7 @@ def cut(text: str, gone: list[tuple[int, int]]) -> str:
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         row, texts, found = batch.columns
         kept, n_words, n_removed, gone = [], [], [], []
         for text, marks in zip(texts.to_pylist(), found.to_pylist(), strict=True):

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 #: Distinct words whose hashes a worker keeps.
-MEMO = 300_000
+MEMO = 120_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -20,6 +23,16 @@ class _Hashes(dict):
 _memo = _Hashes()
 
 
+#: Rows that are worked on at a time; bounds what a worker holds besides the batch it was sent.
+SLICE = 512
+
+
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE):
+            yield batch.slice(start, SLICE)
+
+
 def split_words(text: str | None) -> list[bytes]:
     """Maximal runs of anything but space and U+0009 to U+000D, as UTF-8."""
     return (text or "").encode().split()
