@@ -25,7 +25,7 @@ from boxframe.llm.common import prefix_sums
 from boxframe.operators.checkpoints import checkpoint_folder, cut_lineage
 
 #: Distinct words whose IDs a worker keeps.
-MEMO = 300_000
+MEMO = 1_000_000
 MANIFEST = "part int, path string, n_docs bigint, n_tokens bigint"
 
 
