@@ -27,6 +27,8 @@ from pyspark.sql import types as T
 #: Pages that the labeller is fitted on, at most.
 SAMPLE_PAGES = 240
 LAYOUTS = 4
+#: Where markup names no main text, blocks of fewer words are none.
+PLAIN_WORDS = 10
 PATHS, PATH_SIZE = 1 << 11, 12
 WORDS, WORD_SIZE = 1 << 12, 8
 NUMBERS, HIDDEN = 6, 24
@@ -275,6 +277,15 @@ def weak_label(block: Block) -> bool | None:
     return None
 
 
+def plain_labels(blocks: list[Block]) -> list[bool]:
+    """Labels for a page whose markup names no main text: long text with few links, or else the longest text."""
+    own = [len(b.text) * (1 - b.linked) for b in blocks]
+    found = [len(b.text.split()) >= PLAIN_WORDS and b.linked < 0.5 and weak_label(b) is not False for b in blocks]
+    if not any(found) and any(own):
+        found[int(np.argmax(own))] = True
+    return found
+
+
 _SECTIONS = {
     "header": "header div.header div#masthead div.top-bar div.site-head header.page-header div.branding".split(),
     "nav": "nav ul.menu div.navbar div#navigation div.breadcrumbs nav.main-nav div.tabs ul.nav-links div.menu".split(),
@@ -359,11 +370,15 @@ def dressed(rng: np.random.Generator, content: list[str], junk: list[str], other
 
 
 def examples(pages: list[str], layouts: int, seed: int) -> list[tuple[list[Block], np.ndarray]]:
-    """Blocks and labels of the pages as they are and in other layouts. Pages without known sections are left out."""
+    """Blocks and labels of the pages as they are and in other layouts.
+
+    Pages without known sections are left out; if all are, text length and link share give the labels.
+    """
     rng, found, out = np.random.default_rng(seed), [], []
-    for page in pages:
-        blocks = blocks_of(page)
-        labels = [weak_label(b) for b in blocks]
+    read = [(blocks, [weak_label(b) for b in blocks]) for blocks in map(blocks_of, pages)]
+    if not any(any(labels) for _, labels in read):
+        read = [(blocks, plain_labels(blocks)) for blocks, _ in read]
+    for blocks, labels in read:
         content = [b.text for b, y in zip(blocks, labels, strict=True) if y]
         junk = [b.text for b, y in zip(blocks, labels, strict=True) if not y]
         if content:
@@ -400,25 +415,34 @@ def fit(samples: list[tuple[list[Block], np.ndarray]], seed: int = 0, rounds: in
     return model
 
 
-def train(pages: DataFrame, html: str = "html", sample_pages: int = SAMPLE_PAGES, layouts: int = LAYOUTS, seed: int = 0) -> Labeller | None:
-    """Fit on at most ``sample_pages`` pages, those with the least hash; None if none has a known section.
+def sampled(pages: DataFrame, html: str, most: int, seed: int) -> list[str]:
+    """At most ``most`` distinct pages, those with the least hash.
 
-    The bound holds what comes to the driver: that many pages. A share of the hashes, three times what is
-    needed, is looked at, so that tasks send few pages however many of them there are.
+    A share of the hashes, three times what is needed, is looked at, so that tasks send few pages however
+    many of them there are. Copies of a page are one, here and in the share.
     """
     column = F.col(f"`{html}`")
     rows = pages.select(column.alias("html"), F.xxhash64(F.lit(seed), column).alias("h")).filter("html is not null")
-    share = min(1.0, 3 * sample_pages / max(1, rows.count()))
+    share = min(1.0, 3 * most / max(1, rows.agg(F.approx_count_distinct("h")).first()[0]))
     some = rows.filter(F.pmod("h", F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
-    got = [r.html for r in some.orderBy("h", "html").limit(sample_pages).collect()]
+    return [r.html for r in some.distinct().orderBy("h", "html").limit(most).collect()]
+
+
+def train(pages: DataFrame, html: str = "html", sample_pages: int = SAMPLE_PAGES, layouts: int = LAYOUTS, seed: int = 0) -> Labeller | None:
+    """Fit on at most ``sample_pages`` distinct pages; None if none of them has text.
+
+    The bound holds what comes to the driver: that many pages.
+    """
+    got = sampled(pages, html, sample_pages, seed)
     samples = examples(got, layouts, seed)
     return fit(samples, seed) if samples else None
 
 
 def label(model: Labeller | None, pages: list[list[Block]]) -> list[np.ndarray]:
-    """Which blocks of each page are main text. Without a model markup decides alone."""
+    """Which blocks of each page are main text. Without a model markup decides, or text where it is silent."""
     if model is None:
-        return [np.array([bool(weak_label(b)) for b in blocks], bool) for blocks in pages]
+        marked = [[bool(weak_label(b)) for b in blocks] for blocks in pages]
+        return [np.array(on if any(on) else plain_labels(blocks), bool) for on, blocks in zip(marked, pages, strict=True)]
     out: list[np.ndarray] = [np.empty(0, bool)] * len(pages)
     order = sorted((i for i, b in enumerate(pages) if b), key=lambda i: len(pages[i]))
     for start in range(0, len(order), 64):

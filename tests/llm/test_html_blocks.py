@@ -74,3 +74,30 @@ def test_odd_pages(spark, model):
     assert len(got) == len(rows) and {r.row.page_id: r.text for r in got}[1] == "" and all(r.row.text == "a" and r.text is not None for r in got)
     assert html_blocks.extract(pages.limit(0), model).count() == 0
     assert html_blocks.train(pages.limit(0)) is None and html_blocks.extract(pages, None).count() == len(rows)
+
+
+def plain_page(rng, i):
+    def words(n):
+        return " ".join(f"{'abcdefgh'[k % 8]}word{k}" for k in rng.integers(0, 3000, n))
+
+    links = "".join(f'<div><a href="/{j}">menu{j}</a></div>' for j in range(6))
+    return f'<html><body><div class="top">{links}</div><div class="x{i % 3}">' + "".join(f"<div>{words(30)}</div>" for _ in range(4)) + "</div></body></html>"
+
+
+def test_pages_of_plain_divs(spark):
+    rng = np.random.default_rng(1)
+    made = [plain_page(rng, i) for i in range(40)]
+    pages = spark.createDataFrame(list(enumerate(made)), "page_id long, html string")
+    model = html_blocks.train(pages)
+    for found in (html_blocks.extract(pages, model).collect(), html_blocks.extract(pages, None).collect()):
+        texts = [r.text for r in found]
+        assert sum(t.count("\n") == 3 and "menu" not in t for t in texts) >= 36 and all(texts)
+
+
+def test_sample_is_of_distinct_pages(spark):
+    rows = [(i, f"<p>page {i % 3 and i}</p>") for i in range(6000)]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    for seed in range(6):
+        got = html_blocks.sampled(pages, "html", 240, seed)
+        assert len(set(got)) == len(got) == 240
+    assert len(html_blocks.sampled(pages.limit(9), "html", 240, 0)) == 7
