@@ -24,14 +24,19 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join: the smallest ID of each group of similar documents stays.
+    """N-gram Jaccard join: one row of each group of similar documents stays, that of the smallest ID.
 
-    The IDs that go are written, so that Spark sends them to all tasks if they are few and shuffles both
-    sides otherwise.
+    Every row is a document of its own, also one without an ID (last in order) or with the ID of another.
+    Rows are numbered in a written copy, so that their numbers stay. The numbers that go are written too, so
+    that Spark sends them to all tasks if they are few and shuffles both sides otherwise.
     """
-    groups = ngram_join.similar_groups(docs)
-    gone = cut_lineage(groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct())
-    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    numbered = cut_lineage(docs.withColumn("__row", F.monotonically_increasing_id()))
+    groups = ngram_join.similar_groups(numbered, doc_id="__row").select(F.col("doc_id").alias("__row"), F.col("component_id").alias("group"))
+    placed = cut_lineage(groups.join(numbered.select("__row", "doc_id"), "__row"))
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row"))
+    first = placed.groupBy(F.col("group").alias("group_of")).agg(F.min_by("__row", order).alias("stays"))
+    gone = cut_lineage(placed.join(first, F.col("group") == F.col("group_of")).filter("__row <> stays").select(F.col("__row").alias("gone")))
+    return numbered.join(gone, F.col("__row") == F.col("gone"), "left_anti").drop("__row")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

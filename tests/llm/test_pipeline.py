@@ -30,3 +30,13 @@ def test_run_is_its_stages(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "similar", "repeats", "mixing", "pieces"]
     assert corpus_pipeline.run(spark, FOLDER).columns == ["doc_id", "source", "n_pieces", "piece_ids"]
     assert ngram_join.PERCENT == 80 and ngram_join.SHINGLE == 5
+
+
+def test_one_row_of_each_group_stays(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    near, other, third = text + " more", " ".join(f"x{i}" for i in range(60)), " ".join(f"y{i}" for i in range(60))
+    rows = [(None, text), (7, near), (9, text), (None, text), (3, other), (3, other), (None, third), (None, third), (4, None), (4, "alone")]
+    docs = spark.createDataFrame([(i, t, "en", "web", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_similar(spark, docs, FOLDER)
+    wanted = [(7, near), (3, other), (None, third), (4, None), (4, "alone")]
+    assert got.columns == docs.columns and sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(wanted, key=str)
