@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
+from itertools import groupby
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from boxframe.functions.text import digest_matches, is_digest
+from boxframe.operators.checkpoints import cut_lineage
 
 # Hexadecimal digits of the ID's hash that name its leaf in a list digest, and version of that rule.
 LEAF_DIGITS = 4
 DIGEST_RULE = "sha256-tree-1"
+# Texts of a sorted list that go on as one piece.
+PIECE = 64
 
 
 def canonical_json(value: Column) -> Column:
@@ -28,6 +37,56 @@ def _ordered_text(sort: Column, text: Column) -> Column:
     return F.array_join(F.transform(entries, lambda e: e["t"]), "")
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], shape: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Sorted texts, joined in pieces that are numbered within the task; a null text counts and adds nothing."""
+    part, piece = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        columns, out = [c.to_pylist() for c in batch.columns], []
+        for keys, rows in groupby(zip(*columns, strict=True), lambda x: x[:-1]):
+            texts = [x[-1] for x in rows]
+            for i in range(0, len(texts), PIECE):
+                some = texts[i : i + PIECE]
+                out.append((*keys, part, piece, len(some), "".join(t for t in some if t is not None)))
+                piece += 1
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), shape, strict=True)], schema=shape)
+
+
+def _running(batches: Iterator[pa.RecordBatch], shape: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Digests of pieces in order: no more than a batch and one running digest are held."""
+    now, n, digest = None, 0, hashlib.sha256()
+
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((*now, n, digest.hexdigest()), shape, strict=True)], schema=shape)
+
+    for batch in batches:
+        for *keys, _, _, count, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if keys != now:
+                if now is not None:
+                    yield out()
+                now, n, digest = keys, 0, hashlib.sha256()
+            n += count
+            digest.update(text.encode())
+    if now is not None:
+        yield out()
+
+
+def _streamed(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``(keys, n, digest)`` over ``_text`` in ``_sort`` order, for groups of any size.
+
+    Ranges are sorted and written in pieces by all tasks. A digest runs over the pieces of its group in
+    order, in one task, as a digest of a single text must; it holds one batch.
+    """
+    named = [rows.schema[k] for k in keys]
+    kinds = T.StructType([*named, *T._parse_datatype_string("_part int, _piece bigint, _n bigint, _joined string").fields])
+    last = T.StructType([*named, *T._parse_datatype_string("n bigint, digest string").fields])
+    piece_shape, last_shape = to_arrow_schema(kinds), to_arrow_schema(last)
+    ranged = rows.repartitionByRange(*keys, "_sort").sortWithinPartitions(*keys, "_sort").select(*keys, "_text")
+    pieces = cut_lineage(ranged.mapInArrow(lambda b: _pieces(b, piece_shape), kinds))
+    ordered = pieces.repartition(*keys).sortWithinPartitions(*keys, "_part", "_piece")
+    return ordered.mapInArrow(lambda b: _running(b, last_shape), last)
+
+
 def ordered_digest(
     rows: DataFrame,
     keys: Sequence[str],
@@ -43,7 +102,8 @@ def ordered_digest(
     second half of their digits, and the root joins the branches. Branches and root hash the names
     and hashes of their children in name order. No task holds more than a leaf, a branch or the root;
     raise ``leaf_digits`` for lists beyond some billions. The value depends on it, so a manifest
-    records it with :data:`DIGEST_RULE`.
+    records it with :data:`DIGEST_RULE`. With fewer digits than :data:`LEAF_DIGITS` leaves grow with
+    the list and are streamed in order instead of gathered.
     """
     if leaf_digits < 1:
         raise ValueError("a leaf needs at least one digit")
@@ -54,11 +114,13 @@ def ordered_digest(
     def joined(name: str, value: str) -> Column:
         return F.sha2(_ordered_text(F.col(name), F.concat(F.col(name), F.col(value))), 256)
 
-    leaves = (
-        rows.select(*keys, sort.alias("_sort"), text.alias("_text"), leaf.alias("_leaf"))
-        .groupBy(*keys, "_leaf")
-        .agg(F.sha2(_ordered_text(F.col("_sort"), F.col("_text")), 256).alias("_d"), F.count("*").alias("_c"))
-    )
+    placed = rows.select(*keys, sort.alias("_sort"), text.alias("_text"), leaf.alias("_leaf"))
+    if leaf_digits < LEAF_DIGITS:
+        leaves = _streamed(placed, [*keys, "_leaf"]).withColumnsRenamed({"digest": "_d", "n": "_c"})
+    else:
+        leaves = placed.groupBy(*keys, "_leaf").agg(
+            F.sha2(_ordered_text(F.col("_sort"), F.col("_text")), 256).alias("_d"), F.count("*").alias("_c")
+        )
     branches = leaves.groupBy(*keys, branch.alias("_branch")).agg(
         joined("_leaf", "_d").alias("_b"), F.sum("_c").alias("_c")
     )
@@ -71,21 +133,19 @@ def split_hash(members: DataFrame, leaf_digits: int = LEAF_DIGITS) -> DataFrame:
     return ordered_digest(members, ["split"], name, F.concat(name, F.lit("\n")), name, leaf_digits)
 
 
-def file_digest(members: DataFrame, most: int = 1 << 20) -> DataFrame:
+def file_digest(members: DataFrame, most: int | None = None) -> DataFrame:
     """``(split, n, digest)`` where the digest is that of the sorted list written as one file.
 
-    A file's digest needs the whole list in one place. A split of more than ``most`` IDs is an error,
-    never another digest.
+    A file's digest is one sequence, so each split ends in one task, which streams its sorted parts. With
+    ``most``, a split of more IDs is an error, never another digest.
     """
     name = F.col("image_id").cast("string")
-    sizes = members.groupBy("split").agg(F.count("*").alias("n"))
-    text = F.concat(F.lit("a file digest is for at most "), F.lit(most), F.lit(" IDs, not "), F.col("n"))
-    checked = sizes.select(F.col("split").alias("_of"), F.when(F.col("n") <= most, F.col("n")).otherwise(F.raise_error(text)).alias("n"))
-    # The size is looked at before any ID is gathered.
-    lists = members.join(checked, F.col("split") == F.col("_of")).select("split", "n", name.alias("_i"))
-    return lists.groupBy("split", "n").agg(
-        F.sha2(_ordered_text(F.col("_i"), F.concat("_i", F.lit("\n"))), 256).alias("digest")
-    )
+    if most is not None:
+        sizes = members.groupBy("split").agg(F.count("*").alias("n"))
+        text = F.concat(F.lit("a file digest is for at most "), F.lit(most), F.lit(" IDs, not "), F.col("n"))
+        # The size is looked at before any ID is sorted.
+        sizes.select(F.when(F.col("n") > most, F.raise_error(text)).alias("ok")).collect()
+    return _streamed(members.select("split", name.alias("_sort"), F.concat(name, F.lit("\n")).alias("_text")), ["split"])
 
 
 def content_digest(items: DataFrame, leaf_digits: int = LEAF_DIGITS) -> DataFrame:

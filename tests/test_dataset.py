@@ -164,6 +164,27 @@ def test_file_digest(spark):
         fingerprint.file_digest(members, most=100).collect()
 
 
+def test_file_digest_of_many_ids(spark):
+    n = (1 << 20) + 1
+    ids = spark.range(n + 3).select(F.expr("if(id < 3, 'val', 'train')").alias("split"), F.format_string("i%08d", "id").alias("image_id"))
+    wanted = {
+        s: (len(r), hashlib.sha256("".join(f"i{i:08d}\n" for i in r).encode()).hexdigest())
+        for s, r in (("val", range(3)), ("train", range(3, n + 3)))
+    }
+    assert {r.split: (r.n, r.digest) for r in fingerprint.file_digest(ids).collect()} == wanted
+
+
+def test_few_leaves_are_streamed(spark, monkeypatch):
+    ids = spark.range(70_000).select(F.lit("train").alias("split"), F.col("id").cast("string").alias("image_id"))
+    # Only branches and the root are gathered, of names and hashes.
+    gathered = []
+    whole = fingerprint._ordered_text
+    monkeypatch.setattr(fingerprint, "_ordered_text", lambda sort, text: gathered.append(str(sort)) or whole(sort, text))
+    found = fingerprint.split_hash(ids, leaf_digits=1).head()
+    assert found.n == 70_000 and found.digest == tree_digest([str(i) for i in range(70_000)], 1)
+    assert len(gathered) == 2 and not any("_sort" in g for g in gathered)
+
+
 def test_fingerprint_is_canonical_json(spark):
     hashes = spark.createDataFrame([("train", "1"), ("val", "2"), ("test", "3")], "split string, digest string")
     value = {
