@@ -59,17 +59,18 @@ def _object_problem(o: Column) -> Column:
 
 
 def parse_voc(
-    documents: DataFrame, id_col: str = "image_id", xml_col: str = "xml", *keep: str
+    documents: DataFrame, id_col: str = "image_id", xml_col: str = "xml", *keep: str, max_bytes: int = MAX_XML_BYTES
 ) -> DataFrame:
     """Add ``filename, width, height, depth, objects, reject_reason`` to one document per row.
 
     A document is refused as a whole with the first problem found; its other columns are then null.
+    One of more than ``max_bytes`` is ``too_large``.
     ``objects`` is an array in document order, empty where the document names none.
     """
     xml = F.col(xml_col)
     upper = F.upper(xml)
     unsafe = upper.contains("<!DOCTYPE") | upper.contains("<!ENTITY")
-    too_big = F.octet_length(xml) > MAX_XML_BYTES
+    too_big = F.octet_length(xml) > max_bytes
     # The parser only sees documents that are small and free of declarations.
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     document = F.from_xml(F.when(~unsafe & ~too_big, xml), VOC_XML, options)
@@ -147,23 +148,23 @@ def voc_objects(annotations: DataFrame, id_col: str = "image_id") -> DataFrame:
     )
 
 
-def read_voc(spark: SparkSession, path: str) -> DataFrame:
-    """Parse every ``*.xml`` below a folder; oversized files are never read."""
+def read_voc(spark: SparkSession, path: str, max_bytes: int = MAX_XML_BYTES) -> DataFrame:
+    """Parse every ``*.xml`` below a folder; files of more than ``max_bytes`` are never read."""
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.xml")
         .option("recursiveFileLookup", "true")
         .load(path)
     )
-    small = files.filter(F.col("length") <= MAX_XML_BYTES).select(
+    small = files.filter(F.col("length") <= max_bytes).select(
         stem_of(F.col("path")).alias("image_id"),
         F.col("path").alias("xml_path"),
         F.col("content").cast("string").alias("xml"),
     )
-    large = files.filter(F.col("length") > MAX_XML_BYTES).select(
+    large = files.filter(F.col("length") > max_bytes).select(
         stem_of(F.col("path")).alias("image_id"), F.col("path").alias("xml_path")
     )
-    parsed = parse_voc(small, "image_id", "xml", "xml_path")
+    parsed = parse_voc(small, "image_id", "xml", "xml_path", max_bytes=max_bytes)
     refused = large.withColumns(
         {f.name: F.lit(None).cast(f.dataType) for f in parsed.schema[2:-1]}
     ).withColumn("reject_reason", F.lit("too_large"))

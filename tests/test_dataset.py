@@ -164,6 +164,22 @@ def test_file_digest(spark):
         fingerprint.file_digest(members, most=100).collect()
 
 
+def test_annotation_size_limit(spark, tmp_path):
+    text = document("a", 10, ("x", 1, 1, 5, 5, 0, 0))
+    (tmp_path / "a.xml").write_text(text)
+    one = spark.createDataFrame([("a", text)], "image_id string, xml string")
+    for limit, reason, n in ((len(text), None, 1), (len(text) - 1, "too_large", None)):
+        for found in (voc.parse_voc(one, max_bytes=limit), voc.read_voc(spark, str(tmp_path), max_bytes=limit)):
+            row = found.head()
+            assert row.reject_reason == reason and (row.objects and len(row.objects)) == n
+    # The default is the reference's: just below and just above it.
+    for extra, reason in ((0, None), (1, "too_large")):
+        padded = text + " " * (10 * 1024 * 1024 - len(text) + extra)
+        (tmp_path / "a.xml").write_text(padded)
+        one = spark.createDataFrame([("a", padded)], "image_id string, xml string")
+        assert {x.head().reject_reason for x in (voc.parse_voc(one), voc.read_voc(spark, str(tmp_path)))} == {reason}
+
+
 def test_file_digest_of_many_ids(spark):
     n = (1 << 20) + 1
     ids = spark.range(n + 3).select(F.expr("if(id < 3, 'val', 'train')").alias("split"), F.format_string("i%08d", "id").alias("image_id"))
