@@ -21,6 +21,7 @@ from boxframe.llm import (
     substring,
     text_sql,
     token_files,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +126,9 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     found = html_blocks.extract(pages, html_blocks.train(pages), carry=["page_id", "url"])
     return found.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op11_embedding_whitening")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(table(spark, folder, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
