@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from boxframe.llm import (
     ann,
+    conversations,
+    conversations_sql,
     html_blocks,
     langid,
     mixing,
@@ -132,3 +134,15 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     found = whitening.whiten(table(spark, folder, "embeddings"))
     return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@query("op12_conversation_repair", conversations_sql.ORACLE)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "conversations")
+    repaired = conversations.repair(given, conversations.damaged(given))
+    digests = conversations.digests(repaired)
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    empty = F.sha2(F.lit("").cast("binary"), 256)
+    return repaired.summary.join(digests, "conv", "left").select(
+        "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", empty).alias("repaired_sha256")
+    )
