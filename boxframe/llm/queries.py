@@ -15,6 +15,8 @@ from boxframe.llm import (
     html_blocks,
     langid,
     mixing,
+    neardup,
+    neardup_sql,
     ngram_join,
     pieces,
     quality,
@@ -146,3 +148,8 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
     return repaired.summary.join(digests, "conv", "left").select(
         "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", empty).alias("repaired_sha256")
     )
+
+
+@query("op13_embedding_neardup", neardup_sql.ORACLE)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_groups(table(spark, folder, "embeddings"))
