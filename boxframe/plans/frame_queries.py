@@ -11,6 +11,7 @@ from boxframe.operators import frames, runs, scoring
 from boxframe.plans.fixtures import Inputs
 from boxframe.plans.registry import query
 from boxframe.streaming import frames as streams
+from boxframe.streaming import state
 
 
 def _round(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
@@ -315,17 +316,11 @@ def score_frames(inputs: Inputs) -> DataFrame:
     )
 
 
-def _event_stream(inputs: Inputs, parts: int = 4, after: str | None = None) -> DataFrame:
-    """The events as a stream of files in time order, one file a batch.
-
-    ``after`` adds a last file that moves the time on by so much, for windows still open.
-    """
+def _event_stream(inputs: Inputs, parts: int = 4) -> DataFrame:
+    """The events as a stream of files in time order, one file a batch."""
     folder = f"{streams.work_folder(inputs.spark)}/events"
     events = inputs.table("events")
-    low, high = events.agg(F.min("ts"), F.max("ts")).first()
-    streams.write_in_order(events, "ts", low, high, parts, folder)
-    if after is not None and high is not None:
-        streams.end_marker(inputs.spark, events.schema, high, after).write.mode("append").parquet(folder)
+    streams.write_in_order(events, "ts", parts, folder)
     reader = inputs.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
     return reader.parquet(folder)
 
@@ -374,8 +369,8 @@ FROM (SELECT *, CASE WHEN event_type = 'error' THEN 0 ELSE event_id % 4 END AS d
 GROUP BY 1""",
 )
 def stream_video_summary(inputs: Inputs) -> DataFrame:
-    totals = streams.run_totals(streams.stream_video_summary(_frame_stream(inputs)))
-    return _round(totals, "inference_ms_sum")
+    totals = streams.run_totals(state.stream_totals(_frame_stream(inputs), shares=2), ["video_name", "share"])
+    return _round(state.merged_totals(totals), "inference_ms_sum")
 
 
 _GAP, _DELAY = "6 hours", "10 minutes"
@@ -397,7 +392,7 @@ SELECT user_id AS video_name, strftime(a, '%Y-%m-%dT%H:%M:%SZ') AS started_at, f
 FROM s""",
 )
 def stream_completion(inputs: Inputs) -> DataFrame:
-    marks = _event_stream(inputs, after="7 hours").select(
+    marks = _event_stream(inputs).select(
         F.col("user_id").alias("video_name"),
         F.col("ts").cast("timestamp").alias("ts"),
         (F.col("event_type") == "purchase").alias("is_end"),
@@ -405,7 +400,7 @@ def stream_completion(inputs: Inputs) -> DataFrame:
             F.col("event_type") == "error", F.concat(F.lit("error at "), F.col("event_id"))
         ).alias("error"),
     )
-    rows = streams.run_append(streams.stream_completion(marks, _GAP, _DELAY)).filter("video_name is not null")
+    rows = streams.run_runs(marks, _GAP, _DELAY)
     return rows.select(
         "video_name", tx.utc_seconds(F.col("started_at")).alias("started_at"), "frames", "status", "error"
     )
@@ -429,4 +424,4 @@ FROM events GROUP BY 1""",
 )
 def stream_repeats(inputs: Inputs) -> DataFrame:
     results = _event_stream(inputs).select(F.col("user_id").alias("image_id"))
-    return streams.run_totals(streams.stream_repeats(results))
+    return streams.run_totals(streams.stream_repeats(results), ["image_id"])

@@ -3,17 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.streaming import StreamingQuery
 
 from boxframe.operators.checkpoints import checkpoint_folder
 from boxframe.operators.frames import frame_rows, select_frames
-
-# Fixed value: the error text of an interrupted run.
-INTERRUPTED = "Interrupted by user"
+from boxframe.streaming.state import describe_runs, open_runs, stream_runs
 
 
 def stream_frame_metrics(
@@ -26,54 +24,11 @@ def stream_frame_metrics(
     return frame_rows(select_frames(frames, stride, start_seconds, end_seconds))
 
 
-def stream_video_summary(frames: DataFrame, accuracy: int = 10000) -> DataFrame:
-    """Running totals per video. The percentile is approximate, which bounds the state."""
-    return frames.groupBy("video_name").agg(
-        F.count("*").alias("frames_processed"),
-        F.count_if(F.col("detections") > 0).alias("frames_with_detections"),
-        F.sum("detections").alias("total_detections"),
-        F.sum("inference_ms").alias("inference_ms_sum"),
-        F.max("inference_ms").alias("inference_ms_max"),
-        F.percentile_approx("inference_ms", 0.95, accuracy).alias("p95_inference_ms"),
-    )
-
-
 def stream_completion(
-    frames: DataFrame, gap: str = "30 minutes", delay: str = "10 minutes"
+    frames: DataFrame, gap: str = "30 minutes", delay: str = "10 minutes", idle: str | None = None
 ) -> DataFrame:
-    """Close a video run after ``gap`` without frames and say how it ended.
-
-    Input ``(video_name, ts, is_end, error)``. A run with an error is ``failed``, one with an end
-    marker ``complete``, any other ``incomplete``. Rows that came before the end are kept in the
-    counts either way. Append mode: a run appears once the watermark has passed its gap.
-    """
-    session = F.session_window("ts", gap)
-    closed = (
-        frames.withWatermark("ts", delay)
-        .groupBy("video_name", session)
-        .agg(
-            F.count("*").alias("frames"),
-            F.bool_or("is_end").alias("ended"),
-            # The first error decides, as the run stops there.
-            F.min(F.when(F.col("error").isNotNull(), F.struct("ts", "error"))).alias("first_error"),
-        )
-    )
-    status = (
-        F.when(F.col("first_error").isNotNull(), "failed")
-        .when(F.col("ended"), "complete")
-        .otherwise("incomplete")
-    )
-    error = F.when(status == "failed", F.col("first_error.error")).when(
-        status == "incomplete", INTERRUPTED
-    )
-    return closed.select(
-        "video_name",
-        F.col("session_window.start").alias("started_at"),
-        F.col("session_window.end").alias("closed_at"),
-        "frames",
-        status.alias("status"),
-        error.alias("error"),
-    )
+    """Close a video run after ``gap`` without frames and say how it ended; see :func:`stream_runs`."""
+    return describe_runs(stream_runs(frames, gap, delay, idle), gap)
 
 
 def stream_dedup(results: DataFrame, key: str = "image_id", delay: str = "1 hour") -> DataFrame:
@@ -87,33 +42,20 @@ def stream_repeats(results: DataFrame, key: str = "image_id") -> DataFrame:
     return counted.withColumn("problem", F.when(F.col("n_results") > 1, "duplicate"))
 
 
-def end_marker(spark: SparkSession, schema: StructType, last: datetime, after: str) -> DataFrame:
-    """One row of ``schema``, null but for ``ts``, which lies ``after`` behind ``last``.
+def write_in_order(rows: DataFrame, ts: str, parts: int, folder: str) -> None:
+    """Write rows once as ``parts`` files, each a stretch of time, rows without a time first.
 
-    Written behind a finished input, it moves the watermark past every open session, so that they all
-    come out. Drop the session of the null name afterwards.
+    A file source takes files in the order of their times of writing, so those are set to follow the stretches. The
+    store has to keep them, as HDFS and mounted folders do.
     """
-    nulls = spark.createDataFrame([(None,) * len(schema)], StructType([StructField(f.name, f.dataType) for f in schema]))
-    moved = F.lit(str(last)).cast(schema["ts"].dataType) + F.expr(f"interval {after}")
-    return nulls.withColumn("ts", moved)
-
-
-def write_in_order(
-    rows: DataFrame, ts: str, low: datetime | None, high: datetime | None, parts: int, folder: str
-) -> None:
-    """Write rows as files whose times of writing follow their event times, ``parts`` stretches of equal length.
-
-    A file source takes files in the order in which they were written.
-    """
-    if low is None or high is None:
-        rows.write.mode("append").parquet(folder)
-        return
-    cuts = [low + (high - low) * i / parts for i in range(parts)]
-    for i, start in enumerate(cuts):
-        stretch = rows.filter(F.col(ts) >= F.lit(str(start)).cast(rows.schema[ts].dataType))
-        if i + 1 < parts:
-            stretch = stretch.filter(F.col(ts) < F.lit(str(cuts[i + 1])).cast(rows.schema[ts].dataType))
-        stretch.write.mode("append").parquet(folder)
+    spark = rows.sparkSession
+    rows.repartitionByRange(parts, F.asc_nulls_first(ts)).write.mode("append").parquet(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = sorted((f for f in fs.listStatus(path) if f.getPath().getName().startswith("part-")), key=lambda f: f.getPath().getName())
+    first = min((f.getModificationTime() for f in files), default=0)
+    for i, file in enumerate(files):
+        fs.setTimes(file.getPath(), first + 1000 * i, -1)
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -121,47 +63,58 @@ def work_folder(spark: SparkSession) -> str:
     return f"{checkpoint_folder(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 
-_LOCAL_SESSIONS = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+#: Work through what is there, then stop. A live stream takes ``{"processingTime": "10 seconds"}``.
+ONCE = {"availableNow": True}
+
+
+def start_rows(stream: DataFrame, target: str, checkpoint: str, trigger: dict = ONCE) -> StreamingQuery:
+    """Append a stream to Parquet files; they are visible after every batch, so the trigger is the flush interval."""
+    writer = stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
+    return writer.outputMode("append").trigger(**trigger).start()
 
 
 def write_rows(stream: DataFrame, target: str, checkpoint: str) -> None:
-    """Append a stream to Parquet files until its present input is used up.
+    """Append a stream to Parquet files until its present input is used up."""
+    start_rows(stream, target, checkpoint).awaitTermination()
+
 
-    Session windows are merged before the shuffle, so a video with very many frames sends its
-    sessions and not its rows. A query takes the setting over when it starts.
+def start_totals(stream: DataFrame, target: str, checkpoint: str, trigger: dict = ONCE) -> StreamingQuery:
+    """Write the totals that a batch has changed, with the batch's number: as many rows as keys it touched.
+
+    A repeated batch replaces its own folder. Readers take each key's latest row (:func:`latest_totals`).
     """
-    conf = stream.sparkSession.conf
-    before = conf.get(_LOCAL_SESSIONS)
-    conf.set(_LOCAL_SESSIONS, "true")
-    try:
-        query = (
-            stream.writeStream.format("parquet")
-            .option("path", target)
-            .option("checkpointLocation", checkpoint)
-            .outputMode("append")
-            .trigger(availableNow=True)
-            .start()
-        )
-    finally:
-        conf.set(_LOCAL_SESSIONS, before)
-    query.awaitTermination()
-
-
-def write_totals(stream: DataFrame, target: str, checkpoint: str) -> None:
-    """Write the current totals of an aggregated stream after every batch, one folder per batch."""
 
     def save(batch: DataFrame, number: int) -> None:
-        # Same batch, same folder: a repeated batch replaces its own output.
-        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        batch.withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(f"{target}/batch-{number}")
+
+    writer = stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+    return writer.outputMode("update").trigger(**trigger).start()
+
+
+def latest_totals(spark: SparkSession, target: str, keys: Sequence[str]) -> DataFrame:
+    """The latest row of each key."""
+    rows = spark.read.parquet(f"{target}/*")
+    rest = [c for c in rows.columns if c not in (*keys, "_batch")]
+    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_batch").alias("_row"))
+    return latest.select(*keys, "_row.*")
+
+
+def compact_totals(spark: SparkSession, target: str, keys: Sequence[str], buckets: int = 8) -> None:
+    """Fold the batches written so far into one folder of at most ``buckets`` files and remove them.
 
-    query = (
-        stream.writeStream.foreachBatch(save)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("complete")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    The latest row of a key decides wherever it lies, so readers see the same before, meanwhile and after, also if this
+    stops half way. Run it between batches, or while the stream goes on: later batches are left alone.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = [f.getPath().toString() for f in fs.listStatus(path) if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))]
+    if len(done) < 2:
+        return
+    rows = spark.read.parquet(*done)
+    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in rows.columns if c not in keys]), "_batch").alias("_row"))
+    latest.select(*keys, "_row.*").repartition(buckets, *keys).write.parquet(f"{target}/folded-{uuid.uuid4().hex}")
+    for folder in done:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(folder), True)
 
 
 def run_append(stream: DataFrame) -> DataFrame:
@@ -172,11 +125,20 @@ def run_append(stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
 
 
-def run_totals(stream: DataFrame) -> DataFrame:
-    """Run a complete-mode stream over its present input and read the last totals back."""
+def run_totals(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Run an update stream over its present input and read the latest totals back."""
     spark = stream.sparkSession
     folder = work_folder(spark)
-    write_totals(stream, f"{folder}/totals", f"{folder}/state")
-    batches = spark.read.parquet(f"{folder}/totals")
-    last = batches.agg(F.max("batch")).scalar()
-    return batches.filter(F.col("batch") == last).drop("batch")
+    start_totals(stream, f"{folder}/totals", f"{folder}/state").awaitTermination()
+    return latest_totals(spark, f"{folder}/totals", keys)
+
+
+def run_runs(frames: DataFrame, gap: str, delay: str) -> DataFrame:
+    """All runs of a finished input: those that the stream has closed, and those still open in its state."""
+    spark = frames.sparkSession
+    folder = work_folder(spark)
+    stream = stream_runs(frames, gap, delay)
+    write_rows(stream, f"{folder}/rows", f"{folder}/state")
+    kind = stream.schema["video_name"].dataType.simpleString()
+    closed = spark.read.schema(stream.schema).parquet(f"{folder}/rows")
+    return describe_runs(closed.unionByName(open_runs(spark, f"{folder}/state", kind)), gap)

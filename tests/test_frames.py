@@ -16,6 +16,7 @@ from boxframe.schemas import DETECTION_COLUMNS, FRAME_COLUMNS, FRAME_PREDICTION
 from boxframe.sinks import files as sinks
 from boxframe.sources import manifests, predictions
 from boxframe.streaming import frames as streams
+from boxframe.streaming import state
 
 
 def one(spark, column):
@@ -259,7 +260,7 @@ def frame_files(spark, folder):
 def test_stream_completion(spark, tmp_path):
     done = streams.run_append(streams.stream_completion(frame_files(spark, tmp_path), "10 minutes", "1 minute"))
     assert {r.video_name: (r.frames, r.status, r.error) for r in done.collect()} == {
-        "a": (2, "complete", None), "b": (2, "failed", "ValueError: x"), "c": (1, "incomplete", streams.INTERRUPTED),
+        "a": (2, "complete", None), "b": (2, "failed", "ValueError: x"), "c": (1, "incomplete", state.INTERRUPTED),
     }
 
 
