@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from boxframe.operators.checkpoints import checkpoint_folder
 from boxframe.plans.fixtures import Inputs
 from boxframe.plans.registry import query
+from boxframe.sinks import file_sink
 from boxframe.sources import images, labels, listing, manifests, predictions, voc
 
 # How document kind 0 to 11 departs from a plain annotation with one object.
@@ -87,6 +91,30 @@ def image_meta(inputs: Inputs) -> DataFrame:
     return images.image_meta(files, "image_id")
 
 
+# One file a part: an empty one, broken and plain lines, windows line ends.
+_PART_TEXT = """CASE p_partkey % 5 WHEN 0 THEN '' WHEN 1 THEN '0 abc 0.5 0.1 0.1' || chr(10)
+  WHEN 2 THEN '0 0.5 0.5 0.25 0.125' || chr(13) || chr(10) || '1 0.5 0.5 0.1 0.1'
+  WHEN 3 THEN chr(10) || '0 0.5 1.5 0.1 0.1' ELSE '0 0.5 0.5 0.0 0.' || CAST(p_partkey AS STRING) END"""
+
+
+@query(
+    "label_files",
+    """SELECT CAST(p_partkey AS STRING) AS image_id, CASE p_partkey % 5 WHEN 0 THEN 0 WHEN 2 THEN 2 ELSE 1 END AS n_lines,
+  CASE p_partkey % 5 WHEN 1 THEN 'not_numeric' WHEN 2 THEN 'class_not_zero' WHEN 3 THEN 'center_outside,box_outside_image'
+    WHEN 4 THEN 'size_outside' END AS rules FROM part""",
+)
+def label_files(inputs: Inputs) -> DataFrame:
+    """Label texts written as files by all tasks, then read, cut and checked; an empty file keeps its row."""
+    folder = f"{checkpoint_folder(inputs.spark).rstrip('/')}/labels-{uuid.uuid4().hex}"
+    texts = inputs.table("part").select(F.concat(F.col("p_partkey").cast("string"), F.lit(".txt")).alias("name"), F.expr(_PART_TEXT).alias("text"))
+    file_sink.write_named_texts(texts, folder)
+    files = labels.read_label_files(inputs.spark, folder, partitionbytes=16 << 20)
+    lines = labels.label_lines(files)
+    counts = lines.groupBy("image_id").agg(F.count("*").cast("int").alias("n_lines"))
+    rules = labels.label_issues(lines).groupBy("image_id").agg(F.array_join(F.sort_array(F.collect_set("rule"), False), ",").alias("rules"))
+    return files.select("image_id").join(counts, "image_id", "left").join(rules, "image_id", "left").select("image_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), "rules")
+
+
 _STEM = """lower(regexp_replace(regexp_extract(path, '([^/]*)$', 1), '\\.[^.]+$', ''))"""
 _IS_IMAGE = "lower(path) SIMILAR TO '.*\\.(jpg|jpeg|png|bmp|tif|tiff|ppm)'"
 

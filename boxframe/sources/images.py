@@ -56,7 +56,7 @@ def header_size(data: bytes) -> tuple[int, int] | None:
         return _jpeg_size(data)
     if data[:4] in (b"II*\x00", b"MM\x00*"):
         return _tiff_size(data)
-    match = _NETPBM.match(data)
+    match = _NETPBM.match(data[:4096])
     return (int(match[2]), int(match[3])) if match else None
 
 

@@ -8,20 +8,18 @@ from pyspark.sql import functions as F
 from boxframe.functions.boxes import LABEL_SLACK, all_finite, box_problem, center_to_corners
 from boxframe.functions.text import stem_of, strip
 from boxframe.operators.ranking import HOT_ROWS, grouped_row_number
+from boxframe.sources.file_source import read_text_files
 
 _FIELDS = ("x_center", "y_center", "box_width", "box_height")
 
 
-def read_label_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(label_path, image_id, text)``, one row per ``*.txt`` file in a folder (or a glob of them).
+def read_label_files(spark: SparkSession, path: str, **options: object) -> DataFrame:
+    """``(label_path, image_id, text)``, one row per ``*.txt`` file in a folder.
 
-    An empty file says that its image has no objects, so it must keep its row. The DataFrame file
-    sources drop files of length zero while listing; ``wholeTextFiles`` is the reader that does not.
+    An empty file says that its image has no objects, so it keeps its row, unlike with Spark's own file sources.
     """
-    files = spark.sparkContext.wholeTextFiles(f"{path.rstrip('/')}/*.txt")
-    return spark.createDataFrame(files, "label_path string, text string").select(
-        "label_path", stem_of(F.col("label_path")).alias("image_id"), "text"
-    )
+    files = read_text_files(spark, path, ".txt", "path string, text string", recursive="false", **options)
+    return files.select(F.col("path").alias("label_path"), stem_of(F.col("path")).alias("image_id"), "text")
 
 
 def label_lines(files: DataFrame, text_col: str = "text") -> DataFrame:
