@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from boxframe.functions.boxes import clip_to_pixels, is_finite, ratio
 from boxframe.functions.text import fixed6, fourcc
+from boxframe.operators.checkpoints import cut_lineage
 from boxframe.operators.quantiles import exact_quantiles
 from boxframe.operators.ranking import HOT_ROWS, grouped_running_sums
 from boxframe.schemas import DETECTION_COLUMNS
@@ -130,8 +131,7 @@ def latency_summary(
         )
     rows = samples.select(*by, *clean).withColumn("total", stage_sum(*STAGES))
     keys = list(by) or ["_all"]
-    if not by:
-        rows = rows.withColumn("_all", F.lit(0))
+    rows = cut_lineage(rows if by else rows.withColumn("_all", F.lit(0)))
     means = rows.groupBy(*keys).agg(
         *[F.avg(s).alias(f"mean_{s}") for s in STAGES],
         F.avg("total").alias("mean_end_to_end_ms"),
@@ -142,6 +142,7 @@ def latency_summary(
         {"median_end_to_end_ms": 0.5, "p95_end_to_end_ms": 0.95},
         keys,
         hot_rows,
+        written=True,
     )
     result = means.join(spread, keys).withColumn(
         "fps", ratio(F.lit(1000.0), F.col("mean_end_to_end_ms"))
@@ -165,6 +166,8 @@ def video_summary(
     ``videos`` is ``(video_name, fps, elapsed_seconds, status)``; a video without frames keeps its
     row. Frames and detections are each aggregated before they meet.
     """
+    frames = cut_lineage(frames.select("video_name", "detections", "inference_ms"))
+    detections = cut_lineage(detections.select("video_name", "confidence"))
     by_frame = frames.groupBy("video_name").agg(
         F.count("*").alias("frames_processed"),
         F.count_if(F.col("detections") > 0).alias("frames_with_detections"),
@@ -176,10 +179,10 @@ def video_summary(
         F.avg("confidence").alias("confidence_mean"),
     )
     inference = exact_quantiles(
-        frames, F.col("inference_ms"), {"p95_inference_ms": 0.95}, ["video_name"], hot_rows
+        frames, F.col("inference_ms"), {"p95_inference_ms": 0.95}, ["video_name"], hot_rows, written=True
     )
     confidence = exact_quantiles(
-        detections, F.col("confidence"), {"confidence_median": 0.5}, ["video_name"], hot_rows
+        detections, F.col("confidence"), {"confidence_median": 0.5}, ["video_name"], hot_rows, written=True
     )
     joined = videos
     for part in (by_frame, by_detection, inference, confidence):

@@ -367,8 +367,7 @@ _MEASURES = ("area", "box_width", "box_height")
 _STATS = ("minimum", "maximum", "mean", "median", "p95")
 
 
-@query(
-    "distribution",
+_DISTRIBUTION = (
     _NORM
     + " UNION ALL ".join(
         f"""SELECT '{m}' AS measure, count(v) AS n, round(min(v), 6) AS minimum,
@@ -380,13 +379,23 @@ FROM (SELECT {e} AS v FROM norm WHERE reject_reason IS NULL)"""
             ("box_width", "box_width"),
             ("box_height", "box_height"),
         )
-    ),
+    )
 )
+
+
+@query("distribution", _DISTRIBUTION)
 def distribution(inputs: Inputs) -> DataFrame:
     rows = accepted(inputs).withColumn("area", F.col("box_width") * F.col("box_height"))
     return _round(quantiles.distribution(rows, list(_MEASURES)), *_STATS, digits=6)
 
 
+@query("distribution_bracketed", _DISTRIBUTION)
+def distribution_bracketed(inputs: Inputs) -> DataFrame:
+    """The same figures with every measure's group taken as a large one."""
+    rows = accepted(inputs).withColumn("area", F.col("box_width") * F.col("box_height"))
+    return _round(quantiles.distribution(rows, list(_MEASURES), hot_rows=100), *_STATS, digits=6)
+
+
 @query(
     "distribution_by_split",
     """SELECT split, 'image_width' AS measure, count(*) AS n, min(width)::DOUBLE AS minimum,
