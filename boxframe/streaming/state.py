@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -33,6 +33,13 @@ def use_state_store(spark: SparkSession) -> None:
     spark.conf.set(_PROVIDER, PROVIDER)
 
 
+def _and_more(spent: float | None, top: float | None, ms: list[float]) -> tuple[float, float]:
+    return (spent or 0.0) + sum(ms), max(ms) if top is None else max(top, *ms)
+
+
+_TOTALS_ROW = Row("video_name", "share", *[c.split()[0] for c in TOTALS.split(", ")], "sketch")
+
+
 class _Totals(StatefulProcessor):
     def __init__(self, width: int):
         self.width = width
@@ -40,23 +47,29 @@ class _Totals(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.totals = handle.getValueState("totals", f"{TOTALS}, sketch binary")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if self.totals.exists():
-            frames, hits, found, spent, top, data = self.totals.get()
-            sketch = RankSketch.from_bytes(bytes(data))
-        else:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        known = self.totals.get()
+        if known is None:
             frames, hits, found, spent, top, sketch = 0, 0, 0, None, None, RankSketch(self.width)
-        for part in rows:
-            ms = part["inference_ms"].dropna().to_numpy(float)
-            counts = part["detections"].fillna(0)
-            frames, hits, found = frames + len(part), hits + int((counts > 0).sum()), found + int(counts.sum())
-            if len(ms):
-                spent, top = (spent or 0.0) + float(ms.sum()), float(ms.max() if top is None else max(top, ms.max()))
+        else:
+            frames, hits, found, spent, top, data = known
+            sketch = RankSketch.from_bytes(bytes(data))
+        ms = []
+        for row in rows:
+            count = row["detections"] or 0
+            frames, hits, found = frames + 1, hits + (count > 0), found + count
+            if row["inference_ms"] is not None:
+                ms.append(row["inference_ms"])
+            if len(ms) >= self.width:
+                spent, top = _and_more(spent, top, ms)
                 sketch.add(ms)
-        data = sketch.to_bytes()
-        self.totals.update((frames, hits, found, spent, top, data))
-        columns = ["video_name", "share", *[c.split()[0] for c in TOTALS.split(", ")], "sketch"]
-        yield pd.DataFrame([[*key, frames, hits, found, spent, top, data]], columns=columns)
+                ms = []
+        if ms:
+            spent, top = _and_more(spent, top, ms)
+            sketch.add(ms)
+        now = (frames, hits, found, spent, top, sketch.to_bytes())
+        self.totals.update(now)
+        yield _TOTALS_ROW(*key, *now)
 
     def close(self) -> None:
         pass
@@ -73,7 +86,7 @@ def stream_totals(frames: DataFrame, shares: int = 1, width: int = 2048) -> Data
     share = F.pmod(F.coalesce("frame_index", F.lit(0)), F.lit(shares)).cast("int")
     slim = frames.select("video_name", share.alias("share"), "detections", "inference_ms")
     kind = slim.schema["video_name"].dataType.simpleString()
-    return slim.groupBy("video_name", "share").transformWithStateInPandas(
+    return slim.groupBy("video_name", "share").transformWithState(
         statefulProcessor=_Totals(width),
         outputStructType=f"video_name {kind}, share int, {TOTALS}, sketch binary",
         outputMode="Update",
