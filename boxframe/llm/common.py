@@ -51,15 +51,27 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.folder = f"{checkpoint_folder(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
 
     def table(self, df: DataFrame, name: str = "table") -> DataFrame:
         """``df`` as a table. Unlike a cached frame it survives lost executors and has a known size."""
         path = f"{self.folder}/{name}-{uuid.uuid4().hex}"
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (out, path)
+        return out
+
+    def done(self, *tables: DataFrame) -> None:
+        """Drop tables of this scratch whose last reader has been written."""
+        for table in tables:
+            self._delete(self.paths.pop(id(table))[1])
 
     def drop(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        self.paths.clear()
+        self._delete(self.folder)
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

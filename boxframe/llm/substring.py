@@ -107,7 +107,8 @@ def repeated_windows(docs: DataFrame, window: int, seed: int) -> DataFrame:
     scratch = Scratch(docs.sparkSession)
     # What is counted by seed is written before it is joined on it: then Spark can split the rows of a hot
     # seed over several tasks, which it can't below an aggregate of the same stage.
-    per_doc = docs.select("id", "text").mapInArrow(lambda b: _seeds(b, window, seed), "id bigint, seed bigint")
+    # Seeds and blocks, both made from whole texts, are written once and read by all that needs them.
+    per_doc = scratch.table(docs.select("id", "text").mapInArrow(lambda b: _seeds(b, window, seed), "id bigint, seed bigint"), "keys")
     first = scratch.table(
         per_doc.groupBy("seed")
         .agg(F.min("id").alias("leader"), F.max("id").alias("last"))
@@ -123,7 +124,8 @@ def repeated_windows(docs: DataFrame, window: int, seed: int) -> DataFrame:
     )
     held = docs.join(shared, F.col("id") == F.col("id_of")).select("id", "key", "text", F.expr("transform(shared, s -> struct(s.seed, s.leads))").alias("shared"))
     shape = "id bigint, key bigint, seed bigint, first int, leads boolean, windows array<bigint>"
-    occurrences = held.mapInArrow(lambda b: _blocks(b, window, seed), shape)
+    occurrences = scratch.table(held.mapInArrow(lambda b: _blocks(b, window, seed), shape), "occurrences")
+    scratch.done(per_doc, first)
     lead = scratch.table(
         occurrences.filter("leads").groupBy(F.col("seed").alias("lead_seed")).agg(F.min(F.struct("id", "key", "first", "windows")).alias("lead")), "first-blocks"
     )
@@ -141,6 +143,7 @@ def repeated_windows(docs: DataFrame, window: int, seed: int) -> DataFrame:
         ),
         "parsed",
     )
+    scratch.done(occurrences, lead)
     rest = parsed.select("id", "key", "seed", "first", F.explode("rest").alias("x")).select("id", "key", "seed", "first", "x.w", "x.i")
     other = scratch.table(
         rest.groupBy(F.col("seed").alias("seed_of"), F.col("w").alias("w_of")).agg(F.min("id").alias("least"), F.max("id").alias("last")).filter("least < last"), "boundaries"
