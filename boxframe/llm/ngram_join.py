@@ -147,12 +147,14 @@ class SimilarityJoin:
             self.docs.mapInArrow(lambda b: _facts(b, shingle, cells), "id bigint, n bigint, sig bigint, blob binary"), "facts"
         )
         held = facts.filter("n > 0")
-        classes = held.groupBy(F.col("sig").alias("sig_of"), F.col("n").alias("n_of")).agg(F.min("id").alias("rep"), F.count("*").alias("weight"))
+        # What is counted by a key is written before it is joined on it, so that Spark can split a hot key.
+        classes = self.scratch.table(held.groupBy(F.col("sig").alias("sig_of"), F.col("n").alias("n_of")).agg(F.min("id").alias("rep"), F.count("*").alias("weight")), "classes")
         #: Every document: ``id``, ``n``, ``rep`` (null for an empty set), ``weight``.
         self.members = self.scratch.table(
             facts.filter("n >= 0").join(classes, (F.col("sig") == F.col("sig_of")) & (F.col("n") == F.col("n_of")), "left").select("id", "n", "rep", "weight"),
             "members",
         )
+        self.scratch.done(classes)
         self.profiles = held.select(F.col("id").alias("id_of"), F.col("n").alias("n_of"), F.col("blob").alias("profile"))
         self.bits = self._frequent(facts, cells, frequent)
 
@@ -171,10 +173,14 @@ class SimilarityJoin:
     def groups(self) -> DataFrame:
         """Representatives under each key that several documents have: ``key``, ``node``, ``n``, ``weight``."""
         bits, shingle, percent = self.bits, self.shingle, self.percent
-        keys = self.docs.mapInArrow(lambda b: _keys(b, bits, shingle, percent), "key bigint, id bigint")
-        several = keys.groupBy(F.col("key").alias("key_of")).agg(F.count("*").alias("held")).filter("held > 1").select("key_of")
+        # Written, as both branches need the keys of all texts.
+        keys = self.scratch.table(self.docs.mapInArrow(lambda b: _keys(b, bits, shingle, percent), "key bigint, id bigint"), "keys")
+        several = self.scratch.table(keys.groupBy(F.col("key").alias("key_of")).agg(F.count("*").alias("held")).filter("held > 1").select("key_of"), "several")
         mine = self.members.filter("rep is not null").select(F.col("id").alias("id_of"), F.col("rep").alias("node"), "n", "weight").distinct()
-        return keys.join(several, F.col("key") == F.col("key_of")).join(mine, F.col("id") == F.col("id_of")).select("key", "node", "n", "weight").distinct()
+        met = keys.join(several, F.col("key") == F.col("key_of")).join(mine, F.col("id") == F.col("id_of")).select("key", "node", "n", "weight").distinct()
+        met = self.scratch.table(met, "groups")
+        self.scratch.done(keys, several)
+        return met
 
     def similar(self, overlap, na, nb):
         return (100 + self.percent) * overlap >= self.percent * (na + nb)
@@ -209,10 +215,11 @@ class SimilarityJoin:
 
     def component_links(self) -> DataFrame:
         """Links between representatives that connect all that are connected, not all links."""
-        groups = self.scratch.table(self.groups(), "groups")
+        groups = self.groups()
         lead = groups.groupBy(F.col("key").alias("key_of")).agg(F.max(F.struct("weight", -F.col("node"))).alias("top"), F.count("*").alias("held")).filter("held > 1")
-        lead = lead.select("key_of", (-F.col("top.col2")).alias("leader"))
+        lead = self.scratch.table(lead.select("key_of", (-F.col("top.col2")).alias("leader")), "lead")
         placed = self.scratch.table(groups.join(lead, F.col("key") == F.col("key_of")).select("key", "node", "n", "leader"), "placed")
+        self.scratch.done(groups, lead)
         leaders = self.scratch.table(placed.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "leaders")
 
         near = 2 * self.percent - 100
@@ -245,7 +252,8 @@ class SimilarityJoin:
             )
         )
         whole = self.scratch.table(whole, "whole")
-        mixed = whole.filter("comp <> lead_comp").select(F.col("key").alias("mixed_key")).distinct()
+        self.scratch.done(placed)
+        mixed = self.scratch.table(whole.filter("comp <> lead_comp").select(F.col("key").alias("mixed_key")).distinct(), "mixed")
         # Pairs of one that is far and another that isn't linked with the leader.
         apart = self.scratch.table(whole.filter("degree < 2").join(mixed, F.col("key") == F.col("mixed_key"), "left_semi").select("key", "node", "n", "comp", "degree"), "apart")
         other = apart.select(*[F.col(c).alias(f"{c}_b") for c in apart.columns])
@@ -316,7 +324,7 @@ def similar_pairs(
     class are found in :func:`similar_groups`.
     """
     join = _join(docs, text, doc_id, shingle, percent, cells, frequent)
-    groups = join.scratch.table(join.groups(), "groups")
+    groups = join.groups()
     other = groups.select(*[F.col(c).alias(f"{c}_b") for c in ("key", "node", "n")])
     pairs = groups.join(other, (F.col("key") == F.col("key_b")) & (F.col("node") < F.col("node_b")) & join.sizes_fit(F.col("n"), F.col("n_b")))
     pairs = join.scratch.table(pairs.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct(), "pairs")
