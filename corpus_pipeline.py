@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from boxframe.llm import mixing, ngram_join, pieces, quality, substring
@@ -23,20 +24,36 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__row``, a number of its own for each row that is the same in every reading.
+
+    A row of a file is named by the file's number (one row for each file is ordered for that) and its place in the
+    file, so nothing has to be written; a table that isn't read from files is written first.
+    """
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        docs = cut_lineage(docs)
+    placed = docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at"))
+    number = F.row_number().over(Window.orderBy("__path")).cast("bigint")
+    files = cut_lineage(placed.select(F.col("__file").alias("__path")).distinct().withColumn("__number", number))
+    return placed.join(files, F.col("__file") == F.col("__path")).withColumn("__row", F.shiftleft("__number", 36) + F.col("__at")).drop("__file", "__at", "__path", "__number")
+
+
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join: one row of each group of similar documents stays, that of the smallest ID.
 
-    Every row is a document of its own, also one without an ID (last in order) or with the ID of another.
-    Rows are numbered in a written copy, so that their numbers stay. The numbers that go are written too, so
-    that Spark sends them to all tasks if they are few and shuffles both sides otherwise.
+    Every row is a document of its own, also one without an ID (last in order) or with the ID of another. The
+    numbers that go are written, so that Spark sends them to all tasks if they are few and shuffles both sides
+    otherwise.
     """
-    numbered = cut_lineage(docs.withColumn("__row", F.monotonically_increasing_id()))
-    groups = ngram_join.similar_groups(numbered, doc_id="__row").select(F.col("doc_id").alias("__row"), F.col("component_id").alias("group"))
-    placed = cut_lineage(groups.join(numbered.select("__row", "doc_id"), "__row"))
+    rows = numbered(docs)
+    groups = ngram_join.similar_groups(rows, doc_id="__row").select(F.col("doc_id").alias("__row"), F.col("component_id").alias("group"))
+    placed = cut_lineage(groups.join(rows.select("__row", "doc_id"), "__row"))
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row"))
-    first = placed.groupBy(F.col("group").alias("group_of")).agg(F.min_by("__row", order).alias("stays"))
+    first = cut_lineage(placed.groupBy(F.col("group").alias("group_of")).agg(F.min_by("__row", order).alias("stays")))
     gone = cut_lineage(placed.join(first, F.col("group") == F.col("group_of")).filter("__row <> stays").select(F.col("__row").alias("gone")))
-    return numbered.join(gone, F.col("__row") == F.col("gone"), "left_anti").drop("__row")
+    return rows.join(gone, F.col("__row") == F.col("gone"), "left_anti").drop("__row")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
