@@ -26,7 +26,7 @@ MARK = "▁"
 #: A character without a piece of its own scores this much less than the worst piece, as in the library.
 UNKNOWN_PENALTY = 10.0
 #: Distinct words whose IDs a worker keeps.
-MEMO = 200_000
+MEMO = 150_000
 #: Words up to this many bytes are segmented in groups of one length.
 GROUPED = 48
 #: Rows that are worked on at a time.
@@ -103,6 +103,7 @@ class Pieces:
     unknown: int
     worst: float
     memo: dict = field(default_factory=dict)
+    old: dict = field(default_factory=dict)
 
     @classmethod
     def load(cls, path: str) -> Pieces:
@@ -182,6 +183,52 @@ class Pieces:
                 best[e][at], came[e][at], taken[e][at] = score, s, -1
         return self._walk_back(columns, came, taken)
 
+    def segment_long(self, raw: bytes) -> np.ndarray:
+        """IDs of one word of any length: the trie is walked from all its characters at once, a byte a step, and
+        the best path is then found over the pieces met. Paths of equal score: the last piece is the longest."""
+        text = np.frombuffer(raw, np.uint8)
+        starts = np.flatnonzero((text & 0xC0) != 0x80)
+        width = np.minimum(_width(text[starts]), len(text) - starts)
+        base, check, piece = self.trie.base, self.trie.check, self.trie.piece
+        node, alive, place = np.zeros(len(starts), np.int32), starts, np.arange(len(starts))
+        sure, found, depth = np.zeros(len(starts), bool), [], 0
+        while len(alive):
+            to = base[node] + text[alive + depth] + 1
+            there = check[to] == node
+            node, alive, place = to[there], alive[there], place[there]
+            depth += 1
+            got = piece[node] >= 0
+            found.append((alive[got], alive[got] + depth, piece[node[got]]))
+            sure[place[got & (width[place] == depth)]] = True
+            more = alive + depth < len(text)
+            node, alive, place = node[more], alive[more], place[more]
+        lone = np.flatnonzero(~sure)
+        found.append((starts[lone], starts[lone] + width[lone], np.full(len(lone), -1)))
+        start, end, which = (np.concatenate(c) for c in zip(*found, strict=True))
+        order = np.lexsort((start, end))
+        start, end, which = start[order], end[order], which[order]
+        score = np.where(which >= 0, self.scores[np.maximum(which, 0)].astype(float), self.worst)
+        best, last = [-np.inf] * (len(text) + 1), [-1] * (len(text) + 1)
+        best[0] = 0.0
+        for i, (a, b, s) in enumerate(zip(start.tolist(), end.tolist(), score.tolist(), strict=True)):
+            s += best[a]
+            if s > best[b]:
+                best[b], last[b] = s, i
+        path, at = [], len(text)
+        while at:
+            path.append(last[at])
+            at = int(start[last[at]])
+        spelled = self.byte_ids.min() >= 0
+        out = []
+        for i in reversed(path):
+            if which[i] >= 0:
+                out.append(self.plain[which[i]])
+            elif spelled:
+                out += self.byte_ids[text[start[i] : end[i]]].tolist()
+            else:
+                out.append(self.unknown)
+        return np.array(out, np.int32)
+
     def _walk_back(self, columns: np.ndarray, came: np.ndarray, taken: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         length, n = columns.shape
         steps, at, live = [], np.full(n, length), np.arange(n)
@@ -213,7 +260,10 @@ class Pieces:
             raw = word.encode()
             by_length.setdefault(len(raw), []).append((word, raw))
         for length, some in by_length.items():
-            step = max(1, 400_000 // length) if length <= GROUPED else 1
+            if length > GROUPED:
+                self.memo.update((word, self.segment_long(raw).tobytes()) for word, raw in some)
+                continue
+            step = max(1, 400_000 // length)
             for i in range(0, len(some), step):
                 part = some[i : i + step]
                 matrix = np.frombuffer(b"".join(r for _, r in part), np.uint8).reshape(len(part), length)
@@ -225,7 +275,8 @@ class Pieces:
     def encode(self, texts: list[str]) -> list[bytes]:
         """IDs of whole texts, as bytes of 32-bit integers. Every text starts with a space marker."""
         if len(self.memo) > MEMO:
-            self.memo.clear()
+            # Words of the last generation stay within reach, so none that keeps coming is learnt again.
+            self.memo, self.old = {}, self.memo
         cut = []
         for text in texts:
             if not text:
@@ -238,8 +289,15 @@ class Pieces:
         new: set[str] = set()
         for words in cut:
             new.update(w for w in words if w not in self.memo)
+        for w in [w for w in new if w in self.old]:
+            self.memo[w] = self.old[w]
+            new.discard(w)
         self._learn(new)
-        return [b"".join([self.memo[w] for w in words]) for words in cut]
+        out = [b"".join([self.memo[w] for w in words]) for words in cut]
+        # Long ones seldom come again and would make the memo large.
+        for w in [w for w in new if len(w) > GROUPED]:
+            del self.memo[w]
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of IDs: pieces and bytes spelled out, markers as spaces, without the first one."""
@@ -262,7 +320,7 @@ def encode_pieces(docs: DataFrame, model: str, text: str = "text", ids: str = "p
     """Add ``ids``, the piece IDs of the whole text; a column of that name is replaced.
 
     Characters without a piece become byte pieces, so decoding gives the text back. A null or empty text
-    gives an empty array. A space marker (U+2581) in a text can't be told from a space, as in the library.
+    gives an empty array. Of paths with equal scores the one whose last piece is longer counts. A space marker (U+2581) in a text can't be told from a space, as in the library.
     No shuffle; each row is worked on alone, so repeated rows and an empty table need no care.
     """
     return _with_column(docs, text, ids, T.ArrayType(T.IntegerType()), model, _encode_column)

@@ -52,6 +52,34 @@ def test_best_score_equals_brute_force(vocabulary):
         assert found == pytest.approx(brute(vocabulary, names, pieces.MARK + word), abs=1e-3), word
 
 
+def test_long_words_as_short_ones(vocabulary):
+    rng = random.Random(4)
+    for letters in ("etaoin shrdlu", "日本語中文字", "aé😀\n"):
+        word = pieces.MARK + "".join(rng.choice(letters.replace(" ", "")) for _ in range(40))
+        raw = word.encode()
+        ids, _ = vocabulary.segment(np.frombuffer(raw, np.uint8).reshape(1, -1))
+        assert vocabulary.segment_long(raw).tolist() == ids.tolist()
+
+
+def test_a_megabyte_without_a_space(vocabulary):
+    import time
+
+    rng = random.Random(5)
+    for letters in ("etaoinshrdlucmfw", "日本語中文字漢新聞"):
+        text = "".join(rng.choices(letters, k=1_000_000 // len(letters[0].encode())))
+        began = time.process_time()
+        ids = ids_of(vocabulary, text)
+        assert time.process_time() - began < 30
+        assert vocabulary.decode(ids) == text
+    assert not any(len(w) > pieces.GROUPED for w in vocabulary.memo)
+
+
+def test_words_stay_known_over_a_generation(vocabulary, monkeypatch):
+    monkeypatch.setattr(pieces, "MEMO", 3)
+    texts = ["one two three four five", "one six seven eight nine", "one two ten"]
+    assert [ids_of(vocabulary, t).tolist() for t in texts * 2] == [ids_of(pieces.Pieces.load(PATH), t).tolist() for t in texts] * 2
+
+
 def fields(raw):
     """Fields of a protocol buffer: number, wire type, bytes."""
 
