@@ -26,6 +26,8 @@ from boxframe.operators.checkpoints import checkpoint_folder, cut_lineage
 
 #: Distinct words whose IDs a worker keeps.
 MEMO = 1_000_000
+#: Most tasks that read files back; beyond that a task reads several.
+READERS = 20_000
 MANIFEST = "part int, path string, n_docs bigint, n_tokens bigint"
 
 
@@ -185,7 +187,8 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                         names=["doc_id", "start", "n_tokens", "tokens"],
                     )
 
-    files = manifest.select("path", "base", "wide").repartition("path")
+    # A number, as adaptive execution would fold the small manifest, and so all reading, into one task.
+    files = manifest.select("path", "base", "wide").repartition(min(max(1, manifest.count()), READERS), "path")
     return files.mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, tokens binary")
 
 
