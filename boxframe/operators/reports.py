@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from boxframe.functions.boxes import area_bucket, box_area, is_small, ratio
 from boxframe.operators.checkpoints import cut_lineage
@@ -15,7 +19,7 @@ from boxframe.operators.matching import (
     false_positives,
     match_levels,
 )
-from boxframe.operators.ranking import HOT_ROWS, grouped_running_sums
+from boxframe.operators.ranking import HOT_ROWS, grouped_row_number, grouped_running_sums
 
 # Promotion metrics in order of weight, their direction, and the tolerance.
 RANKING = (
@@ -182,20 +186,42 @@ def _beats(challenger: Column, champion: Column, tolerance: float) -> Column:
     return result
 
 
-def champion(runs: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+def _chunk_finals(part: pa.Table, tolerance: float) -> pa.Table:
+    """For each run of a chunk, which of its runs holds the title at the end if that one holds it at its place."""
+    part = part.take(pc.sort_indices(part.column("place")))
+    runs = part.column("run").combine_chunks()
+    gains = np.stack([direction * runs.field(name).to_numpy(zero_copy_only=False).astype(float) for name, direction in RANKING], 1)
+    final = np.arange(len(gains))
+    for i in range(len(gains) - 2, -1, -1):
+        ahead = gains[i + 1 :] - gains[i]
+        decides = np.abs(ahead) > tolerance
+        first = decides.argmax(1)
+        beats = decides.any(1) & (ahead[np.arange(len(ahead)), first] > 0)
+        if beats.any():
+            final[i] = final[i + 1 + beats.argmax()]
+    return pa.table({"dataset_fingerprint": part.column("dataset_fingerprint"), "run": runs, "final": runs.take(pa.array(final))})
+
+
+def champion(runs: DataFrame, tolerance: float = TOLERANCE, chunk: int = 1024, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Champion per dataset fingerprint: the first eligible run starts, later ones challenge in turn.
 
-    With a tolerance the compare is not transitive, so the runs of a dataset cannot be reduced in
-    any order, and gathering them would put a large dataset into one task. Instead every round finds,
-    for all datasets at once, the first later run that beats the present champion. That takes as many
-    rounds as the champion changes, and each round is one aggregate.
+    With a tolerance the compare is not transitive, so the runs of a dataset can't be reduced in any order, and
+    gathering them would put a large dataset into one task. Instead runs in order are cut into chunks. A chunk says,
+    for each of its runs, who is champion at the chunk's end once that run has the title; so whoever comes in, the
+    first run of the chunk that beats it decides what goes out. A round finds, for all datasets at once, the first
+    later run that beats the present champion, and goes to the end of its chunk. There are at most as many rounds as
+    chunks, however often the title changes.
     """
     names = [name for name, _ in RANKING]
     entry = F.struct("finished_at", "run_id", *names)
-    pool = cut_lineage(
-        eligible(runs).select("dataset_fingerprint", entry.alias("run"))
-    )
-    best = cut_lineage(pool.groupBy("dataset_fingerprint").agg(F.min("run").alias("best")))
+    order = [F.asc("finished_at"), F.asc("run_id")]
+    placed = grouped_row_number(eligible(runs), ["dataset_fingerprint"], order, [F.col("finished_at")], "_place", hot_rows)
+    slim = placed.select("dataset_fingerprint", entry.alias("run"), (F.col("_place") - 1).alias("place"))
+    shape = T.StructType([slim.schema["dataset_fingerprint"], slim.schema["run"], T.StructField("final", slim.schema["run"].dataType)])
+    chunks = slim.groupBy("dataset_fingerprint", F.floor(F.col("place") / chunk).alias("_chunk"))
+    pool = cut_lineage(chunks.applyInArrow(lambda part: _chunk_finals(part, tolerance), shape))
+    first = pool.groupBy("dataset_fingerprint").agg(F.min(F.struct("run", "final")).alias("first"))
+    best = cut_lineage(first.select("dataset_fingerprint", F.col("first.final").alias("best")))
     active = best
     while True:
         run, held = F.col("run"), F.col("best")
@@ -207,7 +233,8 @@ def champion(runs: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
             pool.join(active, "dataset_fingerprint")
             .filter(later & _beats(run, held, tolerance))
             .groupBy("dataset_fingerprint")
-            .agg(F.min("run").alias("best"))
+            .agg(F.min(F.struct("run", "final")).alias("first"))
+            .select("dataset_fingerprint", F.col("first.final").alias("best"))
         )
         active = cut_lineage(taken)
         if active.isEmpty():

@@ -208,6 +208,31 @@ def test_champion(spark):
     assert got == {f"d{k}": loop_champion([r for r in rows if r["run_id"] % 3 == k], 0.002) for k in range(3)}
 
 
+@pytest.mark.parametrize("chunk", [1, 4, 1000])
+def test_champion_in_chunks(spark, chunk):
+    rng = random.Random(chunk)
+    rows = [
+        dict(run_id=i, finished_at=i // 3, dataset_fingerprint=f"d{i % 2}", status="success", split="val", model_sha256="x",
+             **{n: rng.randint(0, 4) / 1000 for n, _ in reports.RANKING})
+        for i in range(60)
+    ]
+    got = {r.dataset_fingerprint: r.run_id for r in reports.champion(spark.createDataFrame(pd.DataFrame(rows)), chunk=chunk).collect()}
+    assert got == {f"d{k}": loop_champion([r for r in rows if r["run_id"] % 2 == k], 0.002) for k in range(2)}
+
+
+def test_champion_that_changes_ten_thousand_times(spark, monkeypatch):
+    rows = [
+        dict(run_id=i, finished_at=i, dataset_fingerprint="d", status="success", split="val", model_sha256="x",
+             **{n: direction * i * 0.01 for n, direction in reports.RANKING})
+        for i in range(10_000)
+    ]
+    written, tables = reports.cut_lineage, []
+    monkeypatch.setattr(reports, "cut_lineage", lambda df: tables.append(1) or written(df))
+    assert reports.champion(spark.createDataFrame(pd.DataFrame(rows)), chunk=2048).head().run_id == 9999
+    # A table for the chunks, one to start, two for each of at most five chunks, one that finds no more.
+    assert len(tables) <= 13
+
+
 def test_run_gate(spark):
     rows = [("a", "a", "failed", "d", "f"), ("b", "c", "failed", "d", "f"), ("e", "e", "success", "d", "f"), ("g", "g", "failed", "d", None), ("h", "h", "failed", "d", "old")]
     df = spark.createDataFrame(rows, "run_id string, directory string, status string, dataset string, dataset_fingerprint string")
