@@ -16,7 +16,9 @@ def checkpoint_folder(spark: SparkSession) -> str:
     if named:
         return named
     if spark.sparkContext.getCheckpointDir() is None:
-        if not spark.sparkContext.master.startswith("local"):
+        # Executors of a local cluster are processes of their own, with temporary folders of their own.
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError(f"set {_SETTING} to a folder that all machines share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     return spark.sparkContext.getCheckpointDir()

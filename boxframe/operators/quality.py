@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boxframe.operators.checkpoints import cut_lineage
-from boxframe.operators.splits import split_overlap
 from boxframe.schemas import SPLITS
+from boxframe.sources.listing import duplicate_stems
 
 
 class DatasetProblems(ValueError):
@@ -35,13 +35,14 @@ def content_leak(items: DataFrame, hash_col: str = "digest") -> DataFrame:
     """``(split, image_id, kept_split, kept_id)`` of content held by an earlier split.
 
     Splits count in the order train, val, test. The first split that holds a digest keeps it, with
-    its last image ID. Built from two aggregates, so many copies of one content never meet in a
+    its last image ID. A row of another split, or of none, is an error. Built from two aggregates, so many copies of one content never meet in a
     window: per digest and split first, then per digest. The digests are written down first, so that
     the contents behind them are read and hashed once.
     """
     items = cut_lineage(items.select("split", "image_id", hash_col))
-    order = F.array_position(F.array(*[F.lit(s) for s in SPLITS]), F.col("split")).cast("int")
-    ranked = items.withColumn("_order", order)
+    place = F.array_position(F.array(*[F.lit(s) for s in SPLITS]), F.col("split")).cast("int")
+    unknown = F.raise_error(F.concat(F.lit("no such split: "), F.coalesce("split", F.lit("null")))).cast("int")
+    ranked = items.withColumn("_order", F.when(place > 0, place).otherwise(unknown))
     kept = ranked.groupBy(hash_col, "_order", "split").agg(F.max("image_id").alias("last_id"))
     first = kept.groupBy(hash_col).agg(
         F.min(F.struct("_order", "split", "last_id")).alias("k"), F.count("*").alias("n_splits")
@@ -127,6 +128,38 @@ def issue_rows(df: DataFrame, severity: str, rule: str | None = None) -> DataFra
     )
 
 
+def keyed_issues(images: DataFrame, labels: DataFrame, image_errors: DataFrame | None = None) -> DataFrame:
+    """``(rule, split, image_id)``: missing and orphan labels, IDs in two splits, unreadable images.
+
+    All rules come from one union of the inputs and two aggregates, so each input is read once and no table is
+    joined. An ID's entry is as long as there are splits.
+    """
+    nothing = F.lit(None).cast("string")
+
+    def tagged(df: DataFrame, image: int, label: int, error: Column) -> DataFrame:
+        return df.select("split", "image_id", F.lit(image).alias("image"), F.lit(label).alias("label"), error.alias("error"))
+
+    rows = tagged(images, 1, 0, nothing).unionByName(tagged(labels, 0, 1, nothing))
+    if image_errors is not None:
+        rows = rows.unionByName(tagged(image_errors.filter("error is not null"), 0, 0, F.col("error").cast("string")))
+    each = rows.groupBy("image_id", "split").agg(F.max("image").alias("image"), F.max("label").alias("label"), F.max("error").alias("error"))
+    held = each.groupBy("image_id").agg(F.collect_list(F.struct("split", "image", "label", "error")).alias("held"))
+
+    def rule(name: str, condition: Callable[[Column], Column]) -> Column:
+        return F.transform(F.filter("held", condition), lambda h: F.struct(F.lit(name).alias("rule"), h["split"].alias("split")))
+
+    # A row for each pair of splits, under the later name.
+    splits = F.array_distinct(F.transform(F.filter("held", lambda h: h["image"] == 1), lambda h: h["split"]))
+    later = F.flatten(F.transform(splits, lambda b: F.transform(F.filter(splits, lambda a: a < b), lambda _: F.struct(F.lit("split_overlap").alias("rule"), b.alias("split")))))
+    rules = F.concat(
+        rule("missing_label", lambda h: (h["image"] == 1) & (h["label"] == 0)),
+        rule("orphan_label", lambda h: (h["image"] == 0) & (h["label"] == 1)),
+        rule("unreadable_image", lambda h: h["error"].isNotNull()),
+        later,
+    )
+    return held.select(F.inline(rules), "image_id")
+
+
 def validation_issues(
     images: DataFrame,
     labels: DataFrame,
@@ -135,27 +168,23 @@ def validation_issues(
     contents: DataFrame | None = None,
     manifest: DataFrame | None = None,
     fingerprint: DataFrame | None = None,
+    files: DataFrame | None = None,
 ) -> DataFrame:
     """All checks of a prepared dataset as one table of issues.
 
     ``images`` and ``labels`` are ``(split, image_id)``; ``line_issues`` comes from the label
     parser; ``image_errors`` from the header reader (``split, image_id, error``); ``contents`` is
-    ``(split, image_id, digest)`` for the optional leak check; ``manifest`` is the result of
+    ``(split, image_id, digest)`` for the optional leak check, in which images without a label don't count;
+    ``files`` is ``(split, path)`` for the check of stems that occur twice; ``manifest`` is the result of
     ``manifest_reconcile``; ``fingerprint`` one row ``(dataset_fingerprint)``.
     """
-    found = [
-        issue_rows(pairing(images, labels), "error"),
-        issue_rows(line_issues, "error"),
-        issue_rows(
-            split_overlap(images).withColumnRenamed("split_b", "split"), "error", "split_overlap"
-        ),
-    ]
-    if image_errors is not None:
-        found.append(
-            issue_rows(image_errors.filter("error is not null"), "error", "unreadable_image")
-        )
+    found = [issue_rows(keyed_issues(images, labels, image_errors), "error"), issue_rows(line_issues, "error")]
     if contents is not None:
-        found.append(issue_rows(content_leak(contents), "error", "content_in_two_splits"))
+        labelled = contents.join(labels.select("split", "image_id").distinct(), ["split", "image_id"], "left_semi")
+        found.append(issue_rows(content_leak(labelled), "error", "content_in_two_splits"))
+    if files is not None:
+        repeated = duplicate_stems(files).select("split", F.col("stem_key").alias("image_id"))
+        found.append(issue_rows(repeated, "error", "repeated_stem"))
     if manifest is not None:
         found.append(issue_rows(manifest.filter("not ids_match"), "error", "manifest_ids"))
         found.append(issue_rows(manifest.filter("not count_matches"), "error", "manifest_count"))

@@ -356,3 +356,29 @@ def test_options_are_applied_or_refused():
     for wrong in ({"target_class_id": 1}, {"keep_empty_images": False}, {"colour": 1}):
         with pytest.raises(ValueError):
             prepare.checked_options(wrong, True)
+
+
+def test_keyed_issues_and_leaks_of_labelled_images(spark):
+    images = spark.createDataFrame([("train", "a"), ("train", "b"), ("val", "a"), ("test", "a"), ("val", "c")], "split string, image_id string")
+    have = spark.createDataFrame([("train", "a"), ("val", "a"), ("test", "a"), ("train", "b"), ("val", "x")], "split string, image_id string")
+    errors = spark.createDataFrame([("train", "b", "unreadable"), ("val", "a", None)], "split string, image_id string, error string")
+    found = sorted((r.rule, r.split, r.image_id) for r in quality.keyed_issues(images, have, errors).collect())
+    assert found == [
+        ("missing_label", "val", "c"), ("orphan_label", "val", "x"), ("split_overlap", "train", "a"), ("split_overlap", "val", "a"),
+        ("split_overlap", "val", "a"), ("unreadable_image", "train", "b"),
+    ]
+    contents = spark.createDataFrame([("train", "a", "1"), ("val", "c", "1"), ("test", "a", "1")], "split string, image_id string, digest string")
+    lines = spark.createDataFrame([], "split string, image_id string, line_number int, rule string")
+    files = spark.createDataFrame([("train", "x/A.jpg"), ("train", "y/a.png"), ("val", "a.jpg")], "split string, path string")
+    issues = quality.validation_issues(images, have, lines, errors, contents, files=files)
+    assert {(r.rule, r.split, r.image_id) for r in issues.collect()} - set(found) == {("content_in_two_splits", "test", "a"), ("repeated_stem", "train", "a")}
+    with pytest.raises(Exception, match="no such split"):
+        quality.content_leak(contents.withColumn("split", F.lit("other"))).collect()
+
+
+def test_every_kind_of_white_space_is_stripped(spark):
+    from boxframe.functions.text import strip
+
+    blanks = [c for c in map(chr, range(0x3001)) if c.isspace()]
+    rows = spark.createDataFrame([(f"{c}x{c}",) for c in blanks], "t string")
+    assert {r[0] for r in rows.select(strip(F.col("t"))).collect()} == {"x"}
