@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 SECRET_NAMES = ("KAGGLE_KEY", "GH_TOKEN")
 MASK = "[REDACTED]"
 
-# The marker of a memory failure and the advice that goes with it.
+# Fixed value: the marker of a memory failure.
 OUT_OF_MEMORY_MARK = "out of memory"
-OUT_OF_MEMORY_ADVICE = (
-    "Lower training.batch and retry. Keep training.imgsz=1280 unchanged for Phase 1."
-)
+#: What is advised after one, unless a caller has advice of its own.
+OUT_OF_MEMORY_ADVICE = "The device ran out of memory: use a smaller batch or smaller images."
 
 # Fixed value: what counts as white space around a text.
 _BLANKS = (
@@ -133,8 +132,8 @@ def out_of_memory(message: Column) -> Column:
     return F.lower(message).contains(OUT_OF_MEMORY_MARK)
 
 
-def failure_advice(message: Column) -> Column:
-    return F.when(out_of_memory(message), OUT_OF_MEMORY_ADVICE)
+def failure_advice(message: Column, advice: str = OUT_OF_MEMORY_ADVICE) -> Column:
+    return F.when(out_of_memory(message), advice)
 
 
 def is_digest(text: Column) -> Column:

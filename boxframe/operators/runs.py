@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boxframe.functions.text import failure_advice, out_of_memory
+from boxframe.functions.text import OUT_OF_MEMORY_ADVICE, failure_advice, out_of_memory
 from boxframe.operators.ranking import HOT_ROWS, grouped_row_number
 
 # The states of a run and which may follow which. Any run that has not succeeded may resume.
@@ -40,10 +40,12 @@ def run_history(
     )
 
 
-def classify_failures(events: DataFrame, message_col: str = "message") -> DataFrame:
+def classify_failures(
+    events: DataFrame, message_col: str = "message", advice: str = OUT_OF_MEMORY_ADVICE
+) -> DataFrame:
     message = F.col(message_col)
     return events.withColumns(
-        {"out_of_memory": out_of_memory(message), "recommendation": failure_advice(message)}
+        {"out_of_memory": out_of_memory(message), "recommendation": failure_advice(message, advice)}
     )
 
 
