@@ -84,6 +84,13 @@ class WordEncoder:
         return out
 
 
+def largest_id(path: str) -> int:
+    """The largest ID of a tokenizer file, added tokens included."""
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values(), default=0)
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str, kind: str) -> WordEncoder:
     return WordEncoder(path, kind)
@@ -114,16 +121,19 @@ def write_tokens(
     end_id: int | None = None,
     text: str = "text",
     doc_id: str = "doc_id",
-    wide: bool = False,
+    wide: bool | None = None,
 ) -> DataFrame:
     """Encode all texts, write the files and return the manifest with its bases.
 
     A null text counts as empty. Rows with equal IDs follow each other in no fixed order; null IDs come
     first and read back as null. Other columns are not read. An empty table gives an empty manifest.
 
+    IDs take 16 bits if the largest of the vocabulary and ``end_id`` fit, else 32, or always 32 with ``wide``.
     ``folder`` must be seen by all machines; a new one under the checkpoint folder is the default. Each
     attempt of a task writes files of its own name and only the manifest makes them count.
     """
+    if wide is None:
+        wide = max(largest_id(tokenizer), end_id or 0) > 0xFFFF
     folder = folder or f"{checkpoint_folder(docs.sparkSession).rstrip('/')}/tokens-{uuid.uuid4().hex}"
     kind = "<u4" if wide else "<u2"
 

@@ -34,6 +34,28 @@ def test_files_round_trip(spark):
     assert sorted(bytes(r.tokens) for r in wide.collect()) == sorted(bytes(r.tokens) for r in got)
 
 
+def test_width_follows_the_vocabulary(spark, tmp_path):
+    large = Tokenizer.from_file(PATH)
+    large.add_tokens([f"<x{i}>" for i in range(20_000)])
+    large.save(f"{tmp_path}/large.json")
+    docs = spark.createDataFrame([(1, "a <x19999> b"), (2, "c")], "doc_id long, text string")
+    manifest = token_files.write_tokens(docs, f"{tmp_path}/large.json", end_id=2)
+    got = {r.doc_id: np.frombuffer(r.tokens, "<u4").tolist() for r in token_files.read_tokens(manifest).collect()}
+    wanted = large.encode("a <x19999> b", add_special_tokens=False).ids
+    assert max(wanted) > 0xFFFF and got == {1: [*wanted, 2], 2: [*large.encode("c", add_special_tokens=False).ids, 2]}
+    assert manifest.first().wide and not token_files.write_tokens(docs, PATH, end_id=2).first().wide
+
+
+def test_files_are_read_by_several_tasks(spark):
+    docs = spark.range(400).selectExpr("id as doc_id", "repeat('word ', 50) as text")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = token_files.write_tokens(docs, PATH, end_id=2)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert manifest.count() > 1 and token_files.read_tokens(manifest).rdd.getNumPartitions() == manifest.count()
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert token_files.read_tokens(token_files.write_tokens(docs, PATH)).count() == 0
