@@ -5,9 +5,9 @@ transform) and assigns each to the nearest signed axis. A query probes, in every
 it. Candidates are reranked by exact inner products in double precision.
 
 Tables hold plain directions. Entries fall into ranges of norms that differ by a fourth of an octave, so that
-within one the largest inner product is nearly the least angle. A range of few entries, such as that of some
-very long vectors, is not hashed: every query meets all of it. Each range is thus searched like a table of its
-own, and none hides another. Equal vectors are one entry of the index, however many rows hold them. A bucket with many entries or queries
+within one the largest inner product is nearly the least angle. A range with no more entries than a table has
+buckets (two for each dimension), such as that of some very long vectors, gains nothing from hashing: every query
+meets all of it. Each range is thus searched like a table of its own, and none hides another. Equal vectors are one entry of the index, however many rows hold them. A bucket with many entries or queries
 is worked on in blocks of bounded size, each by its own task.
 """
 
@@ -26,8 +26,6 @@ TABLES = 8
 PROBES = 18
 #: Entries and queries of one bucket that a task gets at a time.
 BLOCK = 4096
-#: A range of norms with at most so many entries is compared with every query.
-SMALL = 4096
 #: Ranges of norms in an octave.
 RANGES = 4
 #: Number of the table, with one bucket, of what is compared without hashing.
@@ -151,12 +149,13 @@ def nearest(
     tables: int = TABLES,
     probes: int = PROBES,
     seed: int = 0,
-    small: int = SMALL,
+    small: int | None = None,
 ) -> DataFrame:
     """The ``k`` nearest found of each query: ``query_id``, ``rank`` (from 1), ``vec_id``, ``score``.
 
     Queries are the rows for which ``is_query`` (of ``vec_id``) holds, candidates all rows but the query's
-    own. A query that meets fewer than ``k`` candidates is compared with all. ``score`` is the inner product,
+    own. A query that meets fewer than ``k`` candidates is compared with all. Ranges of norms with at most
+    ``small`` entries (as many as a table has buckets by default) aren't hashed. ``score`` is the inner product,
     largest first, ties by the smaller ID. Vectors that are null, zero
     or hold null or non-finite components take no part, nor do rows without an ID. Vectors of each length are
     searched by themselves, as others have no inner product with them. Of rows with one ID the least vector counts. Other columns are not read. An empty
@@ -172,7 +171,8 @@ def nearest(
     entries = scratch.table(distinct.mapInArrow(_ranged, "entry bigint, vector array<double>, members array<bigint>, range int"), "entries")
     # The exponents of doubles bound the number of ranges of a length.
     length = F.size("vector")
-    few = scratch.table(entries.groupBy(length.alias("length_of"), F.col("range").alias("of")).count().filter(F.col("count") <= small).select("length_of", "of"), "few")
+    most = 2 * F.col("length_of") if small is None else F.lit(small)
+    few = scratch.table(entries.groupBy(length.alias("length_of"), F.col("range").alias("of")).count().filter(F.col("count") <= most).select("length_of", "of"), "few")
     whole = F.col("of").isNotNull()
     shape = "length int, table int, bucket int, entry bigint, vector array<double>"
     indexed = entries.join(few, (length == F.col("length_of")) & (F.col("range") == F.col("of")), "left").select("entry", "vector", whole.alias("whole"), (~whole).alias("hashed"))

@@ -34,6 +34,14 @@ def test_recall_on_unit_vectors(spark):
     assert set(got) == set(wanted) and recall(got, wanted) >= 0.9
 
 
+def test_recall_where_every_vector_is_hashed(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(5000, 32))
+    rows = [(i, (v / np.sqrt(v @ v)).tolist()) for i, v in enumerate(x)]
+    got = found(ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, small=0))
+    assert all(len(v) == 20 for v in got.values()) and recall(got, brute(rows, 20)) >= 0.9
+
+
 def test_recall_with_other_norms(spark):
     rng = np.random.default_rng(1)
     rows = [(i, (rng.normal(size=12) * rng.uniform(0.2, 3)).tolist()) for i in range(600)]
@@ -50,7 +58,7 @@ def test_recall_with_some_long_vectors(spark):
     x[1000:1600] *= 3
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    for small in (100, ann.SMALL):
+    for small in (None, 100):
         got = found(ann.nearest(table, F.col("vec_id") % 20 == 0, small=small))
         assert recall(got, brute(rows, 20)) >= 0.9
 
