@@ -27,6 +27,8 @@ from pyspark.sql import types as T
 #: Pages that the labeller is fitted on, at most.
 SAMPLE_PAGES = 240
 LAYOUTS = 4
+#: Share of the made layouts in which no name or tag tells a section, so that text and context must.
+MASKED = 0.35
 #: Where markup names no main text, blocks of fewer words are none.
 PLAIN_WORDS = 10
 PATHS, PATH_SIZE = 1 << 11, 12
@@ -41,14 +43,20 @@ BLOCK_TAGS = frozenset(
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: An opened tag ends an open one of these, up to the nearest of the others.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|title|textarea|noscript|template|svg|iframe)\b.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-z][a-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
-    re.S | re.I,
+#: Elements whose content holds no tags: up to their end tag, or without one the tag alone counts.
+RAW_TAGS = frozenset("script style title textarea iframe noembed noframes xmp".split())
+#: Elements with content of their own that is not shown.
+HIDDEN_TAGS = frozenset("noscript template svg".split())
+# An attribute with its value. A quote that holds angle brackets must be closed before white space, a slash or the
+# tag's end; a stray quote is else part of a value that ends with the tag.
+_ATTRIBUTE = (
+    r"[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"<>]*+\"|'[^'<>]*+'|\"[^\"]*+\"(?=[\s/>]|\Z)|'[^']*+'(?=[\s/>]|\Z)|[^\s>]*+))?+"
 )
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_TAG = re.compile(rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-z][^\s/>]*+)((?:[\s/]++|{_ATTRIBUTE})*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)", re.S | re.I)
+_ATTRIBUTES = re.compile(_ATTRIBUTE, re.S)
+_CLOSERS = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*+(?:>|\Z)", re.I) for tag in RAW_TAGS | HIDDEN_TAGS}
+_NAMED = re.compile(r"class|id\b|role", re.I)
 _LETTERS = re.compile(r"[a-z]+")
-_MARK = re.compile(r"data-mark=\"(\w+)\"")
 
 
 class _Hashed(dict):
@@ -76,14 +84,32 @@ class Block:
     mark: str
 
 
+def attributes_of(rest: str) -> dict[str, str]:
+    """Values by lower-case name of what follows a tag's name; of equal names the first counts."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTES.finditer(rest):
+        name, _, value = m.group().partition("=")
+        value = value.strip()
+        if len(value) > 1 and value[0] in "\"'" and value[-1] == value[0]:
+            value = value[1:-1]
+        found.setdefault(name.rstrip().lower(), value)
+    return found
+
+
 def blocks_of(page: str | None) -> list[Block]:
-    """Leaf blocks of a page, in order. Text under script, style, head titles and the like is no block."""
+    """Leaf blocks of a page, in order. Text under script, style, head titles and the like is no block.
+
+    Tags are read as attributes with their quotes. A quote that never closes ends with its tag, an element of raw or
+    hidden text that never ends hides nothing after its start tag (a script or style all the rest), and an ``svg``
+    ends where a block begins.
+    """
     out: list[Block] = []
     # Open block elements: tag, hashed path, tags and mark down to it.
     stack: list[tuple[str, tuple[int, ...], tuple[str, ...], str]] = [("", (), (), "")]
     parts: list[str] = []
-    links, link_chars, at = 0, 0, 0
+    links, link_chars, at, hidden = 0, 0, 0, 0
     page = page or ""
+    ends: dict[str, re.Match | None] = {}
 
     def flush() -> None:
         nonlocal link_chars
@@ -95,29 +121,59 @@ def blocks_of(page: str | None) -> list[Block]:
             parts.clear()
         link_chars = 0
 
-    for m in _TAG.finditer(page):
-        if m.start() > at:
+    def cut(k: int) -> None:
+        nonlocal hidden
+        hidden -= sum(frame[0] in HIDDEN_TAGS for frame in stack[k:])
+        del stack[k:]
+
+    def closer(tag: str, start: int) -> re.Match | None:
+        """Next end tag after a place, looked for once until the reader is past it."""
+        if tag not in ends or (ends[tag] is not None and ends[tag].start() < start):
+            ends[tag] = _CLOSERS[tag].search(page, start)
+        return ends[tag]
+
+    while m := _TAG.search(page, at):
+        if m.start() > at and not hidden:
             piece = page[at : m.start()]
             parts.append(piece)
             if links:
                 link_chars += len(piece)
         at = m.end()
-        tag = m.group(3)
+        tag = m.group(2)
         if tag is None:
             continue
-        tag, closing = tag.lower(), bool(m.group(2))
+        tag, closing, rest = tag.lower(), bool(m.group(1)), m.group(3)
+        if tag in RAW_TAGS:
+            if not closing:
+                end = closer(tag, at)
+                at = end.end() if end else len(page) if tag in ("script", "style") else at
+            continue
+        if tag in HIDDEN_TAGS:
+            if closing:
+                for k in range(len(stack) - 1, 0, -1):
+                    if stack[k][0] == tag:
+                        cut(k)
+                        break
+            elif not (tag == "svg" and rest.endswith("/")) and closer(tag, at):
+                stack.append((tag, *stack[-1][1:]))
+                hidden += 1
+            continue
         if tag not in BLOCK_TAGS:
+            if hidden:
+                continue
             if tag == "a":
                 links = max(0, links - 1) if closing else 1
             elif tag in VOID_TAGS:
                 parts.append(" ")
             continue
+        while stack[-1][0] == "svg":
+            cut(len(stack) - 1)
         flush()
         links = 0
         if closing:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == tag:
-                    del stack[k:]
+                    cut(k)
                     break
             continue
         if tag == "hr":
@@ -130,15 +186,17 @@ def blocks_of(page: str | None) -> list[Block]:
                 if stack[k][0] in outer:
                     break
                 if stack[k][0] in same:
-                    del stack[k:]
+                    cut(k)
                     break
         _, path, tags, mark = stack[-1]
-        rest = m.group(4)
-        names = [w for a in _NAMES.findall(rest) for w in _LETTERS.findall("".join(a).lower())] if rest else []
-        marked = _MARK.search(rest) if rest else None
+        names: list[str] = []
+        if rest and (_NAMED.search(rest) or "data-mark" in rest):
+            values = attributes_of(rest)
+            names = [w for a in ("class", "id", "role") for w in _LETTERS.findall(values.get(a, "").lower())]
+            mark = values.get("data-mark", mark)
         own = (_path_ids[tag], *[_path_ids[f".{w}"] for w in names])
-        stack.append((tag, path + own, (*tags, tag, *names), marked.group(1) if marked else mark))
-    if at < len(page):
+        stack.append((tag, path + own, (*tags, tag, *names), mark))
+    if at < len(page) and not hidden:
         parts.append(page[at:])
     flush()
     return out
@@ -300,10 +358,15 @@ _SECTIONS = {
 _PLAIN = "div section".split()
 
 
-def _opened(rng: np.random.Generator, kind: str, mark: str) -> tuple[str, str]:
-    """An element of some section: its start and end tag. One in eight has a name that says nothing."""
+def _opaque(rng: np.random.Generator) -> str:
+    """A name that says nothing."""
+    return "".join(chr(97 + k) for k in rng.integers(0, 26, int(rng.integers(2, 8))))
+
+
+def _opened(rng: np.random.Generator, kind: str, mark: str, masked: bool) -> tuple[str, str]:
+    """An element of some section: its start and end tag. One in eight, or all if ``masked``, have a name that says nothing."""
     choices = _SECTIONS[kind]
-    picked = choices[rng.integers(len(choices))] if rng.random() > 0.125 else f"{_PLAIN[rng.integers(2)]}.{chr(97 + rng.integers(26))}{chr(97 + rng.integers(26))}"
+    picked = choices[rng.integers(len(choices))] if not masked and rng.random() > 0.125 else f"{_PLAIN[rng.integers(2)]}.{_opaque(rng)}"
     tag, name, attribute = picked, "", ""
     for sign, attribute_name in ((".", "class"), ("#", "id")):
         if sign in picked:
@@ -314,6 +377,7 @@ def _opened(rng: np.random.Generator, kind: str, mark: str) -> tuple[str, str]:
 
 def dressed(rng: np.random.Generator, content: list[str], junk: list[str], others: list[str]) -> str:
     """A page in some layout around the given text. ``junk`` is short text, ``others`` text of other pages."""
+    masked = rng.random() < MASKED
 
     def words(low: int, high: int) -> str:
         source = (junk + others)[rng.integers(len(junk) + len(others))].split()
@@ -326,7 +390,7 @@ def dressed(rng: np.random.Generator, content: list[str], junk: list[str], other
         return f"<ul>{made}</ul>" if tag == "li" else made
 
     def section(kind: str) -> str:
-        start, end = _opened(rng, kind, "drop")
+        start, end = _opened(rng, kind, "drop", masked)
         if kind == "header":
             inner = f"<div>{words(1, 4)}</div>" + (links() if rng.random() < 0.5 else "")
         elif kind == "nav":
@@ -340,8 +404,10 @@ def dressed(rng: np.random.Generator, content: list[str], junk: list[str], other
         elif kind == "form":
             inner = "".join(f"<label>{words(1, 4)}</label><input>" for _ in range(rng.integers(1, 4))) + f"<button>{words(1, 3)}</button>"
         elif kind == "comments":
-            one = ("li", "div", "article")[rng.integers(3)]
-            made = "".join(f'<{one} class="comment"><div class="author">{words(1, 3)}</div><p>{words(4, 60)}</p></{one}>' for _ in range(rng.integers(1, 6)))
+            one = ("li", "div", "div" if masked else "article")[rng.integers(3)]
+            each, author = (_opaque(rng), _opaque(rng)) if masked else ("comment", "author")
+            by = ("div", "span", "h4")[rng.integers(3)]
+            made = "".join(f'<{one} class="{each}"><{by} class="{author}">{words(1, 3)}</{by}><p>{words(4, 60)}</p></{one}>' for _ in range(rng.integers(1, 6)))
             inner = f"<h3>{words(1, 3)}</h3>{made}"
         else:
             inner = f"<p>{words(3, 15)}</p>" + (links() if rng.random() < 0.5 else "")
@@ -350,7 +416,7 @@ def dressed(rng: np.random.Generator, content: list[str], junk: list[str], other
     def maybe(kind: str, chance: float) -> str:
         return section(kind) if rng.random() < chance else ""
 
-    start, end = _opened(rng, "main", "keep")
+    start, end = _opened(rng, "main", "keep", masked)
     body = []
     for i, text in enumerate(content):
         text = html_module.escape(text)

@@ -1,3 +1,6 @@
+import html
+import time
+
 import numpy as np
 import pytest
 
@@ -101,3 +104,61 @@ def test_sample_is_of_distinct_pages(spark):
         got = html_blocks.sampled(pages, "html", 240, seed)
         assert len(set(got)) == len(got) == 240
     assert len(html_blocks.sampled(pages.limit(9), "html", 240, 0)) == 7
+
+
+@pytest.mark.parametrize(
+    ("page", "texts"),
+    [
+        ("<div class='x>hello</div><p>rest</p>", ["hello", "rest"]),
+        ("<a href=foo'>bar</a> baz", ["bar baz"]),
+        ("<p title=\"a > b\" class='c'>one</p><p class='it>don't</p>two", ["one", "don't", "two"]),
+        ('<p class="a"id="b">x</p></3>y<br/>z<div class="open', ["x", "y z"]),
+        ("<p>a</p><svg viewBox=1 /><p>b</p>", ["a", "b"]),
+        ("<p>a<svg><path d='x'/><text>no</text></svg>b</p>", ["ab"]),
+        ("<p>a</p><svg><g></svg><p>b</p><svg>c<p>d</p>", ["a", "b", "c", "d"]),
+        ("<div>a<noscript>no <p>script</p></noscript>b</div><template><p>no</p></template>c", ["a", "b", "c"]),
+        ("<div>a</div><noscript>b<p>c<iframe src=x><p>d", ["a", "b", "c", "d"]),
+        ("<p>a <!--> b</p><!-- no --!>c<script>no</script x>d", ["a b", "cd"]),
+    ],
+)
+def test_broken_markup_is_no_text_and_hides_none(page, texts):
+    assert [b.text for b in html_blocks.blocks_of(page)] == texts
+
+
+@pytest.mark.parametrize("bad", ['<a href="', "<noscript>", "<a b='", "<svg>", "<iframe>", "<!--", "<"])
+def test_long_runs_of_broken_tags_take_linear_time(bad):
+    started = time.monotonic()
+    html_blocks.blocks_of(bad * 50_000)
+    html_blocks.blocks_of(bad * 50_000 + "</svg></noscript></iframe>")
+    assert time.monotonic() - started < 10
+
+
+
+def marked_page(rows, k):
+    """A page whose elements are all named by numbers, with the article's text between ``top`` and ``end``."""
+    body = [b.text for b in html_blocks.blocks_of(rows[k]) if html_blocks.weak_label(b)]
+    others = [html.escape(w) for b in html_blocks.blocks_of(rows[k - 1]) for w in b.text.split()]
+
+    def words(start, n):
+        return " ".join(others[(start + i) % len(others)] for i in range(n))
+
+    links = "".join(f'<li><a href="/{i}">{words(i, 2)}</a></li>' for i in range(5))
+    top = [("div", words(0, 2)), ("ul", links)]
+    reply = [("h3", words(3, 2)), *[x for i in range(3) for x in (("span", words(i, 1)), ("p", words(40 + 9 * i, 12 + 7 * i)))]]
+    end = [*reply, ("div", "&copy; " + words(7, 6))]
+    keep = "".join(f'<{"h1" if i == 0 else "p"} data-mark="keep">{html.escape(x)}</{"h1" if i == 0 else "p"}>' for i, x in enumerate(body))
+
+    def made(parts):
+        return "".join(f'<div class="q{k}{i}"><{tag}>{text}</{tag}></div>' for i, (tag, text) in enumerate(parts))
+
+    return f'<html><body><div id="z1">{made(top)}</div><div id="z2">{keep}</div><div id="z3">{made(end)}</div></body></html>'
+
+
+def test_pages_whose_names_say_nothing(pages, model):
+    rows = [r.html for r in pages.orderBy("page_id").collect()]
+    blocks = [html_blocks.blocks_of(marked_page(rows, k)) for k in range(len(rows) - 60, len(rows))]
+    found = np.concatenate(html_blocks.label(model, blocks))
+    wanted = np.array([b.mark == "keep" for page in blocks for b in page])
+    assert 0 < wanted.sum() < len(wanted)
+    # F1 of blocks.
+    assert 2 * (found & wanted).sum() >= 0.9 * (found.sum() + wanted.sum())
