@@ -81,10 +81,13 @@ def codewords(languages: int, seed: int = 0) -> np.ndarray:
         columns = [c for c in itertools.product((1, -1), repeat=languages) if c[0] == 1 and -1 in c]
         return np.array(columns, float).T
     rng, bits = np.random.default_rng(seed), 10 * int(np.ceil(np.log2(languages)))
+    # As many splits as there are, at most; a split and its opposite are one.
+    bits = min(bits, 2 ** (languages - 1) - 1)
     best, distance = None, -1
     for _ in range(200):
-        code = rng.choice([-1.0, 1.0], (languages, bits))
-        code = code[:, np.abs(code.sum(0)) < languages]
+        code = rng.choice([-1.0, 1.0], (languages, 2 * bits))
+        code = np.unique((code * code[0])[:, np.abs(code.sum(0)) < languages], axis=1)
+        code = code[:, rng.permutation(code.shape[1])[:bits]]
         apart = (code.shape[1] - code @ code.T) / 2 + np.eye(languages) * 1e9
         if apart.min() > distance:
             best, distance = code, apart.min()
@@ -143,7 +146,25 @@ def fit(x: np.ndarray, labels: list[str], seed: int = 0, steps: int = 300, rate:
     right = (np.sign(x[check] @ w + b) == codes[y[check]]).mean(0)
     right = np.clip(right, 0.5, 1 - 1 / (2 + check.sum()))
     trust = np.log(right / (1 - right)) + 1e-3
-    return Model(languages, codes, w, b, trust / trust.sum())
+    model = Model(languages, codes, w, b, trust / trust.sum())
+    model.scale = sharpness(model.losses(x[check]), y[check])
+    return model
+
+
+def sharpness(losses: np.ndarray, wanted: np.ndarray) -> float:
+    """Factor of the losses that makes the right languages likeliest.
+
+    One text more is taken for wrong than is, so that the factor stays finite where all are right.
+    """
+    chance, best, least = 1 / (2 + len(wanted)), 1.0, np.inf
+    for scale in np.geomspace(0.1, 1000, 81):
+        z = -scale * losses
+        z = z - z.max(1, keepdims=True)
+        likely = np.exp(z[np.arange(len(z)), wanted]) / np.exp(z).sum(1)
+        cost = -((1 - chance) * np.log(np.maximum(likely, 1e-300)) + chance * np.log(np.maximum(1 - likely, 1e-300))).mean()
+        if cost < least:
+            best, least = float(scale), cost
+    return best
 
 
 def _featured(batches: Iterator[pa.RecordBatch], dimensions: int) -> Iterator[pa.RecordBatch]:

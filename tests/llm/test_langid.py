@@ -31,12 +31,46 @@ def test_without_labels(spark):
 
 
 def test_codewords_differ():
-    for languages in (2, 4, 5, 12, 40):
+    for languages in (2, 4, 5, 6, 12, 40):
         code = langid.codewords(languages)
         assert len({tuple(r) for r in code}) == languages and all(abs(c.sum()) < languages for c in code.T)
+        # A column and its opposite are one split of the languages.
+        assert len({tuple(c * c[0]) for c in code.T}) == code.shape[1]
     assert langid.codewords(4).shape == (4, 7)
 
 
+def test_decoding_by_a_plain_loop():
+    rng = np.random.default_rng(2)
+    labels = [("aa", "bb", "cc")[i % 3] for i in range(240)]
+    x = rng.normal(size=(240, 16)) + 2 * np.array([[i % 3 == k for k in range(16)] for i in range(240)])
+    model = langid.fit(x.astype(np.float32), labels)
+    assert model.scale != 1.0
+    chances = model.probabilities(x)
+    for row, got in zip(x, chances, strict=True):
+        losses = []
+        for code in model.codes:
+            loss = 0.0
+            for bit, sign in enumerate(code):
+                margin = sum(row[k] * model.weights[k, bit] for k in range(16)) + model.bias[bit]
+                loss += model.trust[bit] * np.log1p(np.exp(-sign * margin))
+            losses.append(loss)
+        likely = [np.exp(-model.scale * (v - min(losses))) for v in losses]
+        assert np.allclose(got, np.array(likely) / sum(likely), atol=1e-4)
+    # Scores are near the share of right answers.
+    right = np.mean([model.languages[int(c.argmax())] == v for c, v in zip(chances, labels, strict=True)])
+    assert abs(chances.max(1).mean() - right) < 0.1
+
+
+def test_sharpness_follows_errors():
+    sure = np.array([[0.0, 1.0]] * 90)
+    wanted = np.zeros(90, int)
+    some = wanted.copy()
+    some[:30] = 1
+    assert langid.sharpness(sure, some) < langid.sharpness(sure, wanted) < 1000
+    # A third wrong: a chance of two thirds for the nearer one.
+    assert abs(1 / (1 + np.exp(-langid.sharpness(sure, some))) - 2 / 3) < 0.05
+
+
 def test_features_ignore_what_is_no_letter():
     a, b = langid.features("Ab cd"), langid.features("ab 12 -- CD!")
     assert np.allclose(a, b) and langid.features("...") is None and abs(float((a * a).sum()) - 1) < 1e-5
