@@ -403,6 +403,45 @@ def combine_sources(inputs: Inputs) -> DataFrame:
     return combine.combine_sources(sources, {n: p for n, (p, _) in _SOURCES.items()})
 
 
+# Two sources of order lines, one with IDs that differ in case, labels that are lacking, left over and broken.
+_CHECKED_IMAGES = """SELECT CASE WHEN n % 2 = 0 THEN 'real' ELSE 'made' END AS source,
+  CASE WHEN n % 10 < 6 THEN 'train' WHEN n % 10 < 8 AND n % 2 = 0 THEN 'val' ELSE 'test' END AS split,
+  CASE WHEN l_linenumber = 2 AND l_partkey % 50 = 0 THEN 'Shared_' || CAST(n % 97 AS STRING)
+    WHEN l_linenumber = 3 AND l_partkey % 50 = 0 THEN 'sHARED_' || CAST(n % 97 AS STRING)
+    ELSE CAST(n AS STRING) || '_' || CAST(l_linenumber AS STRING) || '_' || CAST(l_partkey AS STRING) || '_' || CAST(l_suppkey AS STRING)
+  END AS image_id FROM (SELECT *, l_orderkey AS n FROM {lineitem}) AS numbered"""
+_CHECKED_LABELS = """SELECT CASE WHEN n % 2 = 0 THEN 'real' ELSE 'made' END AS source,
+  CASE WHEN n % 10 < 6 THEN 'train' WHEN n % 10 < 8 AND n % 2 = 0 THEN 'val' ELSE 'test' END AS split,
+  CASE WHEN l_partkey % 83 = 0 THEN 'left_over_' ELSE '' END ||
+    CAST(n AS STRING) || '_' || CAST(l_linenumber AS STRING) || '_' || CAST(l_partkey AS STRING) || '_' || CAST(l_suppkey AS STRING) AS image_id,
+  CASE WHEN l_partkey % 11 = 0 THEN '0 0.5 0.5 0.1' WHEN l_partkey % 11 = 3 THEN '1 0.5 0.5 0.1 0.1' ELSE '0 0.5 0.5 0.1 0.1' END AS text
+FROM (SELECT *, l_orderkey AS n FROM {lineitem}) AS numbered"""
+
+
+@query(
+    "combine_report",
+    f"""WITH i AS (SELECT source, split, image_id, count(*) AS n FROM ({_CHECKED_IMAGES}) AS a GROUP BY ALL),
+l AS (SELECT DISTINCT source, split, image_id FROM ({_CHECKED_LABELS}) AS b),
+r AS (SELECT *, row_number() OVER (PARTITION BY source, lower(image_id)
+  ORDER BY CASE split WHEN 'train' THEN 1 WHEN 'val' THEN 2 ELSE 3 END, image_id) AS k FROM i),
+f AS (
+  SELECT 'missing_label' AS rule, source, split FROM i ANTI JOIN l USING (source, split, image_id)
+  UNION ALL SELECT 'orphan_label', source, split FROM l ANTI JOIN i USING (source, split, image_id)
+  UNION ALL SELECT 'repeated_id', source, split FROM r WHERE k > 1 OR n > 1
+  UNION ALL SELECT 'empty_split', a.source, s.split FROM (SELECT DISTINCT source FROM i) AS a,
+    (VALUES ('train'), ('val'), ('test')) AS s(split)
+    WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.source = a.source AND i.split = s.split)
+  UNION ALL SELECT 'field_count', source, split FROM ({_CHECKED_LABELS}) AS b WHERE text = '0 0.5 0.5 0.1'
+  UNION ALL SELECT 'class_not_zero', source, split FROM ({_CHECKED_LABELS}) AS b WHERE text LIKE '1 %')
+SELECT 'error' AS severity, rule, source, split, count(*) AS n FROM f GROUP BY ALL""".replace("{lineitem}", "lineitem"),
+)
+def combine_report(inputs: Inputs) -> DataFrame:
+    images, files = inputs.sql(_CHECKED_IMAGES), inputs.sql(_CHECKED_LABELS)
+    _, broken = labels.parse_labels(files)
+    issues = combine.source_issues(images, files, broken, ["real", "made"])
+    return issues.groupBy("severity", "rule", "source", "split").agg(F.count("*").alias("n"))
+
+
 @query(
     "id_intersect",
     "SELECT doc_id AS image_id FROM documents INTERSECT SELECT doc_id FROM labels",

@@ -351,6 +351,50 @@ def test_combined_version(spark, tmp_path):
         quality.assert_valid(lacking.issues)
 
 
+def test_sources_are_checked_before_combining(spark, tmp_path):
+    shape = "split string, image_id string, object_count int, image_sha string, label_sha string"
+    good = [("train", "a", 1, "1" * 64, "2" * 64), ("val", "b", 0, "3" * 64, "4" * 64), ("test", "c", 1, "5" * 64, "6" * 64)]
+    line = "0 0.5 0.5 0.1 0.1"
+    files = [("train", "a", line), ("val", "b", ""), ("test", "c", line)]
+    kinds = "split string, image_id string, text string"
+
+    def issues(items, texts):
+        one, two = spark.createDataFrame(items, shape), spark.createDataFrame(good, shape)
+        given = {"one": spark.createDataFrame(texts, kinds), "two": spark.createDataFrame(files, kinds)}
+        both = combination.combine_datasets({"one": one, "two": two}, {"one": "x", "two": "y"}, labels=given)
+        return both, sorted((r.rule, r.split, r.image_id, r.line_number) for r in both.issues.collect())
+
+    clean, found = issues(good, files)
+    assert found == [] and combination.publish_combined(clean, f"{tmp_path}/out")[0] == clean.fingerprint.head()[0]
+    wrong = [good[0], ("val", "A", 0, "7" * 64, "8" * 64), ("val", "d", 0, "9" * 64, "0" * 64), ("train", "e", 0, "b" * 64, "c" * 64), ("train", "e", 0, "b" * 64, "c" * 64)]
+    texts = [("train", "a", f"{line}\n\n1 0.5 0.5 0.1 0.1"), ("val", "A", ""), ("train", "e", "0 1"), ("train", "z", "")]
+    checked, found = issues(wrong, texts)
+    # Both items named e have one prefixed ID.
+    rules = [x for x in found if x[0] != "id_collision"]
+    assert rules == [
+        ("class_not_zero", "train", "a", 3), ("empty_split", "test", None, None), ("field_count", "train", "e", 1), ("missing_label", "val", "d", None),
+        ("orphan_label", "train", "z", None), ("repeated_id", "train", "e", None), ("repeated_id", "val", "A", None),
+    ]
+    with pytest.raises(quality.DatasetProblems):
+        combination.publish_combined(checked, f"{tmp_path}/out")
+    one = spark.createDataFrame(good, shape)
+    for trusted in ({"one": "a" * 63}, {"one": "A" * 64}, {"other": "a" * 64}):
+        with pytest.raises(ValueError):
+            combination.combine_datasets({"one": one}, {"one": "x"}, trusted)
+    with pytest.raises(ValueError, match="label files"):
+        combination.combine_datasets({"one": one}, {"one": "x"}, labels={})
+
+
+def test_prints_of_sources_hashed_together_and_alone(spark):
+    rows = [("train", "a", 1, "1" * 64, "2" * 64), ("val", "b", 0, "3" * 64, "4" * 64), ("test", "c", 1, "5" * 64, "6" * 64)]
+    items = spark.createDataFrame(rows, "split string, image_id string, object_count int, image_sha string, label_sha string")
+    other = items.withColumn("label_sha", F.sha2("image_id", 256))
+    own = {n: fingerprint.content_digest(df.withColumn("source", F.lit(n))).head()["digest"] for n, df in (("one", items), ("two", other))}
+    names = {"one": "x", "two": "y"}
+    prints = [combination.combine_datasets({"one": items, "two": other}, names, trusted).fingerprint.head()[0] for trusted in (None, own, {"two": own["two"]})]
+    assert len(set(prints)) == 1
+
+
 def test_options_are_applied_or_refused():
     assert prepare.checked_options({"clip_boxes": False}, False)["clip_boxes"] is False
     for wrong in ({"target_class_id": 1}, {"keep_empty_images": False}, {"colour": 1}):
