@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boxframe.functions.text import OUT_OF_MEMORY_ADVICE, failure_advice, out_of_memory
+from boxframe.functions.text import OUT_OF_MEMORY_ADVICE, failure_advice, out_of_memory, utc_seconds
 from boxframe.operators.ranking import HOT_ROWS, grouped_row_number
 
 # The states of a run and which may follow which. Any run that has not succeeded may resume.
@@ -68,6 +68,50 @@ def resume_gate(runs: DataFrame, datasets: DataFrame, allow_change: bool = False
     return joined.withColumn("refusal", refusal).select("run_id", "status", "refusal")
 
 
+def resume_records(
+    attempts: DataFrame, runs: DataFrame, datasets: DataFrame, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """The record of every attempt to go on with a run from a checkpoint.
+
+    ``attempts`` is ``(run_id, ts, event_id, checkpoint, checkpoint_sha256, allow_dataset_change)``, ``runs``
+    ``(run_id, status, dataset, dataset_fingerprint)``, ``datasets`` ``(dataset, current_fingerprint)``. A checkpoint
+    must be ``weights/last.pt`` in the folder named as its run. Gives ``refusal`` (null where the run may go on),
+    ``seq`` (from 1, among the run's attempts that went on, in time order), both fingerprints and whether they
+    differ, the checkpoint with its hash, and the time in UTC. Attempts are numbered apart from the joins, so that
+    a run with very many of them is spread over the cluster.
+    """
+    folder = F.regexp_extract("checkpoint", r"([^/]+)/weights/last\.pt$", 1)
+    recorded = F.nullif(F.col("dataset_fingerprint"), F.lit(""))
+    changed = F.coalesce(recorded != F.col("current_fingerprint"), F.lit(True))
+    allowed = F.coalesce("allow_dataset_change", F.lit(False))
+    refusal = (
+        F.when(F.coalesce(folder, F.lit("")) == "", "checkpoint_layout")
+        .when(F.col("_known").isNull(), "unknown_run")
+        .when(folder != F.col("run_id").cast("string"), "run_id_mismatch")
+        .when(F.col("status") == "success", "already_successful")
+        .when(recorded.isNull(), "no_fingerprint")
+        .when(changed & ~allowed, "fingerprint_changed")
+    )
+    known = runs.join(datasets, "dataset", "left").select(
+        "run_id", "status", "dataset_fingerprint", "current_fingerprint", F.lit(True).alias("_known")
+    )
+    judged = attempts.join(known, "run_id", "left").select(
+        "run_id",
+        "ts",
+        "event_id",
+        refusal.alias("refusal"),
+        recorded.alias("original_fingerprint"),
+        "current_fingerprint",
+        F.when(recorded.isNotNull(), changed).alias("dataset_changed"),
+        "checkpoint",
+        "checkpoint_sha256",
+        utc_seconds(F.col("ts")).alias("resumed_at_utc"),
+    )
+    accepted = run_history(judged.filter("refusal is null"), hot_rows=hot_rows)
+    refused = judged.filter("refusal is not null").withColumn("seq", F.lit(None).cast(accepted.schema["seq"].dataType))
+    return accepted.unionByName(refused).drop("ts")
+
+
 def verify_artifacts(recorded: DataFrame, found: DataFrame) -> DataFrame:
     """``problem`` per recorded artifact: missing, empty or with another hash.
 

@@ -233,6 +233,39 @@ def resume_gate(inputs: Inputs) -> DataFrame:
     return runs.resume_gate(asked, datasets)
 
 
+_ATTEMPTS = """SELECT user_id AS run_id, ts, event_id,
+  CASE WHEN user_id % 9 = 0 THEN 'elsewhere' ELSE 'runs/' || CAST(user_id AS STRING) END ||
+    CASE event_type WHEN 'click' THEN '/weights/best.pt' ELSE '/weights/last.pt' END AS checkpoint,
+  sha256(event_type) AS checkpoint_sha256, event_id % 3 = 0 AS allow_dataset_change FROM """
+_RECORDED = """SELECT c_custkey AS run_id, CASE WHEN c_custkey % 4 = 0 THEN 'success' ELSE 'failed' END AS status,
+  c_nationkey AS dataset, CASE WHEN c_custkey % 5 = 0 THEN '' WHEN c_custkey % 5 = 1 THEN 'old' ELSE n_name END
+    AS dataset_fingerprint FROM """
+
+
+@query(
+    "resume_records",
+    f"""WITH j AS (SELECT a.*, nullif(r.dataset_fingerprint, '') AS original_fingerprint, n_name AS current_fingerprint,
+  CASE WHEN a.checkpoint LIKE '%best.pt' THEN 'checkpoint_layout' WHEN r.run_id IS NULL THEN 'unknown_run'
+    WHEN a.run_id % 9 = 0 THEN 'run_id_mismatch' WHEN status = 'success' THEN 'already_successful'
+    WHEN r.dataset_fingerprint = '' THEN 'no_fingerprint'
+    WHEN r.dataset_fingerprint <> n_name AND NOT allow_dataset_change THEN 'fingerprint_changed' END AS refusal
+  FROM ({_ATTEMPTS} events) AS a LEFT JOIN
+    ({_RECORDED} customer JOIN nation ON c_nationkey = n_nationkey) AS r ON r.run_id = a.run_id
+    LEFT JOIN nation ON n_nationkey = r.dataset)
+SELECT run_id, event_id, refusal, original_fingerprint, current_fingerprint,
+  original_fingerprint <> current_fingerprint AS dataset_changed, checkpoint, checkpoint_sha256,
+  strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS resumed_at_utc,
+  CASE WHEN refusal IS NULL THEN row_number() OVER (PARTITION BY run_id, refusal IS NULL ORDER BY ts, event_id) END AS seq FROM j""",
+)
+def resume_records(inputs: Inputs) -> DataFrame:
+    attempts = inputs.sql(_ATTEMPTS.replace("sha256(event_type)", "sha2(event_type, 256)") + "{events}")
+    recorded = inputs.sql(_RECORDED + "{customer} JOIN {nation} ON c_nationkey = n_nationkey")
+    datasets = inputs.table("nation").select(
+        F.col("n_nationkey").alias("dataset"), F.col("n_name").alias("current_fingerprint")
+    )
+    return runs.resume_records(attempts, recorded, datasets)
+
+
 @query(
     "artifact_verify",
     """SELECT doc_id AS run_id, 'best' AS name, CASE WHEN l.doc_id IS NULL THEN 'missing'

@@ -1,5 +1,6 @@
 """Frames, latency, quantiles, ranks, runs, text and streams."""
 
+import datetime
 import random
 import statistics
 
@@ -245,6 +246,30 @@ def test_run_gate(spark):
     assert not one(spark, runs.allowed_next(F.lit("success"), F.lit("running")))
 
 
+def test_resume_records(spark):
+    shape = "run_id string, ts timestamp, event_id long, checkpoint string, checkpoint_sha256 string, allow_dataset_change boolean"
+    at = [datetime.datetime(2024, 5, 1, 10, k, tzinfo=datetime.timezone.utc) for k in range(8)]
+    rows = [
+        ("a", at[3], 1, "x/a/weights/last.pt", "s1", False), ("a", at[1], 2, "a/weights/last.pt", "s2", None), ("a", at[2], 3, "x/a/weights/best.pt", "s3", False),
+        ("a", at[4], 4, "x/b/weights/last.pt", "s4", False), ("b", at[0], 5, "x/b/weights/last.pt", "s5", False), ("b", at[1], 6, "x/b/weights/last.pt", "s6", True),
+        ("c", at[0], 7, "x/c/weights/last.pt", "s7", True), ("d", at[0], 8, "x/d/weights/last.pt", "s8", True), ("e", at[0], 9, "x/e/weights/last.pt", "s9", True),
+        ("a", at[5], 10, None, None, None),
+    ]
+    ledger = spark.createDataFrame(
+        [("a", "failed", 1, "f"), ("b", "failed", 1, "old"), ("c", "success", 1, "f"), ("d", "running", 1, "")], "run_id string, status string, dataset int, dataset_fingerprint string"
+    )
+    now = spark.createDataFrame([(1, "f")], "dataset int, current_fingerprint string")
+    attempts = spark.createDataFrame(rows, shape)
+    for hot_rows in (1, 1000):
+        got = {r.event_id: r for r in runs.resume_records(attempts, ledger, now, hot_rows).collect()}
+        assert {k: (r.refusal, r.seq) for k, r in got.items()} == {
+            1: (None, 2), 2: (None, 1), 3: ("checkpoint_layout", None), 4: ("run_id_mismatch", None), 5: ("fingerprint_changed", None), 6: (None, 1),
+            7: ("already_successful", None), 8: ("no_fingerprint", None), 9: ("unknown_run", None), 10: ("checkpoint_layout", None),
+        }
+        assert got[6].dataset_changed and (got[6].original_fingerprint, got[6].current_fingerprint) == ("old", "f") and not got[1].dataset_changed
+        assert got[1].resumed_at_utc == "2024-05-01T10:03:00Z" and got[1].checkpoint_sha256 == "s1"
+
+
 def test_metrics_document(spark, tmp_path):
     gt = spark.createDataFrame([("a", 0, 0.1, 0.1, 0.3, 0.3, 0)], "image_id string, gt_idx int, x1 double, y1 double, x2 double, y2 double, class_id int")
     pred = gt.withColumnRenamed("gt_idx", "pred_idx").withColumn("confidence", F.lit(0.8))
