@@ -1,5 +1,8 @@
+import random
+
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from boxframe.llm import token_files
@@ -16,8 +19,22 @@ def test_words_joined_equal_whole_texts():
     for kind in ("<u2", "<u4"):
         encoder = token_files.WordEncoder(PATH, kind)
         for _ in range(2):
-            got = [np.frombuffer(x, kind).tolist() for x in encoder.batch(texts)]
-            assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+            ids, sizes = encoder.batch(pa.array(texts))
+            got = [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+            assert ids.dtype == np.dtype(kind) and got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_forgetting_words_and_end_ids(monkeypatch):
+    monkeypatch.setattr(token_files, "MEMO", 50)
+    plain, rng = Tokenizer.from_file(PATH), random.Random(3)
+    encoder = token_files.WordEncoder(PATH, "<u4", 2)
+    for _ in range(20):
+        texts = ["".join(rng.choice("ab \n\té") for _ in range(rng.randint(0, 40))) for _ in range(30)]
+        ids, sizes = encoder.batch(pa.array(["unused", *texts]).slice(1))
+        want = [[*plain.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+        assert sizes.tolist() == [len(x) for x in want] and ids.tolist() == sum(want, [])
+    ids, sizes = encoder.batch(pa.array([], pa.string()))
+    assert len(ids) == len(sizes) == 0
 
 
 def test_files_round_trip(spark):
