@@ -26,7 +26,7 @@ REACH = 3
 MIN_ROWS = 100
 
 #: Integer measures, with the least spread that a fence assumes (a group may hold one value only).
-SPREADS = {"length_x100": 100, "symbols_per_100": 20, "dup_line_percent": 15, "repeat_percent": 7}
+SPREADS = {"length_x100": 50, "symbols_per_100": 2, "dup_line_percent": 15, "repeat_percent": 7}
 #: Both tails of the word length are suspicious; of the others only the upper one.
 LOWER = ("length_x100",)
 

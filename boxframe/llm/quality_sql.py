@@ -42,9 +42,9 @@ WITH cut AS (
   GROUP BY ALL
 ), fences AS (
   SELECT level, lang, source, max(n) AS n,
-    max(CASE measure WHEN 'length_x100' THEN q1 - 3 * greatest(q3 - q1, 100) END) AS length_min,
-    max(CASE measure WHEN 'length_x100' THEN q3 + 3 * greatest(q3 - q1, 100) END) AS length_max,
-    max(CASE measure WHEN 'symbols_per_100' THEN q3 + 3 * greatest(q3 - q1, 20) END) AS symbols_max,
+    max(CASE measure WHEN 'length_x100' THEN q1 - 3 * greatest(q3 - q1, 50) END) AS length_min,
+    max(CASE measure WHEN 'length_x100' THEN q3 + 3 * greatest(q3 - q1, 50) END) AS length_max,
+    max(CASE measure WHEN 'symbols_per_100' THEN q3 + 3 * greatest(q3 - q1, 2) END) AS symbols_max,
     max(CASE measure WHEN 'dup_line_percent' THEN q3 + 3 * greatest(q3 - q1, 15) END) AS dup_max,
     max(CASE measure WHEN 'repeat_percent' THEN q3 + 3 * greatest(q3 - q1, 7) END) AS repeat_max
   FROM quartiles GROUP BY level, lang, source

@@ -54,6 +54,18 @@ def test_fences_follow_their_group(spark):
     assert 5000 not in ids and 5001 not in ids and len(ids) == 600
 
 
+def test_moderate_junk_in_a_clean_group(spark):
+    def text(i, word="w{i}x{j}"):
+        return " ".join(word.format(i=i, j=j) for j in range(30))
+
+    rows = [(i, text(i), "en", "clean", "b", 1) for i in range(200)]
+    # A table that lost its lines, words cut into letters, and words run together; one symbol in 30 words is no junk.
+    rows += [(900, " | ".join(f"w9x{j}" for j in range(30)), "en", "clean", "b", 1), (901, text(1, "{j}"), "en", "clean", "b", 1)]
+    rows += [(902, text(2, "w{i}x{j}runtogether"), "en", "clean", "b", 1), (903, text(3) + "#", "en", "clean", "b", 1)]
+    ids = {r.doc_id for r in quality.keep_good(spark.createDataFrame(rows, SHAPE)).collect()}
+    assert ids == {*range(200), 903}
+
+
 def test_small_groups_use_wider_sketches(spark):
     rows = [(i, " ".join(f"w{i}x{j}" for j in range(30)), "en", f"s{i % 50}", "b", 1) for i in range(200)]
     rows += [(999, " ".join(f"w{j}###" for j in range(30)), "fr", "s999", "b", 1)]
