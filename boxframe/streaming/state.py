@@ -1,4 +1,4 @@
-"""Stateful operators of frame streams: running totals and runs that end, a state for each video.
+"""Stateful operators of frame streams: running totals with a state for each video, runs that end with one for a share of them.
 
 The state lives in Spark's state store (RocksDB) and comes back after a restart. Timers of the store close runs, so
 no marker has to follow the input.
@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -110,104 +111,193 @@ def merged_totals(totals: DataFrame, q: float = 0.95, name: str = "p95_inference
     return numbers.join(sketched, F.col("video_name").eqNullSafe(F.col("_video"))).drop("_video")
 
 
-def merge_runs(runs: list[tuple], gap: int) -> list[tuple]:
-    """Runs (in the order of ``RUN``) with less than ``gap`` between them become one."""
-    out: list[list] = []
-    for run in sorted(runs, key=lambda r: (r[0], r[1])):
-        if out and run[0] - out[-1][1] < gap:
-            now = out[-1]
-            errors = [(r[4], r[5]) for r in (now, run) if r[4] is not None]
-            first = min(errors) if errors else (None, None)
-            out[-1] = [now[0], max(now[1], run[1]), now[2] + run[2], now[3] or run[3], *first]
-        else:
-            out.append(list(run))
-    return [tuple(run) for run in out]
+#: Stands for "no error" where times of errors are compared.
+_NEVER = np.iinfo(np.int64).max
+#: Frames that are gathered before they are put to the runs of their share.
+_FRAMES = 100_000
+_HELD = ["video_name", *[c.split()[0] for c in RUN.split(", ")], "seen"]
+
+
+_PACKED = pa.schema(
+    [("video_name", pa.string()), ("start", pa.int64()), ("last", pa.int64()), ("frames", pa.int64()), ("ended", pa.bool_())]
+    + [("error_at", pa.int64()), ("error", pa.string()), ("seen", pa.int64())]
+)
+
+
+def _packed(held: pd.DataFrame) -> bytes:
+    """Runs as one value of the state; a value for each run costs more than all the rest."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, _PACKED) as stream:
+        stream.write_batch(pa.RecordBatch.from_pandas(held, _PACKED, preserve_index=False))
+    return sink.getvalue().to_pybytes()
+
 
+def _unpacked(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all()
 
-def _runs_of(part: pd.DataFrame, gap: int) -> list[tuple]:
-    part = part.sort_values("at", kind="stable")
+
+def _held(rows: list[tuple]) -> pd.DataFrame:
+    """Runs in the order of ``_HELD`` as a frame of plain arrays."""
+    video, start, last, frames, ended, error_at, error, seen = zip(*rows) if rows else [()] * len(_HELD)
+    times = [_NEVER if t is None else t for t in error_at]
+    numbers = {"start": start, "last": last, "frames": frames, "error_at": times, "seen": seen}
+    held = {n: np.array(v, np.int64) for n, v in numbers.items()} | {"ended": np.array(ended, bool)}
+    return pd.DataFrame(held | {"video_name": np.array(video, object), "error": np.array(error, object)})[_HELD]
+
+
+def _rows(held: pd.DataFrame) -> list[tuple]:
+    """The runs of a frame in the order of ``_HELD``."""
+    columns = {n: held[n].tolist() for n in _HELD}
+    columns["error_at"] = [None if t == _NEVER else t for t in columns["error_at"]]
+    return list(zip(*columns.values()))
+
+
+def _points(part: pd.DataFrame, seen: int) -> pd.DataFrame:
+    """Each frame as a run of its own."""
     at = part["at"].to_numpy(np.int64)
-    ended = part["is_end"].fillna(False).to_numpy(bool)
     errors = part["error"].to_numpy(object)
-    cuts = [0, *(np.flatnonzero(np.diff(at) >= gap) + 1).tolist(), len(at)]
-    out = []
-    for a, b in zip(cuts, cuts[1:]):
-        bad = [(int(at[i]), errors[i]) for i in range(a, b) if isinstance(errors[i], str)]
-        out.append((int(at[a]), int(at[b - 1]), b - a, bool(ended[a:b].any()), *(min(bad) if bad else (None, None))))
-    return out
+    bad = part["error"].notna().to_numpy()
+    return pd.DataFrame(
+        {
+            "video_name": part["video_name"].to_numpy(object),
+            "start": at,
+            "last": at,
+            "frames": np.ones(len(at), np.int64),
+            "ended": part["is_end"].eq(True).fillna(False).to_numpy(bool),
+            "error_at": np.where(bad, at, _NEVER),
+            "error": np.where(bad, errors, None),
+            "seen": np.full(len(at), seen, np.int64),
+        }
+    )
+
+
+def _merged(held: pd.DataFrame, gap: int) -> pd.DataFrame:
+    """Runs of a video with less than ``gap`` between them become one, for many videos at once."""
+    if held.empty:
+        return held
+    video = pd.factorize(held["video_name"], use_na_sentinel=False)[0]
+    order = np.lexsort((held["last"].to_numpy(), held["start"].to_numpy(), video))
+    held, video = held.iloc[order], video[order]
+    values = {n: held[n].to_numpy() for n in _HELD}
+    latest = held["last"].groupby(video).cummax().to_numpy()
+    first = np.ones(len(held), bool)
+    first[1:] = (video[1:] != video[:-1]) | (values["start"][1:] - latest[:-1] >= gap)
+    at = np.flatnonzero(first)
+    error_at = np.minimum.reduceat(values["error_at"], at)
+    # Of the errors at a run's first time of one, the least text.
+    run = np.cumsum(first) - 1
+    bad = np.flatnonzero((values["error_at"] < _NEVER) & (values["error_at"] == error_at[run]))
+    error = np.full(len(at), None, object)
+    texts = pd.Series(values["error"][bad], dtype=object).groupby(run[bad]).min()
+    error[texts.index.to_numpy(int)] = texts.to_numpy(object)
+    return pd.DataFrame(
+        {
+            "video_name": values["video_name"][at],
+            "start": values["start"][at],
+            "last": np.maximum.reduceat(values["last"], at),
+            "frames": np.add.reduceat(values["frames"], at),
+            "ended": np.logical_or.reduceat(values["ended"], at),
+            "error_at": error_at,
+            "error": error,
+            "seen": np.maximum.reduceat(values["seen"], at),
+        }
+    )
+
+
+def merge_runs(runs: list[tuple], gap: int) -> list[tuple]:
+    """Runs (in the order of ``RUN``) of one video with less than ``gap`` between them become one."""
+    return [run[1:-1] for run in _rows(_merged(_held([(None, *run, 0) for run in runs]), gap))]
 
 
 class _Runs(StatefulProcessor):
-    """Open runs of a video. A timer of event time closes a run its gap after the last frame; one of processing time
-    closes all once nothing has come for ``idle``."""
+    """Open runs of a share of the videos. A timer of event time closes runs their gap after the last frame; one of
+    processing time closes all of a video once nothing of it has come for ``idle``. A share has one timer, for its
+    first run to close, and is gone through at once, so that calls are as many as shares and not as runs."""
 
     def __init__(self, gap: int, idle: int | None):
         self.gap, self.idle = gap, idle
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.runs = handle.getListState("runs", RUN)
+        self.runs = handle.getValueState("runs", "packed binary")
+
+    def _known(self) -> pd.DataFrame:
+        held = self.runs.get()
+        return _held([]) if held is None else _unpacked(bytes(held[0])).to_pandas()
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known = [tuple(r) for r in self.runs.get()] if self.runs.exists() else []
+        known, waiting, n = self._known(), [], 0
+        now = 0 if self.idle is None else timerValues.getCurrentProcessingTimeInMs()
         for part in rows:
-            known = merge_runs(known + _runs_of(part, self.gap), self.gap)
-        self.runs.put(known)
-        self._set_timers(known, timerValues)
-        yield _closed(key[0], [])
+            waiting.append(_points(part, now))
+            n += len(part)
+            if n >= max(_FRAMES, len(known)):
+                known, waiting, n = _merged(pd.concat([known, *waiting]), self.gap), [], 0
+        known = _merged(pd.concat([known, *waiting]), self.gap)
+        if self.idle is not None:
+            known["seen"] = known.groupby("video_name", dropna=False)["seen"].transform("max")
+        self.runs.update((_packed(known),))
+        for old in list(self.handle.listTimers()):
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer(int(self._over_at(known).min()))
+        yield _closed(known[:0])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        known = [tuple(r) for r in self.runs.get()] if self.runs.exists() else []
-        over = known
-        if self.idle is None:
-            now = timerValues.getCurrentWatermarkInMs() * 1000
-            over = [r for r in known if r[1] + self.gap <= now]
-        left = [r for r in known if r not in over]
-        if left:
-            self.runs.put(left)
+        known = self._known()
+        now = timerValues.getCurrentWatermarkInMs() if self.idle is None else timerValues.getCurrentProcessingTimeInMs()
+        over_at = self._over_at(known)
+        left = known[over_at > now]
+        if len(left):
+            self.runs.update((_packed(left),))
+            self.handle.registerTimer(int(over_at[over_at > now].min()))
         else:
             self.runs.clear()
-        yield _closed(key[0], over)
+        yield _closed(known[over_at <= now])
 
-    def _set_timers(self, known: list[tuple], timerValues) -> None:
-        for old in list(self.handle.listTimers()):
-            self.handle.deleteTimer(old)
+    def _over_at(self, known: pd.DataFrame) -> np.ndarray:
+        """The first whole millisecond at or after the end of each run."""
         if self.idle is not None:
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle)
-            return
-        for run in known:
-            # The first whole millisecond at or after the end.
-            self.handle.registerTimer(-(-(run[1] + self.gap) // 1000))
+            return known["seen"].to_numpy() + self.idle
+        return -(-(known["last"].to_numpy() + self.gap) // 1000)
 
     def close(self) -> None:
         pass
 
 
-def _closed(video: object, runs: list[tuple]) -> pd.DataFrame:
-    rows = [[video, *run] for run in runs]
-    return pd.DataFrame(rows, columns=["video_name", *[c.split()[0] for c in RUN.split(", ")]]).astype({"start": "Int64", "last": "Int64", "frames": "Int64", "error_at": "Int64"})
+def _closed(held: pd.DataFrame) -> pd.DataFrame:
+    out = held.drop(columns="seen")
+    return out.assign(error_at=out["error_at"].astype("Int64").mask(out["error_at"] == _NEVER))
 
 
-def stream_runs(frames: DataFrame, gap: str, delay: str = "10 minutes", idle: str | None = None) -> DataFrame:
+def stream_runs(frames: DataFrame, gap: str, delay: str = "10 minutes", idle: str | None = None, shares: int = 256) -> DataFrame:
     """Runs of a video that have ended, for append mode.
 
     Input ``(video_name, ts, is_end, error)``; rows without a time are not part of a run and go. A run ends ``gap``
     after its last frame in event time, when the watermark (``delay`` behind the latest frame) has passed that. With
     ``idle`` it ends when no frame of the video has come for so long on the clock. :func:`describe_runs` says how.
+    The open runs of the videos of one of ``shares`` are held together; a checkpoint keeps to its number of shares.
     """
     spark = frames.sparkSession
     use_state_store(spark)
     micros = _micros(spark, gap)
     timed = frames.filter("ts is not null")
     timed = timed.withWatermark("ts", delay) if idle is None else timed
-    slim = timed.select("video_name", "ts", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), "is_end", "error")
-    kind = slim.schema["video_name"].dataType.simpleString()
-    return slim.groupBy("video_name").transformWithStateInPandas(
+    kind = frames.schema["video_name"].dataType.simpleString()
+    slim = timed.select(
+        F.pmod(F.xxhash64("video_name"), F.lit(shares)).cast("int").alias("share"),
+        F.col("video_name").cast("string").alias("video_name"),
+        "ts",
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("at"),
+        "is_end",
+        "error",
+    )
+    runs = slim.groupBy("share").transformWithStateInPandas(
         statefulProcessor=_Runs(micros, None if idle is None else _micros(spark, idle) // 1000),
-        outputStructType=f"video_name {kind}, {RUN}",
+        outputStructType=f"video_name string, {RUN}",
         outputMode="Append",
         timeMode="EventTime" if idle is None else "ProcessingTime",
     )
+    return runs.withColumn("video_name", F.col("video_name").cast(kind))
 
 
 def _micros(spark: SparkSession, length: str) -> int:
@@ -240,5 +330,12 @@ def open_runs(spark: SparkSession, checkpoint: str, kind: str = "string") -> Dat
     again.
     """
     held = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "runs").load()
-    run = F.col("list_element")
-    return held.select(F.col("key.video_name").cast(kind).alias("video_name"), *[run[c.split()[0]].alias(c.split()[0]) for c in RUN.split(", ")])
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column(0).to_pylist():
+                yield from _unpacked(data).to_batches()
+
+    runs = held.select(F.col("value.packed")).mapInArrow(unpack, f"video_name string, {RUN}, seen bigint").drop("seen")
+    error_at = F.nullif(F.col("error_at"), F.lit(int(_NEVER)))
+    return runs.withColumns({"video_name": F.col("video_name").cast(kind), "error_at": error_at})

@@ -3,6 +3,7 @@
 import time
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +118,49 @@ def test_files_follow_their_times(spark, tmp_path):
 def test_merge_runs():
     runs = [(0, 5, 2, False, None, None), (12, 12, 1, True, 12, "x"), (7, 8, 1, False, 7, "y"), (30, 30, 1, False, None, None)]
     assert state.merge_runs(runs, 5) == [(0, 12, 4, True, 7, "y"), (30, 30, 1, False, None, None)]
+
+
+def test_many_runs_need_calls_by_shares_only():
+    class Timers(list):
+        listTimers = property(lambda self: lambda: list(self))
+        registerTimer, deleteTimer = list.append, list.remove
+
+    class Held:
+        value = None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    class Clock:
+        def getCurrentWatermarkInMs(self):
+            return 100
+
+    processor = state._Runs(5_000, None)
+    processor.handle, processor.runs = Timers(), Held()
+    rng = np.random.default_rng(3)
+    rows = [(f"v{rng.integers(40)}" if i % 50 else None, int(rng.integers(200_000)), bool(rng.integers(9) == 0), f"E{rng.integers(3)}" if rng.integers(8) == 0 else None) for i in range(900)]
+    parts = [pd.DataFrame(rows[i : i + 300], columns=["video_name", "at", "is_end", "error"]) for i in (0, 300, 600)]
+    for part in parts:
+        list(processor.handleInputRows((0,), iter([part[:100], part[100:]]), Clock()))
+        assert len(processor.handle) == 1
+
+    want = []
+    for video in {r[0] for r in rows}:
+        own, runs = sorted((r for r in rows if r[0] == video), key=lambda r: r[1]), []
+        for row in own:
+            if runs and row[1] - runs[-1][-1][1] < 5_000:
+                runs[-1].append(row)
+            else:
+                runs.append([row])
+        for run in runs:
+            bad = min(((r[1], r[3]) for r in run if r[3]), default=(None, None))
+            want.append((video, run[0][1], run[-1][1], len(run), any(r[2] for r in run), *bad))
+    held = state._rows(processor._known())
+    assert sorted(r[:-1] for r in held if r[0]) == sorted(w for w in want if w[0])
+    assert sorted(r[1:-1] for r in held if r[0] is None) == sorted(w[1:] for w in want if w[0] is None)
+    (closed,) = processor.handleExpiredTimer((0,), Clock(), None)
+    assert len(closed) == sum(w[2] + 5_000 <= 100_000 for w in want) > 0
+    assert len(processor._known()) == len(want) - len(closed) and processor.handle[-1] > 100
