@@ -169,19 +169,21 @@ def validation_issues(
     manifest: DataFrame | None = None,
     fingerprint: DataFrame | None = None,
     files: DataFrame | None = None,
+    unlabelled: bool = False,
 ) -> DataFrame:
     """All checks of a prepared dataset as one table of issues.
 
     ``images`` and ``labels`` are ``(split, image_id)``; ``line_issues`` comes from the label
     parser; ``image_errors`` from the header reader (``split, image_id, error``); ``contents`` is
-    ``(split, image_id, digest)`` for the optional leak check, in which images without a label don't count;
+    ``(split, image_id, digest)`` for the optional leak check, in which images without a label count only if ``unlabelled``;
     ``files`` is ``(split, path)`` for the check of stems that occur twice; ``manifest`` is the result of
     ``manifest_reconcile``; ``fingerprint`` one row ``(dataset_fingerprint)``.
     """
     found = [issue_rows(keyed_issues(images, labels, image_errors), "error"), issue_rows(line_issues, "error")]
     if contents is not None:
-        labelled = contents.join(labels.select("split", "image_id").distinct(), ["split", "image_id"], "left_semi")
-        found.append(issue_rows(content_leak(labelled), "error", "content_in_two_splits"))
+        if not unlabelled:
+            contents = contents.join(labels.select("split", "image_id").distinct(), ["split", "image_id"], "left_semi")
+        found.append(issue_rows(content_leak(contents), "error", "content_in_two_splits"))
     if files is not None:
         repeated = duplicate_stems(files).select("split", F.col("stem_key").alias("image_id"))
         found.append(issue_rows(repeated, "error", "repeated_stem"))

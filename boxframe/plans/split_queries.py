@@ -481,8 +481,7 @@ p AS (SELECT CASE WHEN l.image_id IS NULL THEN 'missing_label' ELSE 'orphan_labe
 o AS (SELECT 'split_overlap' AS rule FROM images a JOIN images b
   ON a.image_id = b.image_id AND a.split < b.split),
 d AS (SELECT image_id, split, sha256(text) AS digest,
-  CASE split WHEN 'train' THEN 1 WHEN 'val' THEN 2 ELSE 3 END AS o FROM fx_items f
-  WHERE EXISTS (SELECT 1 FROM l WHERE l.split = f.split AND l.image_id = f.image_id)),
+  CASE split WHEN 'train' THEN 1 WHEN 'val' THEN 2 ELSE 3 END AS o FROM fx_items),
 c AS (SELECT 'content_in_two_splits' AS rule FROM d
   WHERE o > (SELECT min(o) FROM d e WHERE e.digest = d.digest)),
 t AS (SELECT unnest(string_split(text, chr(10))) AS line FROM fx_label_files),
@@ -507,7 +506,7 @@ def validation_report(inputs: Inputs) -> DataFrame:
     _, line_issues = labels.parse_labels(inputs.view("fx_label_files"))
     contents = _items(inputs).select("image_id", "split", F.sha2("text", 256).alias("digest"))
     issues = quality.validation_issues(
-        _shared(inputs), inputs.sql(_LABELLED + "{labels}"), line_issues, contents=contents
+        _shared(inputs), inputs.sql(_LABELLED + "{labels}"), line_issues, contents=contents, unlabelled=True
     )
     return issues.groupBy("severity", "rule").agg(F.count("*").alias("n"))
 

@@ -426,3 +426,15 @@ def test_every_kind_of_white_space_is_stripped(spark):
     blanks = [c for c in map(chr, range(0x3001)) if c.isspace()]
     rows = spark.createDataFrame([(f"{c}x{c}",) for c in blanks], "t string")
     assert {r[0] for r in rows.select(strip(F.col("t"))).collect()} == {"x"}
+
+
+def test_leaks_of_unlabelled_images_are_found(spark):
+    images = spark.createDataFrame([("train", "a"), ("val", "c")], "split string, image_id string")
+    contents = spark.createDataFrame([("train", "a", "1"), ("val", "c", "1")], "split string, image_id string, digest string")
+    lines = spark.createDataFrame([], "split string, image_id string, line_number int, rule string")
+    issues = quality.validation_issues(images, images.filter("image_id = 'a'"), lines, contents=contents, unlabelled=True)
+    assert [(r.split, r.image_id) for r in issues.filter("rule = 'content_in_two_splits'").collect()] == [("val", "c")]
+    from boxframe.plans.catalog import ORACLES
+
+    # The query's check counts them, too.
+    assert "EXISTS" not in ORACLES["validation_report"]
