@@ -159,4 +159,6 @@ def write_named_texts(texts: DataFrame, folder: str) -> None:
     """A file for each ``(name, text)``, also for an empty text. Names are paths below the folder, each once."""
     texts.sparkSession.dataSource.register(ListedFiles)
     slim = texts.select(F.col("name").cast("string"), F.col("text").cast("string"))
+    # Making a file costs more than its bytes, so tasks get even numbers of files, however few blocks the input has.
+    slim = slim.repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "name")
     slim.write.format(ListedFiles.name()).mode("append").option("path", folder).option("kind", "named").save()

@@ -18,13 +18,14 @@ from pyspark.sql.types import StructType
 
 from boxframe.schemas import IMAGE_EXTENSIONS
 from boxframe.sources.images import header_size
-from boxframe.sources.stores import RangeBytes, listed, open_store
+from boxframe.sources.stores import RangeBytes, folders_in, listed, open_store
 
 #: Bytes of a partition, and what opening a file counts for, unless options say otherwise.
 PARTITION_BYTES, OPEN_COST = 64 << 20, 64 << 10
 #: Bytes of text after which a batch is handed on.
 BATCH_BYTES = 8 << 20
 TEXT_FILES = "path string, size bigint, text string"
+_TEXT_FILES = StructType().add("path", "string").add("size", "long").add("text", "string")
 IMAGE_SIZES = "path string, size bigint, width int, height int, error string, bytes_read bigint"
 
 
@@ -136,6 +137,24 @@ def read_text_files(spark: SparkSession, path: str, suffixes: str = "", columns:
     return spark.read.format(TextFiles.name()).options(suffixes=suffixes, **options).schema(columns).load(path)
 
 
+def read_text_folders(spark: SparkSession, path: str, suffixes: str = "") -> DataFrame:
+    """``path``, ``size`` and ``text`` of the files in the folders of a folder, for very many files.
+
+    The driver sees the folders only; a task lists and reads one of them.
+    """
+    folders = [(f,) for f in folders_in(path)]
+    wanted = tuple(s for s in suffixes.split(",") if s)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = _TextReader({"path": path}, _TEXT_FILES, wanted)
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                yield from reader.read(_Files(listed(f"{path.rstrip('/')}/{folder}", wanted, False)))
+
+    named = spark.createDataFrame(folders, "folder string").repartition(max(1, len(folders)))
+    return named.mapInArrow(read, TEXT_FILES)
+
+
 def read_image_sizes(spark: SparkSession, path: str, columns: str = IMAGE_SIZES, **options: object) -> DataFrame:
     """``path``, ``size``, ``width``, ``height`` and ``error`` of image files below a folder.
 

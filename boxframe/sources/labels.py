@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from boxframe.functions.boxes import LABEL_SLACK, all_finite, box_problem, center_to_corners
 from boxframe.functions.text import stem_of, strip
+from boxframe.operators.checkpoints import cut_lineage
 from boxframe.operators.ranking import HOT_ROWS, grouped_row_number
-from boxframe.sources.file_source import read_text_files
+from boxframe.sources.file_source import read_text_files, read_text_folders
 
 _FIELDS = ("x_center", "y_center", "box_width", "box_height")
 
@@ -22,6 +23,31 @@ def read_label_files(spark: SparkSession, path: str, **options: object) -> DataF
     return files.select(F.col("path").alias("label_path"), stem_of(F.col("path")).alias("image_id"), "text")
 
 
+def read_label_folders(spark: SparkSession, path: str) -> DataFrame:
+    """As :func:`read_label_files`, for the folders in a folder, which are listed by tasks."""
+    files = read_text_folders(spark, path, ".txt")
+    return files.select(F.col("path").alias("label_path"), stem_of(F.col("path")).alias("image_id"), "text")
+
+
+def file_reports(files: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(image_id, n_lines, rules)`` of every label file, an empty one too; ``rules`` are those broken, last name first.
+
+    The texts are written down first, so that files are read once; one aggregate then counts lines and rules.
+    """
+    texts = cut_lineage(files.select("image_id", text_col))
+    lines = label_lines(texts, text_col)
+    nothing = F.lit(None).cast("string").alias("rule")
+    rows = (
+        texts.select("image_id", F.lit(0).alias("n"), nothing)
+        .unionByName(lines.select("image_id", F.lit(1).alias("n"), nothing))
+        .unionByName(label_issues(lines).select("image_id", F.lit(0).alias("n"), "rule"))
+    )
+    rules = F.sort_array(F.collect_set("rule"), False)
+    return rows.groupBy("image_id").agg(
+        F.sum("n").cast("int").alias("n_lines"), F.when(F.size(rules) > 0, F.array_join(rules, ",")).alias("rules")
+    )
+
+
 def label_lines(files: DataFrame, text_col: str = "text") -> DataFrame:
     """One row per non-blank line with its 1-based number and typed fields.
 

@@ -24,6 +24,13 @@ def listed(path: str, suffixes: tuple[str, ...] = (), recursive: bool = True) ->
     return sorted((p, n) for p, n in names if not suffixes or p.lower().endswith(suffixes))
 
 
+def folders_in(path: str) -> list[str]:
+    """Names of the folders in a folder, in order; hidden ones (``_``, ``.``) are left out."""
+    store, inner = open_store(path)
+    found = store.get_file_info(fs.FileSelector(inner))
+    return sorted(f.base_name for f in found if f.type == fs.FileType.Directory and not f.base_name.startswith(("_", ".")))
+
+
 class RangeBytes:
     """A file that can be cut like ``bytes`` but reads only what is asked for, in blocks."""
 

@@ -164,3 +164,16 @@ def test_a_changed_version_is_not_reused(spark, tmp_path):
     for file in Path(second["notes"]).glob("*.parquet"):
         file.unlink()
     assert sinks.verify_published(spark, root, "v") == ["notes"]
+
+
+def test_folders_are_listed_and_read_once_by_tasks(spark, tmp_path):
+    rows = [(f"{i % 3}/{i}.txt", "" if i % 4 == 0 else "0 0.5 0.5 0.1 0.1\n1 0.5 0.5 0.1") for i in range(30)] + [("0/note.md", "x")]
+    file_sink.write_named_texts(spark.createDataFrame(rows, "name string, text string").coalesce(1), str(tmp_path))
+    # A task for each folder.
+    files = labels.read_label_folders(spark, f"file://{tmp_path}")
+    assert files.rdd.getNumPartitions() == 3 and {r.image_id for r in files.collect()} == {str(i) for i in range(30)}
+    reads = tmp_path / "0" / "0.txt"
+    reports = labels.file_reports(files)
+    reads.unlink()
+    # Read by then: later passes go over the written texts.
+    assert {r.image_id: (r.n_lines, r.rules) for r in reports.collect()} == {str(i): (0, None) if i % 4 == 0 else (2, "field_count") for i in range(30)}
