@@ -18,17 +18,37 @@ from boxframe.operators.checkpoints import cut_lineage
 HOT_ROWS = 1_000_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows; never more than ``rows / hot_rows`` of them."""
-    return df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).drop("_n")
+#: Groups are first counted by this many hash values of their keys.
+_HASHES = 1 << 16
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, rows: Column | None = None) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows, or None; never more than ``rows / hot_rows`` of them.
+
+    Rows are counted by a hash of the keys first, which sends at most 65,536 counts a task. Only rows whose hash has
+    that many are counted by the keys themselves. ``rows`` is what a row of ``df`` counts for, if not one.
+    """
+    count = F.sum(F.lit(1) if rows is None else rows)
+    hashed = F.pmod(F.xxhash64(*keys), F.lit(_HASHES)).alias("_hash")
+    counted = df.select("*", hashed)
+    full = cut_lineage(counted.groupBy("_hash").agg(count.alias("_n")).filter(F.col("_n") > hot_rows).select("_hash"))
+    if full.isEmpty():
+        return None
+    within = counted.join(full, "_hash", "left_semi")
+    hot = cut_lineage(within.groupBy(*keys).agg(count.alias("_n")).filter(F.col("_n") > hot_rows).drop("_n"))
+    return None if hot.isEmpty() else hot
 
 
 def split_hot(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, sized: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of ordinary groups, and rows of large groups or None when there is no large group."""
-    hot = cut_lineage(hot_keys(df, keys, hot_rows))
-    if hot.isEmpty():
+    """Rows of ordinary groups, and rows of large groups or None when there is no large group.
+
+    ``sized`` has the keys and in ``_rows`` numbers that add up to at least the rows of each group; without it the
+    rows are counted.
+    """
+    hot = hot_keys(df, keys, hot_rows) if sized is None else hot_keys(sized, keys, hot_rows, F.col("_rows"))
+    if hot is None:
         return df, None
     return df.join(hot, list(keys), "left_anti"), df.join(hot, list(keys), "left_semi")
 
@@ -68,13 +88,14 @@ def grouped_row_number(
     levels: Sequence[Column],
     out: str = "row_number",
     hot_rows: int = HOT_ROWS,
+    sized: DataFrame | None = None,
 ) -> DataFrame:
-    """``row_number`` within ``keys``.
+    """``row_number`` within ``keys``; ``sized`` as for :func:`split_hot`.
 
     ``levels`` are expressions that never decrease along ``order``: the first over the whole group,
     each further one among rows that agree on those before it. They cut large groups into buckets.
     """
-    normal, hot = split_hot(df, keys, hot_rows)
+    normal, hot = split_hot(df, keys, hot_rows, sized)
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     ranked = normal.withColumn(out, place.cast("bigint"))
     if hot is None:

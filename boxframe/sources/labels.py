@@ -142,24 +142,30 @@ def ground_truth(
     says so in ``problem``; an image of the split without a label file has one row, ``missing_label``,
     and one with an empty file none.
     """
-    wanted = images.filter(F.col("split") == split).select("image_id")
-    own = files.join(wanted, "image_id", "left_semi").select("image_id", text_col)
-    boxes = strict_boxes(label_lines(own, text_col))
+    wanted = images.filter(F.col("split") == split).groupBy("image_id").agg(F.count("*").alias("_images"))
+    # One join says which images have a file and which have none, and deals lines out by image for their numbers.
+    texts = files.select("image_id", text_col, F.lit(True).alias("_file"))
+    joined = wanted.join(texts, "image_id", "left")
+    boxes = strict_boxes(label_lines(joined.filter("_file").select("image_id", text_col), text_col))
     corners = ("x1", "y1", "x2", "y2")
     # Two files of one image repeat line numbers; what the lines say orders those.
     order = [F.asc(c) for c in ("line_number", *corners, "class_id", "problem")]
+    # Ends of lines say which images may have very many, so lines need not be parsed to find those.
+    text = F.col(text_col)
+    ends = F.coalesce(F.length(text) - F.length(F.translate(text, "\n\r", "")) + 1, F.lit(0)).cast("bigint")
     numbered = grouped_row_number(
-        boxes, ["image_id"], order, [F.floor(F.col("line_number") / 65536)], "_n", hot_rows
+        boxes, ["image_id"], order, [F.floor(F.col("line_number") / 65536)], "_n", hot_rows, files.select("image_id", ends.alias("_rows"))
     )
     rows = numbered.select(
         "image_id", (F.col("_n") - 1).cast("int").alias("gt_idx"), *corners, "class_id", "problem"
     )
-    lost = wanted.join(own.select("image_id"), "image_id", "left_anti").select(
+    each = F.explode(F.array_repeat(F.lit("missing_label"), F.col("_images").cast("int")))
+    lost = joined.filter("_file is null").select("image_id", each.alias("problem")).select(
         "image_id",
         F.lit(None).cast("int").alias("gt_idx"),
         *[F.lit(None).cast("double").alias(c) for c in corners],
         F.lit(None).cast("int").alias("class_id"),
-        F.lit("missing_label").alias("problem"),
+        "problem",
     )
     return rows.unionByName(lost)
 

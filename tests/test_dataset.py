@@ -438,3 +438,27 @@ def test_leaks_of_unlabelled_images_are_found(spark):
 
     # The query's check counts them, too.
     assert "EXISTS" not in ORACLES["validation_report"]
+
+
+def test_large_groups_are_found_by_hashes_first(spark):
+    from boxframe.operators import ranking
+
+    rows = spark.range(3000).select((F.col("id") % 300).alias("k"), F.lit(5).alias("size"))
+    assert ranking.hot_keys(rows, ["k"], 50) is None
+    more = rows.unionByName(rows.filter("k = 7"))
+    assert [r.k for r in ranking.hot_keys(more, ["k"], 15).collect()] == [7]
+    assert ranking.split_hot(rows, ["k"], 9, more.withColumn("_rows", F.lit(0)))[1] is None
+    assert ranking.hot_keys(rows, ["k"], 49, F.col("size")).count() == 300
+
+
+def test_ground_truth_in_one_join(spark):
+    images = spark.createDataFrame([("a", "val"), ("a", "val"), ("b", "val"), ("b", "val"), ("c", "val"), ("d", "test"), ("e", "val")], "image_id string, split string")
+    line = "0 0.5 0.5 0.1 0.1"
+    texts = spark.createDataFrame([("a", f"{line}\r\n\r{line}"), ("a", line), ("c", ""), ("d", line), ("e", None), ("x", line)], "image_id string, text string")
+    for hot_rows in (2, 1_000_000):
+        found = labels.ground_truth(images, texts, "val", hot_rows=hot_rows)
+        assert sorted((r.image_id, -1 if r.gt_idx is None else r.gt_idx, r.problem) for r in found.collect()) == [
+            ("a", 0, None), ("a", 1, None), ("a", 2, None), ("b", -1, "missing_label"), ("b", -1, "missing_label"),
+        ]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") <= 2
