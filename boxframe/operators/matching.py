@@ -152,9 +152,13 @@ def candidate_pairs(
     return pairs.unionByName(_grid_pairs(*packed, iou_threshold).select(*columns))
 
 
-def _fold_pairs(pairs: DataFrame, *keys: str) -> DataFrame:
-    """Take an image's pairs in order and keep each whose two boxes are both still free."""
-    keys = ("image_id", *keys)
+def _fold_pairs(pairs: DataFrame, iou_levels: Sequence[float] | None = None) -> DataFrame:
+    """Take an image's pairs in order and keep each whose two boxes are both still free.
+
+    With ``iou_levels`` this is done for each level with the pairs that reach it, and an ``iou_threshold`` is added.
+    An image's pairs are gathered once for all levels. Where no box is in two pairs there is nothing to decide, at the
+    lowest level or above it; such pairs are kept as they are.
+    """
     entry = F.struct(
         (-F.col("confidence")).alias("rank"),
         "pred_idx",
@@ -162,7 +166,7 @@ def _fold_pairs(pairs: DataFrame, *keys: str) -> DataFrame:
         "gt_idx",
         "gt_area",
     )
-    grouped = pairs.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("pairs"))
+    grouped = pairs.groupBy("image_id").agg(F.collect_list(entry).alias("pairs"))
     kind = dict(grouped.dtypes)["pairs"]
 
     def step(taken: Column, pair: Column) -> Column:
@@ -174,18 +178,34 @@ def _fold_pairs(pairs: DataFrame, *keys: str) -> DataFrame:
         return F.when(busy, taken).otherwise(F.concat(taken, F.array(pair)))
 
     none = F.array().cast(kind)
-    # With a single pair there is nothing to decide.
-    kept = F.when(F.size("pairs") == 1, F.col("pairs")).otherwise(
-        F.aggregate("pairs", none, step)
-    )
-    return grouped.select(*keys, F.inline(kept)).select(
-        *keys,
+    free = F.lit(True)
+    for index in ("pred_idx", "gt_idx"):
+        free = free & (F.size(F.array_distinct(F.col("pairs")[index])) == F.size("pairs"))
+    columns = [
+        "image_id",
         "pred_idx",
         "gt_idx",
         (-F.col("far")).alias("iou"),
         (-F.col("rank")).alias("confidence"),
         "gt_area",
-    )
+    ]
+    if iou_levels is None:
+        kept = F.when(free, F.col("pairs")).otherwise(F.aggregate(F.sort_array("pairs"), none, step))
+        return grouped.select("image_id", F.inline(kept)).select(*columns)
+    rising = sorted(iou_levels)
+    levels = F.array(*[F.lit(float(level)) for level in rising])
+
+    def fold(level: Column) -> Column:
+        near = F.filter("pairs", lambda pair: level <= -pair["far"])
+        return F.struct(level.alias("level"), F.aggregate(near, none, step).alias("kept"))
+
+    whole = F.array(F.struct(F.lit(None).cast("double").alias("level"), F.col("pairs").alias("kept")))
+    ordered = grouped.select("image_id", free.alias("free"), F.when(free, F.col("pairs")).otherwise(F.sort_array("pairs")).alias("pairs"))
+    folds = ordered.select("image_id", F.inline(F.when(F.col("free"), whole).otherwise(F.transform(levels, fold))))
+    reached = sum((F.when(F.col("far") <= F.lit(-float(level)), 1).otherwise(0) for level in rising), F.lit(0))
+    # Pairs that nothing contests stand for all levels that they reach.
+    at = F.when(F.col("level").isNull(), F.slice(levels, F.lit(1), reached)).otherwise(F.array("level"))
+    return folds.select("image_id", "level", F.inline("kept")).select(*columns, F.explode(at).alias("iou_threshold"))
 
 
 def _match_crowded(
@@ -376,11 +396,7 @@ def match_levels(
     g = _ready(gt.withColumn("gt_area", area), "g_", ["gt_idx", "gt_area"])
     p = _ready(pred, "p_", ["pred_idx", "confidence"])
     plain, packed = _split_crowded(g, p, crowded_pairs)
-    levels = F.array(*[F.lit(float(level)) for level in iou_levels])
-    pairs = _direct_pairs(*plain, min(iou_levels)).withColumn(
-        "iou_threshold", F.explode(F.filter(levels, lambda level: level <= F.col("iou")))
-    )
-    result = _fold_pairs(pairs, "iou_threshold")
+    result = _fold_pairs(_direct_pairs(*plain, min(iou_levels)), iou_levels)
     if packed is None:
         return result
     g_packed, p_packed = (cut_lineage(part) for part in packed)

@@ -1,6 +1,7 @@
 """Matching and sweep against a plain loop, on the ordinary and on the crowded plan."""
 
 import random
+import re
 
 import pytest
 
@@ -188,3 +189,18 @@ def test_average_precision_of_perfect_and_crowded(spark):
     perfect = gt.withColumnRenamed("gt_idx", "pred_idx").withColumn("confidence", F.lit(0.9))
     value = reports.average_precision(gt, perfect, [0.5]).head()
     assert value.average_precision == pytest.approx(1.0)
+
+
+def test_levels_gather_pairs_once(spark):
+    levels = [0.9, 0.25, 0.5, 0.75]
+    data = make(31, 12, 9, 12) | {f"lone{k}": v for k, v in make(32, 8, 1, 1, cells=2).items()}
+    data["apart"] = ({0: (0.0, 0.0, 0.25, 0.25), 1: (0.5, 0.5, 1.0, 1.0)}, {3: (0.0, 0.0, 0.25, 0.25, 0.5), 4: (0.5, 0.5, 1.0, 0.75, 0.25)})
+    gt, pred, _ = frames(spark, data)
+    matches = matching.match_levels(gt, pred, levels)
+    found = {(r.iou_threshold, r.image_id, r.pred_idx, r.gt_idx) for r in matches.collect()}
+    wanted = {(level, k, p, g) for level in levels for k, (t, q) in data.items() for p, g, _ in loop_match(t, q, 0.0, level)}
+    assert found == wanted and matches.count() == len(wanted)
+    assert {(r[0], *r[1:]) for r in found if r[1] == "apart"} == {(0.9, "apart", 3, 0), (0.75, "apart", 3, 0), (0.5, "apart", 3, 0), (0.25, "apart", 3, 0), (0.5, "apart", 4, 1), (0.25, "apart", 4, 1)}
+    # No image's pairs are grouped again for each level.
+    plan = matches._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [image_id#" in plan and not re.search(r"Aggregate \[[^\]]*iou_threshold", plan)
