@@ -151,9 +151,15 @@ def false_alarms_per_minute(
 ) -> DataFrame:
     """Unmatched detections per video and minute.
 
-    ``frames`` is ``(image_id, video_id, timestamp_seconds)``, one row per frame.
+    ``frames`` is ``(image_id, video_id, timestamp_seconds)``, one row per frame. An image's predictions have
+    different indices and ``matches`` are some of them, so the unmatched are what the counts differ by: predictions
+    are neither numbered nor joined a second time.
     """
-    wrong = false_positives(pred, matches).groupBy("image_id").agg(F.count("*").alias("n"))
+    hits = matches.groupBy("image_id").agg(F.count("*").alias("hits"))
+    found = pred.groupBy("image_id").agg(F.count("*").alias("found"))
+    wrong = found.join(hits, "image_id", "left").select(
+        "image_id", (F.col("found") - F.coalesce("hits", F.lit(0))).alias("n")
+    )
     minute = F.floor(F.col("timestamp_seconds") / 60)
     return (
         frames.join(wrong, "image_id", "left")

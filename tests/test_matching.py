@@ -204,3 +204,19 @@ def test_levels_gather_pairs_once(spark):
     # No image's pairs are grouped again for each level.
     plan = matches._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate [image_id#" in plan and not re.search(r"Aggregate \[[^\]]*iou_threshold", plan)
+
+
+def test_false_alarms_join_images_only(spark):
+    data = make(33, 15, 6, 8)
+    gt, pred, images = frames(spark, data)
+    times = images.select("image_id", F.lit("v").alias("video_id"), (F.substring("image_id", 2, 9).cast("int") * 10.0).alias("timestamp_seconds"))
+    rows = reports.false_alarms_per_minute(pred, matching.match_detections(gt, pred, 0.5), times)
+    wanted = {}
+    for k, (truth, preds) in data.items():
+        n, wrong = wanted.get(int(k[1:]) // 6, (0, 0))
+        wanted[int(k[1:]) // 6] = (n + 1, wrong + len(preds) - len(loop_match(truth, preds, 0.0, 0.5)))
+    assert {r.minute: (r.frames, r.false_alarms) for r in rows.collect()} == wanted
+    assert rows.schema["false_alarms"].dataType.simpleString() == "bigint"
+    # Predictions are counted, not joined by their indices.
+    joins = [line for line in rows._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join " in line]
+    assert joins and not any("pred_idx" in line for line in joins)
