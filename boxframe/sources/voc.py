@@ -139,11 +139,15 @@ def _object_kind() -> str:
 
 def voc_objects(annotations: DataFrame, id_col: str = "image_id") -> DataFrame:
     """One row per object with its 0-based place in the document."""
+    # The outer form: filters before it, asked for or inferred, would check every document once more.
     return (
-        annotations.filter("reject_reason is null")
-        .select(
-            id_col, "width", "height", F.posexplode("objects").alias("obj_idx", "o")
+        annotations.select(
+            id_col,
+            "width",
+            "height",
+            F.posexplode_outer(F.when(F.col("reject_reason").isNull(), F.col("objects"))).alias("obj_idx", "o"),
         )
+        .filter("obj_idx is not null")
         .select(id_col, "obj_idx", "width", "height", "o.*")
     )
 

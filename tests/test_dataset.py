@@ -462,3 +462,32 @@ def test_ground_truth_in_one_join(spark):
         ]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") <= 2
+
+
+def test_annotations_are_checked_once(spark):
+    plain = "<object><name> a </name>{}<bndbox><xmin> 1</xmin><ymin>2</ymin><xmax>3\n</xmax><ymax>4</ymax></bndbox></object>"
+    document = "<annotation><filename>a b.jpg </filename><size><width>7</width><height>\t8</height></size>{}</annotation>"
+    xml = [
+        ("plain", document.format(plain.format("<difficult>1\n</difficult>"))),
+        ("flag", document.format(plain.format("") + plain.format("<truncated>x</truncated>"))),
+        ("blank flag", document.format(plain.format("<truncated> </truncated>"))),
+        ("comment", document.format("<!-- <!nothing> -->")),
+        ("declared", "<!dOCTYPE a>" + document.format("")),
+        ("dotless", document.format("<!-- <!ENTıTY -->")),
+        ("none", None),
+    ]
+    parsed = voc.parse_voc(spark.createDataFrame(xml, "image_id string, xml string"))
+    rows = {r.image_id: r for r in parsed.collect()}
+    assert {k: r.reject_reason for k, r in rows.items()} == {
+        "plain": None, "flag": "invalid_truncated", "blank flag": None, "comment": None,
+        "declared": "declaration_not_allowed", "dotless": "declaration_not_allowed", "none": "invalid_xml",
+    }
+    assert rows["plain"].filename == "a b.jpg" and (rows["plain"].width, rows["plain"].height) == (7, 8)
+    objects = voc.voc_objects(parsed)
+    assert sorted(tuple(r) for r in objects.collect()) == [
+        ("blank flag", 0, 7, 8, "a", 1.0, 2.0, 3.0, 4.0, False, False),
+        ("plain", 0, 7, 8, "a", 1.0, 2.0, 3.0, 4.0, True, False),
+    ]
+    # Filters take the checked rows and do not check them themselves.
+    plan = objects._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("missing_bndbox") == 1
