@@ -11,50 +11,65 @@ from boxframe.schemas import VOC_XML
 
 # Fixed value: larger documents are refused.
 MAX_XML_BYTES = 10 * 1024 * 1024
+_SIDES = ("xmin", "ymin", "xmax", "ymax")
+_FLAGS = ("difficult", "truncated")
+_DIMENSIONS = ("width", "height", "depth")
 
 
-def _text(value: Column) -> Column:
-    return F.nullif(strip(value), F.lit(""))
+def _bare(value: Column) -> Column:
+    """``strip``, which looks at each end for 30 characters, only where a text is not all visible ASCII."""
+    return F.when(value.rlike(r"\A[!-~]*\z"), value).otherwise(strip(value))
 
 
-def _typed_object(obj: Column) -> Column:
-    """Texts and numbers of one object, still unchecked."""
+def _full(bare: Column) -> Column:
+    return F.nullif(bare, F.lit(""))
+
+
+def _bare_object(obj: Column) -> Column:
+    """Texts of one object without white space around them."""
     box = obj["bndbox"]
+    return F.struct(
+        _bare(obj["name"]).alias("class_name"),
+        box.isNull().alias("no_box"),
+        *[_bare(box[side]).alias(side) for side in _SIDES],
+        *[_bare(obj[flag]).alias(flag) for flag in _FLAGS],
+    )
+
+
+def _typed_object(bare: Column) -> Column:
+    """Texts and numbers of one object, still unchecked."""
     sides = [
         part
-        for side in ("xmin", "ymin", "xmax", "ymax")
+        for side in _SIDES
         for part in (
-            _text(box[side]).alias(f"{side}_text"),
-            strip(box[side]).try_cast("double").alias(side),
+            _full(bare[side]).isNull().alias(f"no_{side}"),
+            bare[side].try_cast("double").alias(side),
         )
     ]
     flags = [
         part
-        for flag in ("difficult", "truncated")
+        for flag in _FLAGS
         for part in (
-            _text(obj[flag]).alias(f"{flag}_text"),
-            strip(obj[flag]).try_cast("int").alias(flag),
+            _full(bare[flag]).isNotNull().alias(f"has_{flag}"),
+            bare[flag].try_cast("int").alias(flag),
         )
     ]
-    return F.struct(
-        _text(obj["name"]).alias("class_name"), box.isNull().alias("no_box"), *sides, *flags
-    )
+    return F.struct(_full(bare["class_name"]).alias("class_name"), bare["no_box"].alias("no_box"), *sides, *flags)
 
 
 def _object_problem(o: Column) -> Column:
-    sides = ("xmin", "ymin", "xmax", "ymax")
     missing, wrong = F.lit(False), F.lit(False)
-    for side in sides:
-        missing = missing | o[f"{side}_text"].isNull()
+    for side in _SIDES:
+        missing = missing | o[f"no_{side}"]
         wrong = wrong | o[side].isNull()
     return (
         F.when(o["class_name"].isNull(), "missing_name")
         .when(o["no_box"], "missing_bndbox")
         .when(missing, "missing_coordinate")
         .when(wrong, "invalid_coordinate")
-        .when(~all_finite([o[s] for s in sides]), "not_finite_coordinate")
-        .when(o["difficult_text"].isNotNull() & o["difficult"].isNull(), "invalid_difficult")
-        .when(o["truncated_text"].isNotNull() & o["truncated"].isNull(), "invalid_truncated")
+        .when(~all_finite([o[s] for s in _SIDES]), "not_finite_coordinate")
+        .when(o["has_difficult"] & o["difficult"].isNull(), "invalid_difficult")
+        .when(o["has_truncated"] & o["truncated"].isNull(), "invalid_truncated")
     )
 
 
@@ -68,12 +83,13 @@ def parse_voc(
     ``objects`` is an array in document order, empty where the document names none.
     """
     xml = F.col(xml_col)
+    # Upper case is only looked at where there is any declaration or comment.
     upper = F.upper(xml)
-    unsafe = upper.contains("<!DOCTYPE") | upper.contains("<!ENTITY")
+    unsafe = xml.contains("<!") & (upper.contains("<!DOCTYPE") | upper.contains("<!ENTITY"))
     too_big = F.octet_length(xml) > max_bytes
     # The parser only sees documents that are small and free of declarations.
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    document = F.from_xml(F.when(~unsafe & ~too_big, xml), VOC_XML, options)
+    document = F.from_xml(F.when(~F.col("_unsafe") & ~F.col("_too_big"), xml), VOC_XML, options)
     # A generator keeps later filters from copying the parser into their conditions.
     parsed = documents.withColumns({"_unsafe": unsafe, "_too_big": too_big}).select(
         "*", F.explode(F.array(document)).alias("_doc")
@@ -82,23 +98,34 @@ def parse_voc(
     none = F.array().cast(f"array<{_object_kind()}>")
     size = doc["size"]
     # Each step is its own projection, so a value is worked out once and then referred to.
-    texts = parsed.select(
+    bare = parsed.select(
         id_col,
         *keep,
         "_unsafe",
         "_too_big",
         (F.col(xml_col).isNull() | doc.isNull() | doc["_corrupt_record"].isNotNull()).alias("_bad"),
         size.isNull().alias("_no_size"),
-        _text(doc["filename"]).alias("_filename"),
+        _bare(doc["filename"]).alias("_filename"),
+        *[_bare(size[name]).alias(f"_{name}") for name in _DIMENSIONS],
+        F.transform(F.coalesce(doc["object"], none), _bare_object).alias("_objects"),
+    )
+    texts = bare.select(
+        id_col,
+        *keep,
+        "_unsafe",
+        "_too_big",
+        "_bad",
+        "_no_size",
+        _full(F.col("_filename")).alias("_filename"),
         *[
             part
-            for name in ("width", "height", "depth")
+            for name in _DIMENSIONS
             for part in (
-                _text(size[name]).alias(f"_{name}_text"),
-                strip(size[name]).try_cast("int").alias(f"_{name}"),
+                _full(F.col(f"_{name}")).alias(f"_{name}_text"),
+                F.col(f"_{name}").try_cast("int").alias(f"_{name}"),
             )
         ],
-        F.transform(F.coalesce(doc["object"], none), _typed_object).alias("_objects"),
+        F.transform("_objects", _typed_object).alias("_objects"),
     )
     width, height = F.col("_width"), F.col("_height")
     problems = F.filter(F.transform("_objects", _object_problem), lambda p: p.isNotNull())
@@ -119,15 +146,15 @@ def parse_voc(
     final = F.transform(
         "_objects",
         lambda o: F.struct(
-            *[o[c].alias(c) for c in ("class_name", "xmin", "ymin", "xmax", "ymax")],
-            *[(F.coalesce(o[c], F.lit(0)) != 0).alias(c) for c in ("difficult", "truncated")],
+            *[o[c].alias(c) for c in ("class_name", *_SIDES)],
+            *[(F.coalesce(o[c], F.lit(0)) != 0).alias(c) for c in _FLAGS],
         ),
     )
     good = F.col("reject_reason").isNull()
     return texts.withColumn("reject_reason", reason).select(
         id_col,
         *keep,
-        *[F.when(good, F.col(f"_{c}")).alias(c) for c in ("filename", "width", "height", "depth")],
+        *[F.when(good, F.col(f"_{c}")).alias(c) for c in ("filename", *_DIMENSIONS)],
         F.when(good, final).alias("objects"),
         "reject_reason",
     )
